@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.shared import cut, shared_dir
 from .licenses import CUES, RULES, SENTENCES, cue_pattern, scan_licenses
 from .linededup import MIN_PAGES, RATIO, drop_boilerplate_lines
+from .packing import pack_documents
 from .quality import apply_quality_rules
+from .simhash import simhash_components
+from .tokencounts import TokenRollup, document_deltas, token_counts
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -26,6 +32,38 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(docs).drop("text").withColumns(joined | {"n_sentences": F.size("sentence_ids").cast("long")})
 
 
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(_read(spark, sf_dir, "documents"))
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed of four batches: all documents, later exact copies taken back, blank ends stripped, and a repeat.
+
+    Every document is counted whole, and a second time stripped where it ends in blanks.
+    """
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    stripped = F.regexp_replace("text", "^[ \\t\\n\\r]+|[ \\t\\n\\r]+$", "")
+    both = docs.withColumn("revised", F.when(stripped != F.col("text"), stripped)).withColumn("copy_of", F.md5("text"))
+    counted = cut(token_counts(both.drop("revised")).withColumn("revision", F.lit(False)).unionByName(token_counts(both.filter("revised is not null").drop("text").withColumnRenamed("revised", "text")).withColumn("revision", F.lit(True))))
+    first = counted.filter("not revision")
+    kept = first.filter("copy_of is not null").groupBy("copy_of").agg(F.min("doc_id").alias("kept_id"))
+    copies = first.join(kept, "copy_of").filter("doc_id <> kept_id")
+    original = copies.select("doc_id").distinct()
+    revised = counted.filter("revision").join(original, "doc_id", "left_anti")
+    replaced = first.join(revised.select("doc_id"), "doc_id", "left_semi")
+    rollup = TokenRollup(spark, f"{shared_dir(spark)}/rollup-{uuid.uuid4().hex}")
+    insert = document_deltas(first, 1)
+    rollup.commit("0-insert", insert)
+    rollup.commit("1-retract-copies", document_deltas(copies, -1))
+    rollup.commit("2-revise", document_deltas(replaced, -1).unionByName(document_deltas(revised, 1)))
+    rollup.commit("0-insert", insert)
+    return rollup.totals()
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_read(spark, sf_dir, "documents"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "source")
     out = drop_boilerplate_lines(docs)
@@ -35,6 +73,9 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_license_scan": op2_license_scan,
+    "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op5_token_counts": op5_token_counts,
+    "op6_best_fit_packing": op6_best_fit_packing,
     "op10_line_dedup": op10_line_dedup,
 }
 
