@@ -8,8 +8,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import arrow_udf
-from pyspark.sql.types import LongType
 
 from ..plans.components import connected_components
 from ..plans.shared import cut
@@ -36,9 +34,12 @@ def _majority(offsets: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return out
 
 
-def _fingerprint(hashes: pa.Array) -> pa.Array:
-    offsets = hashes.offsets.to_numpy().astype(np.int64)
-    return pa.array(_majority(offsets - offsets[0], hashes.flatten().to_numpy()))
+def _fingerprint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        hashes = batch["hashes"]
+        offsets = hashes.offsets.to_numpy().astype(np.int64)
+        prints = _majority(offsets - offsets[0], hashes.flatten().to_numpy())
+        yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(prints)], names=["doc_id", "fingerprint"])
 
 
 def shingle_hashes(text: Column) -> Column:
@@ -50,12 +51,13 @@ def shingle_hashes(text: Column) -> Column:
     return let(found, lambda w: F.when(F.size(w) >= 3, many(w)).otherwise(few(w)))
 
 
-def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with ``fingerprint`` (long, two's complement): 64 bits; zero for null and blank texts.
+def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, fingerprint): 64 bits as a long in two's complement; zero for null and blank texts.
 
-    Hashing stays in the JVM; only arrays of hashes go to Python, as Arrow buffers.
+    Hashing stays in the JVM; only ids and arrays of hashes go to Python, as Arrow buffers.
     """
-    return docs.withColumn("fingerprint", arrow_udf(_fingerprint, LongType())(shingle_hashes(F.col(text))))
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), shingle_hashes(F.col(text)).alias("hashes"))
+    return rows.mapInArrow(_fingerprint, "doc_id long, fingerprint long")
 
 
 def _variants(points: DataFrame) -> DataFrame:
@@ -189,7 +191,7 @@ def simhash_components(docs: DataFrame, doc_id: str = "doc_id", group: int = GRO
     row without an id takes its group's least id, or null if none has one. Repeated rows come
     back as often; an empty table gives an empty result.
     """
-    prints = cut(fingerprints(docs.select(F.col(doc_id).alias("doc_id"), F.col("text").alias("text"))).select("doc_id", "fingerprint"))
+    prints = cut(fingerprints(docs, doc_id))
     points = cut(prints.groupBy(F.col("fingerprint").alias("fp")).agg(F.min("doc_id").alias("least")))
     roots = connected_components(fingerprint_links(points.select("fp"), group), "a", "b")
     rooted = points.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
