@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.shared import cut, shared_dir
+from .html import extract_main_text
 from .licenses import CUES, RULES, SENTENCES, cue_pattern, scan_licenses
 from .linededup import MIN_PAGES, RATIO, drop_boilerplate_lines
 from .packing import pack_documents
 from .quality import apply_quality_rules
 from .simhash import simhash_components
 from .tokencounts import TokenRollup, document_deltas, token_counts
+from .transducer import piece_digest
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -32,6 +34,10 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(docs).drop("text").withColumns(joined | {"n_sentences": F.size("sentence_ids").cast("long")})
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(_read(spark, sf_dir, "pages"))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(_read(spark, sf_dir, "documents"))
 
@@ -64,6 +70,10 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_read(spark, sf_dir, "documents"))
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_digest(_read(spark, sf_dir, "documents"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "source")
     out = drop_boilerplate_lines(docs)
@@ -73,9 +83,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_license_scan": op2_license_scan,
+    "op3_html_extraction": op3_html_extraction,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_token_counts": op5_token_counts,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op8_sentencepiece": op8_sentencepiece,
     "op10_line_dedup": op10_line_dedup,
 }
 
