@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.shared import cut, shared_dir
+from .ann import nearest_neighbours
 from .html import extract_main_text
 from .licenses import CUES, RULES, SENTENCES, cue_pattern, scan_licenses
 from .linededup import MIN_PAGES, RATIO, drop_boilerplate_lines
@@ -74,6 +75,10 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digest(_read(spark, sf_dir, "documents"))
 
 
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "source")
     out = drop_boilerplate_lines(docs)
@@ -88,6 +93,7 @@ QUERIES = {
     "op5_token_counts": op5_token_counts,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op8_sentencepiece": op8_sentencepiece,
+    "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_line_dedup": op10_line_dedup,
 }
 
