@@ -12,6 +12,7 @@ from .ann import nearest_neighbours
 from .html import extract_main_text
 from .licenses import CUES, RULES, SENTENCES, cue_pattern, scan_licenses
 from .linededup import MIN_PAGES, RATIO, drop_boilerplate_lines
+from .lmscore import score_documents
 from .packing import pack_documents
 from .quality import apply_quality_rules
 from .simhash import simhash_components
@@ -71,6 +72,10 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_read(spark, sf_dir, "documents"))
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(_read(spark, sf_dir, "documents"))
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digest(_read(spark, sf_dir, "documents"))
 
@@ -92,6 +97,7 @@ QUERIES = {
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_token_counts": op5_token_counts,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_lm_scoring": op7_lm_scoring,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_line_dedup": op10_line_dedup,
