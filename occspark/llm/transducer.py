@@ -10,9 +10,8 @@ The parts are compiled from a model file of merges with byte fallback:
 
 Composed with an input this is a lattice of (place, last piece) states. Segmentations all of
 whose neighbours agree are the ones that merging yields, so the tropical shortest path
-is the encoding itself, not an approximation by scores. Places between which no piece has
-both characters cannot lie inside an arc or make neighbours disagree: inputs are cut there and each
-distinct stretch is composed once.
+is the encoding itself, not an approximation by scores. No piece has a mark after another character:
+inputs are cut before marks, and each distinct stretch is composed once.
 """
 
 from __future__ import annotations
@@ -60,7 +59,7 @@ class PieceTransducer:
                 if not model.is_unused(i):
                     self.id[piece], self.score[piece] = i, model.get_score(i)
         self.pairs = {p[k : k + 2] for p in self.id for k in range(len(p) - 1)}
-        self.heads = {p[:k] for p in self.id for k in range(1, len(p) + 1)}
+        self.tails = {p[k:] for p in self.id for k in range(len(p))}
         # Pieces that merging never makes out of their own characters have no arc.
         self.arcs = {p for p in self.id if len(p) == 1 or self._merge(p) == [p]}
         self.agree: dict[tuple[str, str], bool] = {}
@@ -93,62 +92,47 @@ class PieceTransducer:
         return found
 
     def _shortest(self, text: str) -> bytes:
-        """The ids of one stretch, by shortest path over (place, last piece)."""
-        n = len(text)
-        at: list[dict[str, tuple[float, str]]] = [{} for _ in range(n + 1)]
-        at[0][""] = (0.0, "")
-        for i in range(n):
-            if not at[i]:
-                continue
-            for j in range(i + 1, n + 1):
-                piece = text[i:j]
-                if j > i + 1 and piece not in self.heads:
+        """The ids of one stretch, by shortest path over (place, last piece).
+
+        A state with finite weight stands for the one way to merge the text before it, so each place
+        has one such state, and the first arc found to reach it from a finite one is its shortest.
+        """
+        arcs, tails, known = self.arcs, self.tails, self.agree.get
+        last = [""] * (len(text) + 1)
+        for j in range(1, len(text) + 1):
+            ends = []
+            i = j - 1
+            while i >= 0 and (piece := text[i:j]) in tails:
+                if piece in arcs:
+                    ends.append((i, piece))
+                i -= 1
+            for i, piece in reversed(ends):
+                before = last[i]
+                if not before and not i or before and (known((before, piece)) or self._agrees(before, piece)):
+                    last[j] = piece
                     break
-                if piece in self.arcs:
-                    weight = -self.score[piece]
-                elif j == i + 1:
-                    weight = 0.0  # bytes
-                else:
-                    continue
-                best = None
-                for last, (cost, _) in at[i].items():
-                    if (best is None or cost < best[0]) and (not last or self._agrees(last, piece)):
-                        best = (cost, last)
-                if best is not None:
-                    at[j][piece] = (best[0] + weight, best[1])
-        path, j = [], n
-        piece = min(at[n], key=lambda p: at[n][p][0])
-        while j:
-            path.append(piece)
-            piece, j = at[j][piece][1], j - len(piece)
+            else:
+                last[j] = text[j - 1]  # bytes
         ids: list[int] = []
-        for piece in reversed(path):
-            ids += [self.id[piece]] if piece in self.id else self._bytes(piece)
-        return np.array(ids, dtype="<u2").tobytes()
+        j = len(text)
+        while j:
+            piece = last[j]
+            ids += [self.id[piece]] if piece in arcs else self._bytes(piece)[::-1]
+            j -= len(piece)
+        return np.array(ids[::-1], dtype="<u2").tobytes()
 
     def _bytes(self, char: str) -> list[int]:
         return [self.byte_id.get(b, self.unknown) for b in char.encode("utf-8", "replace")]
 
-    def _remember(self, word: str, found: bytes) -> bytes:
-        if len(self.young) >= REMEMBERED:
-            self.old, self.young = self.young, {}
-        self.young[word] = found
-        return found
-
     def _word(self, word: str) -> bytes:
         found = self.young.get(word)
         if found is None:
             found = self.old.get(word)
             if found is None:
-                out, start = [], 0
-                for k in range(1, len(word) + 1):
-                    if k == len(word) or word[k - 1 : k + 1] not in self.pairs:
-                        part = word[start:k]
-                        known = self.young.get(part) if k - start < len(word) else None
-                        out.append(known if known is not None else self._remember(part, self._shortest(part)))
-                        start = k
-                found = b"".join(out)
-            self._remember(word, found)
+                found = self._shortest(word)
+            if len(self.young) >= REMEMBERED:
+                self.old, self.young = self.young, {}
+            self.young[word] = found
         return found
 
     def encode(self, text: str) -> np.ndarray:
