@@ -31,7 +31,7 @@ from .bpe import default_path
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 #: Stretches remembered in each of two generations; they only save time.
-REMEMBERED = 250_000
+REMEMBERED = 700_000
 
 
 class PieceTransducer:
@@ -59,7 +59,7 @@ class PieceTransducer:
                 if not model.is_unused(i):
                     self.id[piece], self.score[piece] = i, model.get_score(i)
         self.pairs = {p[k : k + 2] for p in self.id for k in range(len(p) - 1)}
-        self.tails = {p[k:] for p in self.id for k in range(len(p))}
+        self.heads = {p[:k] for p in self.id for k in range(1, len(p) + 1)}
         # Pieces that merging never makes out of their own characters have no arc.
         self.arcs = {p for p in self.id if len(p) == 1 or self._merge(p) == [p]}
         self.agree: dict[tuple[str, str], bool] = {}
@@ -91,35 +91,39 @@ class PieceTransducer:
             found = self.agree[a, b] = a[-1] + b[0] not in self.pairs or self._merge(a + b) == [a, b]
         return found
 
+    def _from(self, text: str, i: int) -> list[str]:
+        """The arcs that leave a place, long ones last."""
+        arcs, heads, out, j = self.arcs, self.heads, [], i + 1
+        while (piece := text[i:j]) in heads and j <= len(text):
+            if piece in arcs:
+                out.append(piece)
+            j += 1
+        return out or [text[i]]
+
     def _shortest(self, text: str) -> bytes:
         """The ids of one stretch, by shortest path over (place, last piece).
 
-        A state with finite weight stands for the one way to merge the text before it, so each place
-        has one such state, and the first arc found to reach it from a finite one is its shortest.
+        One path alone has finite weight, so the first that arrives is the shortest. It is searched depth
+        first, long arcs before short ones; a state that led nowhere is not entered twice.
         """
-        arcs, tails, known = self.arcs, self.tails, self.agree.get
-        last = [""] * (len(text) + 1)
-        for j in range(1, len(text) + 1):
-            ends = []
-            i = j - 1
-            while i >= 0 and (piece := text[i:j]) in tails:
-                if piece in arcs:
-                    ends.append((i, piece))
-                i -= 1
-            for i, piece in reversed(ends):
-                before = last[i]
-                if not before and not i or before and (known((before, piece)) or self._agrees(before, piece)):
-                    last[j] = piece
+        known, path, places, choices, dead = self.agree.get, [""], [0], [self._from(text, 0)], set()
+        while places[-1] < len(text):
+            before, at, choice = path[-1], places[-1], choices[-1]
+            while choice:
+                piece = choice.pop()
+                if (not before or known((before, piece)) or self._agrees(before, piece)) and (not dead or (at, piece) not in dead):
+                    path.append(piece)
+                    places.append(at + len(piece))
+                    choices.append(self._from(text, places[-1]) if places[-1] < len(text) else [])
                     break
             else:
-                last[j] = text[j - 1]  # bytes
+                choices.pop()
+                places.pop()
+                dead.add((places[-1], path.pop()))
         ids: list[int] = []
-        j = len(text)
-        while j:
-            piece = last[j]
-            ids += [self.id[piece]] if piece in arcs else self._bytes(piece)[::-1]
-            j -= len(piece)
-        return np.array(ids[::-1], dtype="<u2").tobytes()
+        for piece in path[1:]:
+            ids += [self.id[piece]] if piece in self.arcs else self._bytes(piece)
+        return np.array(ids, dtype="<u2").tobytes()
 
     def _bytes(self, char: str) -> list[int]:
         return [self.byte_id.get(b, self.unknown) for b in char.encode("utf-8", "replace")]
@@ -129,6 +133,8 @@ class PieceTransducer:
         if found is None:
             found = self.old.get(word)
             if found is None:
+                if len(word) > 1 and word[-1] in ",.;:!?)|" and word[-2:] not in self.pairs:
+                    return self._word(word[:-1]) + self._word(word[-1])  # no piece spans these two
                 found = self._shortest(word)
             if len(self.young) >= REMEMBERED:
                 self.old, self.young = self.young, {}
