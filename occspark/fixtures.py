@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators.sites import prepare_sites
+from .plans.shared import cut
 
 RAW = """
 SELECT CASE WHEN k % 211 = 0 THEN NULL ELSE CAST(k AS STRING) END AS gbifID,
@@ -60,12 +61,23 @@ def _view(spark: SparkSession, sf_dir: str, sql: str, table: str) -> DataFrame:
     return spark.sql(sql.replace(f"FROM {table}", f"FROM {{{table}}}"), **tables(spark, sf_dir, table))
 
 
+_STAGED: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _staged(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
+    """A view stored once per application and input as Parquet in several files, as an occurrence store would be."""
+    key = (spark.sparkContext.applicationId, sf_dir, sql)
+    if key not in _STAGED:
+        _STAGED[key] = cut(_view(spark, sf_dir, sql, "orders").repartition(spark.sparkContext.defaultParallelism))
+    return _STAGED[key]
+
+
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _view(spark, sf_dir, RAW, "orders")
+    return _staged(spark, sf_dir, RAW)
 
 
 def occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _view(spark, sf_dir, OCC, "orders")
+    return _staged(spark, sf_dir, OCC)
 
 
 def species(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,14 +7,17 @@ from pyspark.sql import functions as F
 
 from ..schemas import NA_VALUES
 
-_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 _DATE = r"^\d{4}(-\d{2}(-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})?)?)?)?$"
 
 
 def to_number(x: Column) -> Column:
-    """Text to double; whatever is not a plain decimal number, and infinities, become null."""
-    value = F.when(x.cast("string").rlike(_NUMBER), F.trim(x.cast("string")).try_cast("double"))
-    return F.when(F.abs(value) < float("inf"), value)
+    """Text to double; whatever is not a plain decimal number, and infinities, become null.
+
+    A cast alone would also read letters: type suffixes, hexadecimal digits, NaN and Infinity.
+    """
+    text = x.cast("string")
+    value = text.try_cast("double")
+    return F.when((F.abs(value) < float("inf")) & ~text.rlike("[a-df-zA-DF-Z]"), value)
 
 
 def to_integer(x: Column) -> Column:

@@ -29,27 +29,40 @@ def sample_values(df: DataFrame, n: int = 3) -> DataFrame:
 def schema_profile(df: DataFrame) -> DataFrame:
     """One row per column: counts, distinct values, numbers of measured columns, date quality and flags.
 
-    All figures come from one aggregation, turned from wide to long afterwards.
+    Values are counted by (column, value), summed up in each task before the one shuffle; all
+    figures of a column then come from its counted values, the median by their frequencies.
     """
-    wide, long = [F.count(F.lit(1)).alias("rows")], []
     kinds = dict(df.dtypes)
-    for i, c in enumerate(df.columns):
-        x = F.col(c)
-        wide += [F.count(x).alias(f"n{i}"), F.count_distinct(x).alias(f"d{i}")]
-        numbers = [F.lit(None).cast("double")] * 4
-        if c in MEASURED and kinds[c] != "string":
-            wide += [f(x.cast("double")).alias(f"{k}{i}") for k, f in (("min", F.min), ("max", F.max), ("avg", F.avg), ("med", F.median))]
-            numbers = [F.col(f"min{i}"), F.col(f"max{i}"), F.bround(f"avg{i}", 4), F.bround(f"med{i}", 4)]
-        dates = [F.lit(None).cast("long"), F.lit(None).cast("double")]
-        if c in DATE_LIKE:
-            wide.append(F.count(F.when(is_date_like(x), 1)).alias(f"v{i}"))
-            dates = [F.col(f"v{i}"), percent(F.col(f"v{i}"), F.col(f"n{i}"), 4)]
-        missing = F.col("rows") - F.col(f"n{i}")
-        missing_pct = percent(missing, F.col("rows"), 4)
-        values = [F.lit(i), F.lit(c), F.lit(COLUMN_ROLES.get(c, "unspecified")), F.lit(kinds[c]), F.lit(_logical(c, kinds[c])), F.col(f"n{i}"), missing, missing_pct, F.col(f"d{i}"), *numbers, *dates, warning_flags(missing_pct, F.col(f"d{i}"), F.col(f"n{i}"))]
-        names = ["ord", "column", "role", "dtype", "logical_type", "non_null", "missing", "missing_pct", "unique_values", "numeric_min", "numeric_max", "numeric_mean", "numeric_median", "date_like_valid_values", "date_like_valid_pct", "warning_flags"]
-        long.append(F.struct(*(v.alias(n) for v, n in zip(values, names, strict=True))))
-    return df.agg(*wide).select(F.inline(F.array(*long)))
+    number = lambda c: F.col(c).cast("double") if c in MEASURED and kinds[c] != "string" else F.lit(None).cast("double")
+    cells = F.array(*(F.struct(F.lit(i).alias("ord"), F.col(c).cast("string").alias("value"), number(c).alias("x")) for i, c in enumerate(df.columns)))
+    counted = df.select(F.explode(cells).alias("c")).groupBy("c.ord", "c.value", "c.x").agg(F.count(F.lit(1)).alias("n"))
+    there = F.col("value").isNotNull()
+    good = F.array(*(F.lit(i) for i, c in enumerate(df.columns) if c in DATE_LIKE)).cast("array<int>")
+    is_date = F.array_contains(good, F.col("ord")) & is_date_like(F.col("value"))
+    figures = counted.groupBy("ord").agg(
+        F.sum("n").alias("rows"),
+        F.coalesce(F.sum(F.when(there, F.col("n"))), F.lit(0)).alias("non_null"),
+        F.count("value").alias("unique_values"),
+        F.min("x").alias("numeric_min"),
+        F.max("x").alias("numeric_max"),
+        F.bround(F.sum(F.col("x") * F.col("n")) / F.sum(F.when(F.col("x").isNotNull(), F.col("n"))), 4).alias("numeric_mean"),
+        F.bround(F.percentile("x", F.lit(0.5), F.col("n")), 4).alias("numeric_median"),
+        F.coalesce(F.sum(F.when(is_date, F.col("n"))), F.lit(0)).alias("valid"),
+    )
+    about = [(i, c, COLUMN_ROLES.get(c, "unspecified"), kinds[c], _logical(c, kinds[c]), c in DATE_LIKE) for i, c in enumerate(df.columns)]
+    columns = df.sparkSession.createDataFrame(about, "ord int, column string, role string, dtype string, logical_type string, dates boolean")
+    out = columns.join(figures, "ord", "left").fillna(0, ["rows", "non_null", "unique_values", "valid"])
+    missing_pct = percent(F.col("missing"), F.col("rows"), 4)
+    out = out.withColumn("missing", F.col("rows") - F.col("non_null")).withColumn("missing_pct", missing_pct)
+    out = out.withColumns(
+        {
+            "date_like_valid_values": F.when(F.col("dates"), F.col("valid")),
+            "date_like_valid_pct": F.when(F.col("dates"), percent(F.col("valid"), F.col("non_null"), 4)),
+            "warning_flags": warning_flags(F.col("missing_pct"), F.col("unique_values"), F.col("non_null")),
+        }
+    )
+    names = ["ord", "column", "role", "dtype", "logical_type", "non_null", "missing", "missing_pct", "unique_values", "numeric_min", "numeric_max", "numeric_mean", "numeric_median", "date_like_valid_values", "date_like_valid_pct", "warning_flags"]
+    return out.select(*names)
 
 
 def full_profile(df: DataFrame, n: int = 3) -> DataFrame:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.geo import bbox, intersects, laea, polygon_distance, within
+from ..functions.geo import bbox, intersects, laea, parity, within
 from ..functions.geo import boundary_distance as to_boundary
 from ..plans.shared import BROADCAST_ROWS, cut
 
@@ -71,15 +71,24 @@ def points_in_area(points: DataFrame, area: DataFrame, name: str, side: float =
     return points.join(hit, POINT_ID, "left_semi").withColumn("study_area_name", F.lit(name))
 
 
-def _metric(points: DataFrame) -> DataFrame:
-    at = points.filter("decimalLongitude is not null and decimalLatitude is not null").select(POINT_ID, laea(F.col("decimalLongitude"), F.col("decimalLatitude")).alias("m"))
-    return at.select(POINT_ID, F.col("m.x").alias("x"), F.col("m.y").alias("y"))
+def _box_bounds() -> tuple[Column, Column]:
+    """The least and the greatest distance from (x, y) to any place of ``box``."""
+    x, y, b = F.col("x"), F.col("y"), F.col("box")
+    out = lambda v, lo, hi: F.greatest(lo - v, v - hi, F.lit(0.0))
+    far = lambda v, lo, hi: F.greatest(F.abs(v - lo), F.abs(v - hi))
+    of = lambda f: F.hypot(f(x, b["min_x"], b["max_x"]), f(y, b["min_y"], b["max_y"]))
+    return of(out).alias("nearest"), of(far).alias("farthest")
+
+
+def _metric(points: DataFrame, *keys: str) -> DataFrame:
+    """The keys of points that have coordinates, and x and y in metres."""
+    at = points.filter("decimalLongitude is not null and decimalLatitude is not null").select(*keys, laea(F.col("decimalLongitude"), F.col("decimalLatitude")).alias("m"))
+    return at.select(*keys, F.col("m.x").alias("x"), F.col("m.y").alias("y"))
 
 
 def inside_distances(joined: DataFrame, sites: DataFrame) -> DataFrame:
     """(gbifID, index_right, dist_to_boundary_m) of inside rows: metres to the boundary of their own site."""
-    rows = joined.filter("index_right is not null")
-    at = _metric(rows).distinct().join(rows.select(POINT_ID, "index_right"), POINT_ID)
+    at = _metric(joined.filter("index_right is not null"), POINT_ID, "index_right")
     shapes = _checked(sites.select("index_right", "metric_edges"), _small(sites))
     return at.join(shapes, "index_right").select(POINT_ID, "index_right", to_boundary(F.col("x"), F.col("y"), F.col("metric_edges")).alias("dist_to_boundary_m"))
 
@@ -93,7 +102,7 @@ def nearest_distances(points: DataFrame, sites: DataFrame, side: float = NEAR_TI
     """
     boxes = cut(sites.select("index_right", "metric_edges", bbox(F.array(F.transform("metric_edges", lambda e: F.struct(e["x1"].alias("x"), e["y1"].alias("y"))))).alias("mbox")))
     small = _small(boxes)
-    pending, done = cut(_metric(points).distinct()), None
+    pending, done = cut(_metric(points, POINT_ID).distinct()), None
     if not boxes.limit(1).count():
         return pending.select(POINT_ID, F.lit(None).cast("double").alias("dist_to_polygon_m"))
     steps = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)))
@@ -101,9 +110,14 @@ def nearest_distances(points: DataFrame, sites: DataFrame, side: float = NEAR_TI
         tiles = _tiles(boxes, "mbox", side)
         around = pending.withColumn("s", F.explode(steps))
         around = around.select(POINT_ID, "x", "y", (F.floor(F.col("x") / F.lit(side)) + F.col("s.i")).cast("long").alias("tx"), (F.floor(F.col("y") / F.lit(side)) + F.col("s.j")).cast("long").alias("ty"))
-        pairs = around.join(_checked(tiles, small), ["tx", "ty"]).select(POINT_ID, "x", "y", "index_right").distinct()
+        pairs = around.join(_checked(tiles, small), ["tx", "ty"]).select(POINT_ID, "x", "y", "index_right", *_box_bounds())
+        # Only sites whose box begins nearer than another's ends can be the nearest; edges are measured for these.
+        least = F.min("farthest").over(Window.partitionBy(POINT_ID))
+        pairs = pairs.withColumn("least", least).filter(F.col("nearest") <= F.col("least")).select(POINT_ID, "x", "y", "nearest", "index_right")
         measured = pairs.join(_checked(boxes.select("index_right", "metric_edges"), small), "index_right")
-        measured = measured.groupBy(POINT_ID).agg(F.min(polygon_distance(F.col("x"), F.col("y"), F.col("metric_edges"))).alias("dist_to_polygon_m"))
+        x, y, es = F.col("x"), F.col("y"), F.col("metric_edges")
+        distance = F.when((F.col("nearest") == 0) & parity(x, y, es), F.lit(0.0)).otherwise(to_boundary(x, y, es))
+        measured = measured.groupBy(POINT_ID).agg(F.min(distance).alias("dist_to_polygon_m"))
         last = side >= _WHOLE or (max_distance is not None and side >= max_distance)
         found = cut(measured if last else measured.filter(F.col("dist_to_polygon_m") <= F.lit(side)))
         done = found if done is None else done.unionByName(found)
