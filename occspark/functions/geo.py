@@ -42,7 +42,7 @@ def laea(lon: Column, lat: Column) -> Column:
 
 
 def inverse_laea(x: Column, y: Column) -> Column:
-    """EPSG:3035 metres to degrees, as struct(x = lon, y = lat); the series for latitude is good to a micrometre."""
+    """EPSG:3035 metres to degrees, as struct(x = lon, y = lat); the series for latitude is good to a millimetre."""
     dx, dy = (x - F.lit(FE)) / F.lit(D), (y - F.lit(FN)) * F.lit(D)
     rho = F.sqrt(dx * dx + dy * dy)
     c = F.lit(2.0) * F.asin(rho / F.lit(2 * RQ))

@@ -53,9 +53,11 @@ def lookup_join(left: DataFrame, right: DataFrame, key: str, spread: Column, lim
 
     ``right`` is counted: up to ``limit`` rows it is broadcast. Beyond that both sides shuffle on
     the key and a salt taken from ``spread``, with ``right`` repeated once per salt, so a key
-    that holds a third of ``left`` goes to ``SALT`` tasks instead of one.
+    that holds a third of ``left`` goes to ``SALT`` tasks instead of one. Columns of ``right``
+    replace those of ``left`` with their names.
     """
     r = right.withColumnRenamed(key, "__key")
+    left = left.drop(*(c for c in r.columns if c in left.columns))
     if r.limit(limit + 1).count() <= limit:
         return left.join(F.broadcast(r), left[key].eqNullSafe(r["__key"]), "left").drop("__key")
     lhs = left.withColumn("__salt", salted(spread))
