@@ -38,7 +38,7 @@ SENTENCES: dict[str, str] = {
     "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution": "bsd_binary",
     "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission": "bsd_endorse",
     "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies": "isc_grant",
-    "this source code form is subject to the terms of the mozilla public license v. 2.0": "mpl2_ref",
+    "this source code form is subject to the terms of the mozilla public license v": "mpl2_ref",
     "this is free and unencumbered software released into the public domain": "unlicense_ref",
     "all rights reserved": "reserved",
 }

@@ -43,7 +43,7 @@ def _pieces(size: int, json_path: str | None, ranks_path: str | None):
 
 
 def _fullest(counts: list[int], room: int) -> dict[int, int]:
-    """The multiset of available lengths with the largest sum up to ``room``; long pieces preferred.
+    """A multiset of available lengths with the largest sum up to ``room``; long pieces are tried first.
 
     Subset sums are the bits of one integer: offering a length shifts it. Each offered group of a
     length (1, 2, 4, ... pieces of it) keeps the bits before it, to walk back from the best sum.

@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 from .bpe import default_path
 
@@ -163,7 +164,7 @@ def transducer(path: str | None = None) -> PieceTransducer:
 def encode_pieces(docs: DataFrame, text: str = "text", path: str | None = None) -> DataFrame:
     """``docs`` with ``piece_ids`` (array of int); null texts have null, empty ones none. Clashing columns are replaced."""
     kept = [c for c in docs.columns if c != "piece_ids"]
-    shape = docs.select(*kept).schema.add("piece_ids", "array<int>")
+    shape = docs.select(*kept).schema.add("piece_ids", ArrayType(IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = transducer(path)
