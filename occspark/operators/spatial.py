@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import bbox, intersects, laea, parity, within
 from ..functions.geo import boundary_distance as to_boundary
-from ..plans.shared import BROADCAST_ROWS, cut
+from ..plans.shared import BROADCAST_ROWS, checked, cut, is_small
 
 POINT_ID = "gbifID"
 #: Side of a tile in degrees.
@@ -29,13 +29,9 @@ def _tiles(sites: DataFrame, box: str, side: float) -> DataFrame:
     return sites.select("index_right", F.col(box).alias("box"), F.explode(across).alias("tx"), up.alias("up")).select("index_right", "box", "tx", F.explode("up").alias("ty"))
 
 
-def _small(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    return df.limit(limit + 1).count() <= limit
-
-
-def _checked(df: DataFrame, small: bool) -> DataFrame:
-    """Broadcast only what was counted as small; else a sort-merge join, whose large keys are split at run time."""
-    return F.broadcast(df) if small else df.hint("merge")
+def _few_edges(sites: DataFrame, column: str, limit: int = BROADCAST_ROWS) -> bool:
+    """Whether all shapes together have few edges: their size is in these, not in their number (some 40 bytes each)."""
+    return (sites.agg(F.sum(F.size(column))).first()[0] or 0) <= limit
 
 
 def containing_pairs(points: DataFrame, sites: DataFrame, test=within, side: float = TILE, limit: int = BROADCAST_ROWS) -> DataFrame:
@@ -45,12 +41,12 @@ def containing_pairs(points: DataFrame, sites: DataFrame, test=within, side: flo
     points and bounding boxes that share a tile; edges join only those that pass the box.
     """
     tiles = _tiles(sites, "bbox", side)
-    small = _small(tiles, limit)
+    small = is_small(tiles, limit)
     lon, lat = F.col("decimalLongitude"), F.col("decimalLatitude")
     at = points.filter(lon.isNotNull() & lat.isNotNull()).select(POINT_ID, lon.alias("x"), lat.alias("y"))
     at = at.withColumns({"tx": F.floor(F.col("x") / F.lit(side)).cast("long"), "ty": F.floor(F.col("y") / F.lit(side)).cast("long")})
-    near = at.join(_checked(tiles, small), ["tx", "ty"]).filter(F.col("x").between(F.col("box.min_x"), F.col("box.max_x")) & F.col("y").between(F.col("box.min_y"), F.col("box.max_y")))
-    shapes = _checked(sites.select("index_right", "edges"), small)
+    near = at.join(checked(tiles, small), ["tx", "ty"]).filter(F.col("x").between(F.col("box.min_x"), F.col("box.max_x")) & F.col("y").between(F.col("box.min_y"), F.col("box.max_y")))
+    shapes = checked(sites.select("index_right", "edges"), _few_edges(sites, "edges", limit))
     return near.join(shapes, "index_right").filter(test(F.col("x"), F.col("y"), F.col("edges"))).select(POINT_ID, "index_right")
 
 
@@ -58,7 +54,7 @@ def join_sites(points: DataFrame, sites: DataFrame, side: float = TILE, limit: i
     """Left join: each point once per site that it lies within, or once with null site columns."""
     kept = [c for c in sites.columns if c not in ("rings", "edges", "metric_edges", "bbox")]
     pairs = containing_pairs(points, sites, within, side, limit)
-    named = pairs.join(_checked(sites.select(*kept), _small(sites, limit)), "index_right")
+    named = pairs.join(checked(sites.select(*kept), is_small(sites, limit)), "index_right")
     return points.join(named, POINT_ID, "left")
 
 
@@ -89,7 +85,7 @@ def _metric(points: DataFrame, *keys: str) -> DataFrame:
 def inside_distances(joined: DataFrame, sites: DataFrame) -> DataFrame:
     """(gbifID, index_right, dist_to_boundary_m) of inside rows: metres to the boundary of their own site."""
     at = _metric(joined.filter("index_right is not null"), POINT_ID, "index_right")
-    shapes = _checked(sites.select("index_right", "metric_edges"), _small(sites))
+    shapes = checked(sites.select("index_right", "metric_edges"), _few_edges(sites, "metric_edges"))
     return at.join(shapes, "index_right").select(POINT_ID, "index_right", to_boundary(F.col("x"), F.col("y"), F.col("metric_edges")).alias("dist_to_boundary_m"))
 
 
@@ -101,20 +97,21 @@ def nearest_distances(points: DataFrame, sites: DataFrame, side: float = NEAR_TI
     with tiles four times the side. With ``max_distance`` the search ends there with null.
     """
     boxes = cut(sites.select("index_right", "metric_edges", bbox(F.array(F.transform("metric_edges", lambda e: F.struct(e["x1"].alias("x"), e["y1"].alias("y"))))).alias("mbox")))
-    small = _small(boxes)
+    few = _few_edges(boxes, "metric_edges")
     pending, done = cut(_metric(points, POINT_ID).distinct()), None
     if not boxes.limit(1).count():
         return pending.select(POINT_ID, F.lit(None).cast("double").alias("dist_to_polygon_m"))
     steps = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)))
     while True:
         tiles = _tiles(boxes, "mbox", side)
+        small = is_small(tiles)
         around = pending.withColumn("s", F.explode(steps))
         around = around.select(POINT_ID, "x", "y", (F.floor(F.col("x") / F.lit(side)) + F.col("s.i")).cast("long").alias("tx"), (F.floor(F.col("y") / F.lit(side)) + F.col("s.j")).cast("long").alias("ty"))
-        pairs = around.join(_checked(tiles, small), ["tx", "ty"]).select(POINT_ID, "x", "y", "index_right", *_box_bounds())
+        pairs = around.join(checked(tiles, small), ["tx", "ty"]).select(POINT_ID, "x", "y", "index_right", *_box_bounds())
         # Only sites whose box begins nearer than another's ends can be the nearest; edges are measured for these.
         least = F.min("farthest").over(Window.partitionBy(POINT_ID))
         pairs = pairs.withColumn("least", least).filter(F.col("nearest") <= F.col("least")).select(POINT_ID, "x", "y", "nearest", "index_right")
-        measured = pairs.join(_checked(boxes.select("index_right", "metric_edges"), small), "index_right")
+        measured = pairs.join(checked(boxes.select("index_right", "metric_edges"), few), "index_right")
         x, y, es = F.col("x"), F.col("y"), F.col("metric_edges")
         distance = F.when((F.col("nearest") == 0) & parity(x, y, es), F.lit(0.0)).otherwise(to_boundary(x, y, es))
         measured = measured.groupBy(POINT_ID).agg(F.min(distance).alias("dist_to_polygon_m"))

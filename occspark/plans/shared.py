@@ -26,6 +26,24 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder that goes when the driver's JVM ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
+    return path
+
+
+def is_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
+    """Whether a (materialised) table has at most ``limit`` rows, reading no more than it takes to tell."""
+    return df.limit(limit + 1).count() <= limit
+
+
+def checked(df: DataFrame, small: bool | None = None) -> DataFrame:
+    """A join side that is broadcast only if it was counted as small; else the join sorts and merges, and Spark splits large keys."""
+    return F.broadcast(df) if (is_small(df) if small is None else small) else df.hint("merge")
+
+
 def cut(df: DataFrame, *partition_by: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back: lineage ends there.
 
@@ -34,12 +52,9 @@ def cut(df: DataFrame, *partition_by: str) -> DataFrame:
     driver's JVM ends.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
+    path = scratch(spark, "cut")
     writer = df.write
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(conf).deleteOnExit(at)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -58,7 +73,7 @@ def lookup_join(left: DataFrame, right: DataFrame, key: str, spread: Column, lim
     """
     r = right.withColumnRenamed(key, "__key")
     left = left.drop(*(c for c in r.columns if c in left.columns))
-    if r.limit(limit + 1).count() <= limit:
+    if is_small(r, limit):
         return left.join(F.broadcast(r), left[key].eqNullSafe(r["__key"]), "left").drop("__key")
     lhs = left.withColumn("__salt", salted(spread))
     rhs = r.withColumn("__rsalt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
