@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.shared import BROADCAST_ROWS, cut
+from ..plans.shared import checked, cut, is_small
 from .bpe import encoder
 
 SEQUENCE = 2048
@@ -147,7 +147,6 @@ def pack_documents(docs: DataFrame, doc_id: str = "doc_id", size: int = SEQUENCE
     counts = {r["length"]: r["n"] for r in totals.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     slots = docs.sparkSession.sparkContext.broadcast(_slots(plan_bins(counts, size)))
     before = totals.selectExpr("length as __length", "part as __part", "sum(n) over (partition by length order by part) - n as __before")
-    before = F.broadcast(before) if totals.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else before.hint("merge")
-    ranked = pieces.join(before, (F.col("length") == F.col("__length")) & (F.col("part") == F.col("__part")))
+    ranked = pieces.join(checked(before, is_small(totals)), (F.col("length") == F.col("__length")) & (F.col("part") == F.col("__part")))
     ranked = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("__before") + F.col("nth")).alias("rank"))
     return ranked.mapInArrow(_place(slots), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.shared import cut, shared_dir
+from ..plans.shared import cut, scratch
 from .ann import nearest_neighbours
 from .html import extract_main_text
 from .licenses import CUES, RULES, SENTENCES, cue_pattern, scan_licenses
@@ -54,12 +52,13 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = docs.withColumn("revised", F.when(stripped != F.col("text"), stripped)).withColumn("copy_of", F.md5("text"))
     counted = cut(token_counts(both.drop("revised")).withColumn("revision", F.lit(False)).unionByName(token_counts(both.filter("revised is not null").drop("text").withColumnRenamed("revised", "text")).withColumn("revision", F.lit(True))))
     first = counted.filter("not revision")
-    kept = first.filter("copy_of is not null").groupBy("copy_of").agg(F.min("doc_id").alias("kept_id"))
+    # Written down, so that the join below shuffles both sides anew and can split the key of many copies.
+    kept = cut(first.filter("copy_of is not null").groupBy("copy_of").agg(F.min("doc_id").alias("kept_id")))
     copies = first.join(kept, "copy_of").filter("doc_id <> kept_id")
     original = copies.select("doc_id").distinct()
     revised = counted.filter("revision").join(original, "doc_id", "left_anti")
     replaced = first.join(revised.select("doc_id"), "doc_id", "left_semi")
-    rollup = TokenRollup(spark, f"{shared_dir(spark)}/rollup-{uuid.uuid4().hex}")
+    rollup = TokenRollup(spark, scratch(spark, "rollup"))
     insert = document_deltas(first, 1)
     rollup.commit("0-insert", insert)
     rollup.commit("1-retract-copies", document_deltas(copies, -1))

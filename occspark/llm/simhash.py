@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.components import connected_components
-from ..plans.shared import cut
+from ..plans.shared import checked, cut
 from .text import let, shingles, words
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -205,4 +205,4 @@ def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", group: int = G
     """``docs`` without the documents whose component has a smaller id; rows without an id stay."""
     found = simhash_components(docs, doc_id, group)
     gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(cut(gone), docs[doc_id] == F.col("__gone"), "left_anti")
+    return docs.join(checked(cut(gone)), docs[doc_id] == F.col("__gone"), "left_anti")
