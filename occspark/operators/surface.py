@@ -51,15 +51,23 @@ def hotspot_cells(cells: DataFrame, quantile: float = 0.95) -> DataFrame:
     return some.join(F.broadcast(limit)).filter("n_occurrences >= threshold")
 
 
-def histogram(cells: DataFrame, column: str, bins: int, log: bool = False) -> DataFrame:
-    """(bin, lower, upper, n): bins of equal width over the positive values, the last one closed; empty ones are left out."""
-    x = F.log1p(column) if log else F.col(column).cast("double")
-    values = cells.filter(F.col(column) > 0).select(x.alias("x"))
-    ends = values.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
-    width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
-    at = F.when(width > 0, F.least(F.floor((F.col("x") - F.col("lo")) / F.when(width > 0, width)), F.lit(bins - 1).cast("long"))).otherwise(F.lit(0).cast("long"))
-    counted = values.join(F.broadcast(ends)).withColumn("bin", at).groupBy("bin", "lo", "hi").agg(F.count(F.lit(1)).alias("n"))
-    return counted.select("bin", (F.col("lo") + F.col("bin") * width).alias("lower"), (F.col("lo") + (F.col("bin") + 1) * width).alias("upper"), "n")
+def histogram(cells: DataFrame, column: str, bins: int, nonzero: bool = False) -> DataFrame:
+    """(bin, lower, upper, n): all bins of equal width between the least and greatest value, the last one closed.
+
+    Values belong to bins by comparison with the bins' own ends. A single value gets bins from half
+    below to half above it. No values give no bins. ``nonzero`` leaves out zeros.
+    """
+    values = cells.select(F.col(column).cast("double").alias("x")).filter("x > 0" if nonzero else "x is not null")
+    ends = values.agg(F.min("x").alias("lo"), F.max("x").alias("hi")).filter("lo is not null")
+    ends = ends.select(*((F.col(c) + F.when(F.col("lo") == F.col("hi"), F.lit(d)).otherwise(F.lit(0.0))).alias(c) for c, d in (("lo", -0.5), ("hi", 0.5))))
+    ends = ends.withColumn("w", (F.col("hi") - F.col("lo")) / F.lit(float(bins)))
+    first = F.least(F.floor((F.col("x") - F.col("lo")) / F.col("w")), F.lit(bins - 1).cast("long"))
+    edge = lambda k: F.col("lo") + (F.col("k") + k) * F.col("w")
+    moved = F.when(F.col("x") < edge(0), F.col("k") - 1).when((F.col("x") >= edge(1)) & (F.col("k") < bins - 1), F.col("k") + 1).otherwise(F.col("k"))
+    counted = values.join(F.broadcast(ends)).withColumn("k", first).groupBy(moved.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    every = ends.withColumn("bin", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(bins - 1).cast("long"))))
+    out = every.join(counted, "bin", "left")
+    return out.select("bin", (F.col("lo") + F.col("bin") * F.col("w")).alias("lower"), (F.col("lo") + (F.col("bin") + 1) * F.col("w")).alias("upper"), F.coalesce("n", F.lit(0).cast("long")).alias("n"))
 
 
 def grid_sample(cells: DataFrame, n: int = 5000, seed: int = 42) -> DataFrame:

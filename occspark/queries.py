@@ -659,22 +659,34 @@ def hotspot_cells(spark, sf_dir):
     return surface.hotspot_cells(_cells(spark, sf_dir)).select("cell_id", "n_occurrences", "threshold")
 
 
-def _histogram_sql(column: str, bins: int) -> str:
-    return f"""WITH {CELLS_SQL}, x AS (SELECT {column} * 1e0 AS x FROM cells WHERE {column} > 0), e AS (SELECT min(x) AS lo, max(x) AS hi, (max(x) - min(x)) / {bins}e0 AS w FROM x),
-b AS (SELECT CASE WHEN w > 0 THEN CAST(least(floor((x - lo) / w), {bins - 1}) AS BIGINT) ELSE 0 END AS bin, lo, w FROM x CROSS JOIN e)
-SELECT bin, round(lo + bin * w, 6) AS lower, round(lo + (bin + 1) * w, 6) AS upper, count(*) AS n FROM b GROUP BY bin, lo, w"""
+def _histogram_sql(column: str, bins: int, nonzero: bool) -> str:
+    return f"""WITH {CELLS_SQL}, x AS (SELECT {column} * 1e0 AS x FROM cells WHERE {column} {'>' if nonzero else '>='} 0), e0 AS (SELECT min(x) AS a, max(x) AS b FROM x),
+e AS (SELECT lo, (hi - lo) / {bins}e0 AS w FROM (SELECT CASE WHEN a = b THEN a - 5e-1 ELSE a END AS lo, CASE WHEN a = b THEN b + 5e-1 ELSE b END AS hi FROM e0)),
+k AS (SELECT x, lo, w, CAST(least(floor((x - lo) / w), {bins - 1}) AS BIGINT) AS k FROM x CROSS JOIN e),
+c AS (SELECT CASE WHEN x < lo + k * w THEN k - 1 WHEN x >= lo + (k + 1) * w AND k < {bins - 1} THEN k + 1 ELSE k END AS bin, count(*) AS n FROM k GROUP BY 1)
+SELECT i.bin, round(lo + i.bin * w, 6) AS lower, round(lo + (i.bin + 1) * w, 6) AS upper, coalesce(n, 0) AS n FROM e CROSS JOIN (SELECT unnest(range({bins})) AS bin) AS i LEFT JOIN c ON c.bin = i.bin"""
 
 
-@query(_histogram_sql("n_occurrences", 50))
+@query(_histogram_sql("n_occurrences", 50, False))
 def occurrence_histogram(spark, sf_dir):
     return _rounded(surface.histogram(_cells(spark, sf_dir), "n_occurrences", 50), 6, "lower", "upper")
 
 
-@query(_histogram_sql("n_species", 20))
+@query(_histogram_sql("n_occurrences", 30, True))
+def occurrence_histogram_nonzero(spark, sf_dir):
+    return _rounded(surface.histogram(_cells(spark, sf_dir), "n_occurrences", 30, nonzero=True), 6, "lower", "upper")
+
+
+@query(_histogram_sql("n_species", 20, False))
 def species_histogram(spark, sf_dir):
     return _rounded(surface.histogram(_cells(spark, sf_dir), "n_species", 20), 6, "lower", "upper")
 
 
+@query(_histogram_sql("n_species", 10, True))
+def species_histogram_nonzero(spark, sf_dir):
+    return _rounded(surface.histogram(_cells(spark, sf_dir), "n_species", 10, nonzero=True), 6, "lower", "upper")
+
+
 @query()
 def grid_sample(spark, sf_dir):
     return surface.grid_sample(hexgrid.hex_grid(_area(spark, sf_dir), HEX), 50)
@@ -748,6 +760,31 @@ def lost_points(spark, sf_dir):
     return validate.lost_points(points, spatial.containing_pairs(points, X.sites(spark, sf_dir))).select("gbifID")
 
 
+@query(
+    f"WITH {CELLS_SQL} SELECT count(*) AS n_points, count(CASE WHEN a THEN 1 END) AS n_in_area, count(CASE WHEN g THEN 1 END) AS n_in_grid, count(CASE WHEN NOT a THEN 1 END) AS missing_area, count(CASE WHEN NOT g THEN 1 END) AS missing_grid "
+    "FROM (SELECT gbifID IN (SELECT gbifID FROM selected) AS a, cell_id IN (SELECT cell_id FROM grid) AS g FROM assigned)"
+)
+def lost_point_counts(spark, sf_dir):
+    area = _area(spark, sf_dir)
+    return validate.lost_point_counts(X.occurrences(spark, sf_dir), area, hexgrid.hex_grid(area, HEX), HEX)
+
+
+@query(f"WITH {JOINED_SQL} SELECT MS, count(*) AS occurrences FROM joined WHERE MS IS NOT NULL GROUP BY MS ORDER BY occurrences DESC, MS LIMIT 15")
+def top_member_states(spark, sf_dir):
+    return summaries.top_groups(_joined(spark, sf_dir), "MS", 15)
+
+
+@query(f"WITH {CLASS_SQL} SELECT baseline_within, count(*) AS n_occurrences, {_pct('count(*)', '(SELECT count(*) FROM classified)')} AS percentage FROM classified GROUP BY baseline_within")
+def baseline_within_distribution(spark, sf_dir):
+    return summaries.distribution(_classified(spark, sf_dir), "baseline_within", "baseline_within")
+
+
+@query(f"WITH {CLASS_SQL} SELECT (SELECT count(*) FROM joined) AS n_a, (SELECT count(*) FROM classified) AS n_b, true AS same")
+def joined_row_parity(spark, sf_dir):
+    joined = cut(_joined(spark, sf_dir))
+    return validate.same_rows(joined, uncertainty.classify(joined, X.sites(spark, sf_dir)))
+
+
 def _validation_sql() -> str:
     yes = lambda name, cond, details, source="cells": f"SELECT '{name}' AS check_name, {cond} AS passed, {details} AS details FROM {source}"
     text = lambda x: f"CAST({x} AS STRING)"

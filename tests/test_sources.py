@@ -132,3 +132,25 @@ def test_guards(spark, tmp_path):
         files.require_rows(spark.createDataFrame([], "a long"), "table")
     with pytest.raises(ValueError):
         files.require_columns(spark.createDataFrame([], "a long"), "b")
+
+
+def test_run_log(tmp_path):
+    from datetime import datetime
+
+    from occspark.sources.runlog import run_log
+
+    log = run_log(str(tmp_path), "readiness", datetime(2025, 1, 2, 3, 4))
+    log.info("12 rows")
+    assert (tmp_path / "readiness_20250102_0304.log").read_text().rstrip().endswith("- 12 rows")
+
+
+def test_filters_reach_the_scan(spark, tmp_path):
+    from occspark.operators.predicates import basis_filter, uncertainty_filter
+
+    path = f"file://{tmp_path}/o"
+    clean.filter_occurrences(spark.createDataFrame([tuple(r) for r in ROWS], ", ".join(f"{c} string" for c in RAW_COLUMNS))).write.parquet(path)
+    df = spark.read.parquet(path).filter(basis_filter(FilterSpec()) & uncertainty_filter(FilterSpec())).select("gbifID")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    pushed = plan[plan.index("PushedFilters") :]
+    assert "Or(IsNull(coordin" in pushed and "In(basisOfRecord" in pushed
+    assert "scientificName" not in pushed

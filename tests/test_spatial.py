@@ -148,10 +148,17 @@ def test_moran(spark):
 
 def test_histogram_and_hotspots(spark):
     cells = spark.createDataFrame([(str(i), i) for i in range(11)], "cell_id string, n_occurrences long")
-    bins = {r["bin"]: r["n"] for r in surface.histogram(cells, "n_occurrences", 3).collect()}
-    assert bins == {0: 3, 1: 3, 2: 4}
+    import numpy as np
+
+    for values, n in ((list(range(11)), 3), ([0, 1, 1, 2, 5, 8, 13, 21, 300], 50), ([7, 7, 7], 10), ([0, 3, 3, 9, 27], 30)):
+        df = spark.createDataFrame([(str(i), v) for i, v in enumerate(values)], "cell_id string, n_occurrences long")
+        for nonzero in (False, True):
+            counts, edges = np.histogram([v for v in values if v or not nonzero], bins=n)
+            got = surface.histogram(df, "n_occurrences", n, nonzero).orderBy("bin").collect()
+            assert [r["n"] for r in got] == counts.tolist()
+            assert np.allclose([r["lower"] for r in got], edges[:-1]) and np.allclose([r["upper"] for r in got], edges[1:])
+    assert surface.histogram(cells.limit(0), "n_occurrences", 3).count() == 0
     assert [r["n_occurrences"] for r in surface.hotspot_cells(cells, 0.95).collect()] == [10]
-    assert surface.histogram(cells.filter("n_occurrences = 5"), "n_occurrences", 3).first()["n"] == 1
     a, b = (surface.grid_sample(cells.repartition(k), 4).select("cell_id").collect() for k in (1, 6))
     assert a == b and len(a) == 4
 
