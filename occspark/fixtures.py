@@ -5,6 +5,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,20 +66,20 @@ def _view(spark: SparkSession, sf_dir: str, sql: str, table: str) -> DataFrame:
 _STAGED: dict[tuple[str, str, str], DataFrame] = {}
 
 
-def _staged(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    """A view stored once per application and input as Parquet in several files, as an occurrence store would be."""
-    key = (spark.sparkContext.applicationId, sf_dir, sql)
+def _staged(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """A table stored once per application and input as Parquet in several files, as occurrence and site stores would be."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _STAGED:
-        _STAGED[key] = cut(_view(spark, sf_dir, sql, "orders").repartition(spark.sparkContext.defaultParallelism))
+        _STAGED[key] = cut(make().repartition(spark.sparkContext.defaultParallelism))
     return _STAGED[key]
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _staged(spark, sf_dir, RAW)
+    return _staged(spark, sf_dir, "raw", lambda: _view(spark, sf_dir, RAW, "orders"))
 
 
 def occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _staged(spark, sf_dir, OCC)
+    return _staged(spark, sf_dir, "occurrences", lambda: _view(spark, sf_dir, OCC, "orders"))
 
 
 def species(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,6 +88,10 @@ def species(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One diamond per supplier, prepared."""
+    return _staged(spark, sf_dir, "sites", lambda: _sites(spark, sf_dir))
+
+
+def _sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _view(spark, sf_dir, SITE, "supplier")
     p = lambda dx, dy: F.struct((F.col("cx") + dx).alias("x"), (F.col("cy") + dy).alias("y"))
     r, zero = F.col("r"), F.lit(0.0)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,8 +36,8 @@ def _few_edges(sites: DataFrame, column: str, limit: int = BROADCAST_ROWS) -> bo
     return (sites.agg(F.sum(F.size(column))).first()[0] or 0) <= limit
 
 
-def containing_pairs(points: DataFrame, sites: DataFrame, test=within, side: float = TILE, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """(gbifID, index_right) of each point and each site that holds it.
+def containing_pairs(points: DataFrame, sites: DataFrame, test=within, side: float = TILE, limit: int = BROADCAST_ROWS, carry: Sequence[str] = ()) -> DataFrame:
+    """(gbifID, index_right) of each point and each site that holds it, with the site's columns ``carry``.
 
     ``points``: gbifID, decimalLongitude, decimalLatitude. ``sites``: as prepared. Candidates are
     points and bounding boxes that share a tile; edges join only those that pass the box.
@@ -46,16 +48,14 @@ def containing_pairs(points: DataFrame, sites: DataFrame, test=within, side: flo
     at = points.filter(lon.isNotNull() & lat.isNotNull()).select(POINT_ID, lon.alias("x"), lat.alias("y"))
     at = at.withColumns({"tx": F.floor(F.col("x") / F.lit(side)).cast("long"), "ty": F.floor(F.col("y") / F.lit(side)).cast("long")})
     near = at.join(checked(tiles, small), ["tx", "ty"]).filter(F.col("x").between(F.col("box.min_x"), F.col("box.max_x")) & F.col("y").between(F.col("box.min_y"), F.col("box.max_y")))
-    shapes = checked(sites.select("index_right", "edges"), _few_edges(sites, "edges", limit))
-    return near.join(shapes, "index_right").filter(test(F.col("x"), F.col("y"), F.col("edges"))).select(POINT_ID, "index_right")
+    shapes = checked(sites.select("index_right", "edges", *carry), _few_edges(sites, "edges", limit))
+    return near.join(shapes, "index_right").filter(test(F.col("x"), F.col("y"), F.col("edges"))).select(POINT_ID, "index_right", *carry)
 
 
 def join_sites(points: DataFrame, sites: DataFrame, side: float = TILE, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Left join: each point once per site that it lies within, or once with null site columns."""
-    kept = [c for c in sites.columns if c not in ("rings", "edges", "metric_edges", "bbox")]
-    pairs = containing_pairs(points, sites, within, side, limit)
-    named = pairs.join(checked(sites.select(*kept), is_small(sites, limit)), "index_right")
-    return points.join(named, POINT_ID, "left")
+    kept = [c for c in sites.columns if c not in ("index_right", "rings", "edges", "metric_edges", "bbox")]
+    return points.join(containing_pairs(points, sites, within, side, limit, kept), POINT_ID, "left")
 
 
 def points_in_area(points: DataFrame, area: DataFrame, name: str, side: float = TILE) -> DataFrame:
