@@ -171,10 +171,10 @@ def deduce_templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_text_page
     most, since each is on every page. The row whose host is null is the template over all hosts.
     """
     vector = F.bit_xor(F.xxhash64("page", "n"))
-    pooled = F.sum("chars").alias("chars"), F.bool_and("content").alias("content"), F.first("path").alias("path")
+    pooled = F.sum("chars").alias("chars"), F.bool_and("content").alias("content")
     seen = pages.mapInArrow(_tokens, _TOKENS)
-    # ``host`` and a token together decide the path, so any row's path will do.
-    tokens = cut(seen.groupBy("host", "token").agg(vector.alias("vector"), F.count(F.lit(1)).alias("pages"), *pooled))
+    # A token decides its path; with it among the keys all sums have fixed size and hash aggregation applies.
+    tokens = cut(seen.groupBy("host", "token", "path").agg(vector.alias("vector"), F.count(F.lit(1)).alias("pages"), *pooled))
     once = cut(pages.mapInArrow(_page_keys, "host string, page long").groupBy("host").agg(F.bit_xor(F.xxhash64("page", F.lit(1).cast("long"))).alias("all_once"), F.count(F.lit(1)).alias("host_pages")))
     joined = tokens.join(once, "host")
     template = (F.col("vector") == F.col("all_once")) & (F.col("host_pages") >= min_pages)
