@@ -550,7 +550,7 @@ def species_metrics(spark, sf_dir):
 
 @query(
     f"""WITH {JOINED_SQL}, s AS (SELECT SITECODE, {_ATTRIBUTES}, count(*) AS n_occurrences, {_YEARS} FROM joined WHERE SITECODE IS NOT NULL GROUP BY SITECODE)
-SELECT *, year_max - year_min + 1 AS expected_years, year_max - year_min + 1 - n_years AS missing_years, round(greatest(0e0, least(1e0, (year_max - year_min + 1 - n_years) / (year_max - year_min + 1e0))), 9) AS gap_fraction FROM s"""
+SELECT *, year_max - year_min + 1 AS expected_years, year_max - year_min + 1 - n_years AS missing_years, CASE WHEN year_min IS NOT NULL THEN round(greatest(0e0, least(1e0, (year_max - year_min + 1 - n_years) / (year_max - year_min + 1e0))), 9) END AS gap_fraction FROM s"""
 )
 def site_temporal_gaps(spark, sf_dir):
     return _rounded(metrics.site_temporal_gaps(_joined(spark, sf_dir)), 9, "gap_fraction")
