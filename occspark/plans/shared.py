@@ -58,6 +58,15 @@ def cut(df: DataFrame, *partition_by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table of fewer files than cores, its rows dealt over all cores: a row group is read by one task.
+
+    Tables with files enough, which large ones have, are left as they are and not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def salted(key: Column, salts: int = SALT) -> Column:
     """A bucket from 0 to ``salts - 1`` that depends on ``key`` only, so retries agree."""
     return F.pmod(F.xxhash64(key), F.lit(salts)).cast("int")
