@@ -14,7 +14,7 @@ from occspark.llm.linededup import drop_boilerplate_lines
 from occspark.llm.packing import pack_documents
 from occspark.llm.quality import apply_quality_rules
 from occspark.llm.simhash import drop_near_duplicates
-from occspark.plans.shared import cut
+from occspark.plans.shared import cut, spread
 
 ORACLE_SQL = None
 
@@ -56,7 +56,7 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over ``documents``, each one's result written before the next reads it."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.shared import cut, scratch
+from ..plans.shared import cut, scratch, spread
 from .ann import nearest_neighbours
 from .html import extract_main_text
 from .licenses import CUES, RULES, SENTENCES, cue_pattern, scan_licenses
@@ -19,7 +19,7 @@ from .transducer import piece_digest
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{table}.parquet"))
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
