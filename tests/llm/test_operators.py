@@ -288,6 +288,38 @@ def test_held_out_text_is_better_than_chance(spark, sf_dir):
     assert network > unigram
 
 
+def test_scores_are_of_words_and_counts_of_words_grow(spark):
+    rng = random.Random(3)
+    said = [f"w{k}" for k in range(600)]
+    pairs = [(said[k], said[k + 1]) for k in range(200, 600, 2)]
+    rows = [(i, " ".join(x for _ in range(40) for x in (rng.choice(said[:150]), *rng.choice(pairs)))) for i in range(120)]
+    order = " ".join(x for a, b in pairs[:60] for x in (a, b)).split()
+    shuffled = rng.sample(order, len(order))
+    rows += [(1000, " ".join(order)), (1001, " ".join(shuffled)), (1002, " ".join(f"q{k}" for k in range(120))), (1003, None), (1004, " ")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    p = lmscore.LmParameters(steps=5, bucket_bytes=9_000)
+    got = {r["doc_id"]: r for r in lmscore.score_documents(df, p=p).collect()}
+    # Brute force over the same network: counts of all words and pairs, whatever the bucket.
+    common = lmscore.common_words(df, "text", p.common)
+    counted = lmscore.triple_counts(df, "text", common, p).orderBy("triple").toPandas()
+    t, n, c = counted["triple"].to_numpy(), counted["n"].to_numpy(), p.classes
+    logs, in_class = lmscore.train(t, n, p), np.bincount(t // c % c, weights=n, minlength=c)
+    docs = {d: [None, *brute.WORD.findall(x or ""), None] for d, x in rows}
+    docs = {d: w for d, w in docs.items() if len(w) > 2}
+    of = Counter(x for w in docs.values() for x in w[1:])
+    both = Counter(x for w in docs.values() for x in zip(w[:-1], w[1:], strict=True))
+    for d, w in docs.items():
+        ids, want = [0, *lmscore.Classes(common, p)(w[1:-1]).tolist(), 0], 0.0
+        for k in range(1, len(w) - 1):
+            prior = p.prior * np.exp(logs[ids[k - 1], ids[k + 1], ids[k]]) * of[w[k]] / in_class[ids[k]]
+            left = (both[w[k - 1], w[k]] - 1 + prior) / (of[w[k - 1]] - 1 + p.prior)
+            want += np.log((left + (both[w[k], w[k + 1]] - 1 + prior) / (of[w[k + 1]] - 1 + p.prior)) / 2)
+        assert np.isclose(got[d]["pseudo_log_likelihood"], want, rtol=1e-6)
+    assert got[1000]["mean_log_probability"] > got[1001]["mean_log_probability"] + 0.3  # the same words in another order
+    assert got[1001]["mean_log_probability"] > got[1002]["mean_log_probability"] + 0.3  # words that stand nowhere else
+    assert got[1003]["n_tokens"] == got[1004]["n_tokens"] == 0 and got[1003]["pseudo_log_likelihood"] == 0.0
+
+
 # 8 ----------------------------------------------------------------------------------------------------
 
 
