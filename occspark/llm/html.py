@@ -4,7 +4,7 @@ Tokens are elements, told apart by their path from the root, and texts, told apa
 wording. Tokens of a host that occur equally often on the same pages form an equivalence class.
 The class of tokens that stand once on every page is valid as elements nest by
 path; it is the host's template. What the template's elements hold besides the template's own texts
-are its slots, and the element whose slots hold the main text is where pages are read.
+are its slots, and the smallest element that holds all slots is where pages are read.
 """
 
 from __future__ import annotations
@@ -25,8 +25,6 @@ from ..plans.shared import cut, lookup_join
 MIN_PAGES = 3
 #: Pages that a text must stand on, being on every page of its host, to be template and not content.
 MIN_TEXT_PAGES = 10
-#: Share of the slot text that the chosen element must hold.
-MAIN_SHARE = 0.6
 
 # Elements by their part in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -184,16 +182,17 @@ def deduce_templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_text_page
     slots = joined.filter("chars > 0 and not template").groupBy("host", "path").agg(F.sum("chars").alias("chars"))
     # A slot's text counts for each element around it: its path and that path's prefixes.
     around = slots.select("host", "chars", F.explode(_prefixes("path")).alias("path")).filter(_name().isin(*CONTAINERS)).groupBy("host", "path").agg(F.sum("chars").alias("chars"))
-    totals = slots.groupBy("host").agg(F.sum("chars").alias("total"))
+    # The element must hold all slots of the pages with its root: what is outside is template or no content.
+    totals = slots.groupBy("host", _root("path").alias("root")).agg(F.sum("chars").alias("total"))
+    around = around.withColumn("root", _root("path"))
     elements = joined.filter("chars = 0 and template").select("host", "path").distinct()
-    best = F.max_by("path", _preference())
-    local = around.join(elements, ["host", "path"]).join(totals, "host").filter(F.col("chars") >= MAIN_SHARE * F.col("total")).groupBy("host").agg(best.alias("main"))
+    best = F.max_by("path", _preference(F.col("total")))
+    local = around.join(elements, ["host", "path"]).join(totals, ["host", "root"]).filter("chars = total").groupBy("host").agg(best.alias("main"))
     texts = joined.filter("chars > 0 and template").groupBy("host").agg(F.collect_set("token").alias("texts"))
     local = local.join(texts, "host", "left").select("host", "main", F.coalesce("texts", F.array().cast("array<bigint>")).alias("texts"))
-    # Over all hosts: the deepest path that holds the share of all slot text, from the sums above.
-    every = around.groupBy("path").agg(F.sum("chars").alias("chars"))
-    total = totals.agg(F.sum("total").alias("total")).first()["total"] or 0
-    pool = every.filter(F.col("chars") >= F.lit(MAIN_SHARE * total)).agg(F.max_by("path", _preference()).alias("main"))
+    # Over all hosts: the path that holds all slot text under its root, from the sums above.
+    every = around.groupBy("root", "path").agg(F.sum("chars").alias("chars")).join(totals.groupBy("root").agg(F.sum("total").alias("total")), "root")
+    pool = every.filter("chars = total").agg(F.max_by("path", _preference(F.col("total"))).alias("main"))
     return local.unionByName(pool.select(F.lit(None).cast("string").alias("host"), "main", F.array().cast("array<bigint>").alias("texts")))
 
 
@@ -201,10 +200,14 @@ def _name() -> Column:
     return F.split(F.element_at(F.split("path", "/"), -1), "\\.")[0]
 
 
-def _preference() -> Column:
+def _root(path: str) -> Column:
+    return F.get(F.split(path, "/"), F.lit(1))
+
+
+def _preference(*first: Column) -> Column:
     """An article or main element before others, the outermost of these; else the deepest container."""
     depth, named = F.size(F.split("path", "/")), _name().isin("article", "main")
-    return F.struct(named, F.when(named, -depth).otherwise(depth), "chars", "path")
+    return F.struct(*first, named, F.when(named, -depth).otherwise(depth), "chars", "path")
 
 
 def _prefixes(path: str) -> Column:

@@ -97,6 +97,23 @@ def test_template_text_goes_on_large_hosts(spark):
     assert {r["text"] for r in html.extract_main_text(df).collect()} == {f"T{i} Body {i}" for i in range(12)}
 
 
+def test_text_outside_the_largest_container_stays(spark):
+    def page(h, i):
+        body = f"long text {i} " * 30
+        if h == "div":
+            return f'<html><body><div class="post"><h1>T{i}</h1><p>lead {i}</p><div class="body"><p>{body}</p></div><p>end {i}</p></div></body></html>', f"T{i} lead {i} {body}end {i}"
+        if h == "table":
+            return f"<html><body><p>intro {i}</p><table><tr><td>{body}</td></tr></table></body></html>", f"intro {i} {body.strip()}"
+        return f"<html><body><h1>T{i}</h1><article><p>{body}</p></article><section><p>notes {i}</p></section></body></html>", f"T{i} {body}notes {i}"
+
+    rows = [(n * 100 + i, f"https://{h}.example/{i}", *page(h, i)) for n, h in enumerate(("div", "table", "article")) for i in range(5)]
+    df = spark.createDataFrame([r[:3] for r in rows], "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html.extract_main_text(df).collect()}
+    assert got == {r[0]: r[3] for r in rows}
+    one = df.filter("url like '%/1'")  # hosts of one page: the template of all hosts
+    assert {r["page_id"]: r["text"] for r in html.extract_main_text(one).collect()} == {r[0]: r[3] for r in rows if r[0] % 100 == 1}
+
+
 def test_extraction_of_test_pages(spark, sf_dir):
     import re
     from html import unescape
