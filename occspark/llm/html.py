@@ -2,8 +2,8 @@
 
 Tokens are elements, told apart by their path from the root, and texts, told apart by path and
 wording. Tokens of a host that occur equally often on the same pages form an equivalence class.
-The class of tokens that stand once on every page is valid as elements nest by
-path; it is the host's template. What the template's elements hold besides the template's own texts
+Classes on more than half of the host's pages are valid if elements are among them and nest their texts by
+path; together they are the host's template. What the template's elements hold besides the template's own texts
 are its slots, and the smallest element that holds all slots is where pages are read.
 """
 
@@ -152,6 +152,8 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     elements.setdefault(path, [0, content])[0] += 1
                 elif said := _squeezed(text):
                     texts.setdefault((path, said), [0, content])[0] += 1
+            if elements or texts:
+                rows.append((host, _hash(""), "", 1, 0, False, own))  # the page itself, so that those with tokens are counted
             rows += [(host, _hash(p), p, n, 0, c, own) for p, (n, c) in elements.items()]
             rows += [(host, _hash(f"{p}\n{t}"), p, n, len(t) * n, c, own) for (p, t), (n, c) in texts.items()]
         columns = list(zip(*rows, strict=True)) or [[]] * 7
@@ -164,21 +166,28 @@ def deduce_templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_text_page
 
     A token's occurrence vector over the host's pages is kept as the exclusive-or of a hash of
     (page, count): equal vectors have equal values, and it is combined before the shuffle, on
-    (host, token), so no host's pages are ever gathered. The root element's class is the template:
-    its tokens stand once on every page. ``texts`` holds one page's worth of hashes at
-    most, since each is on every page. The row whose host is null is the template over all hosts.
+    (host, token), so no host's pages are ever gathered. Tokens with equal vectors form a class. It
+    is template if it stands equally often on each of its pages, on ``min_pages`` at least and on more than half of
+    those that have tokens at all, and holds an element; other pages, whatever is on them, do not undo it. A text belongs to the
+    class if one of the class's elements is around it, which nests it, and the class has ``min_text_pages``. ``texts``
+    holds fewer hashes than two pages have texts, since each is on more than half of the pages. The row
+    whose host is null is the template over all hosts.
     """
     vector = F.bit_xor(F.xxhash64("page", "n"))
-    pooled = F.sum("chars").alias("chars"), F.bool_and("content").alias("content")
+    pooled = F.sum("chars").alias("chars"), F.bool_and("content").alias("content"), F.min("n").alias("least"), F.max("n").alias("most")
     seen = pages.mapInArrow(_tokens, _TOKENS)
     # A token decides its path; with it among the keys all sums have fixed size and hash aggregation applies.
     tokens = cut(seen.groupBy("host", "token", "path").agg(vector.alias("vector"), F.count(F.lit(1)).alias("pages"), *pooled))
-    once = cut(pages.mapInArrow(_page_keys, "host string, page long").groupBy("host").agg(F.bit_xor(F.xxhash64("page", F.lit(1).cast("long"))).alias("all_once"), F.count(F.lit(1)).alias("host_pages")))
-    joined = tokens.join(once, "host")
-    template = (F.col("vector") == F.col("all_once")) & (F.col("host_pages") >= min_pages)
-    is_text = F.col("chars") > 0
-    joined = joined.withColumn("template", template & (~is_text | (F.col("host_pages") >= min_text_pages)))
-    joined = cut(joined.filter("content").select("host", "token", "path", "chars", "template", "host_pages"))
+    host_pages = tokens.filter("path = ''").select("host", F.col("pages").alias("host_pages"))
+    often = F.expr("least = most and 2 * pages > host_pages") & (F.col("pages") >= min_pages)
+    joined = tokens.filter("path <> ''").join(host_pages, "host").withColumn("often", often)
+    # A class's elements are fewer than those of two pages.
+    classes = cut(joined.filter("often and chars = 0").groupBy("host", "vector").agg(F.collect_set(F.concat("path", F.lit("/"))).alias("nest")))
+    texts_ = joined.filter((F.col("pages") >= min_text_pages) & F.expr("often and chars > 0 and content")).join(classes, ["host", "vector"])
+    texts_ = cut(texts_.filter(F.exists("nest", lambda x: F.concat("path", F.lit("/")).startswith(x))).select("host", "token"))
+    joined = joined.filter("content").join(texts_.withColumn("in_class", F.lit(True)), ["host", "token"], "left")
+    joined = joined.withColumn("template", F.when(F.col("chars") > 0, F.col("in_class").isNotNull()).otherwise(F.expr("often and most = 1")))
+    joined = cut(joined.select("host", "token", "path", "chars", "template"))
     slots = joined.filter("chars > 0 and not template").groupBy("host", "path").agg(F.sum("chars").alias("chars"))
     # A slot's text counts for each element around it: its path and that path's prefixes.
     around = slots.select("host", "chars", F.explode(_prefixes("path")).alias("path")).filter(_name().isin(*CONTAINERS)).groupBy("host", "path").agg(F.sum("chars").alias("chars"))
@@ -215,13 +224,6 @@ def _prefixes(path: str) -> Column:
     return F.transform(parts, lambda _, i: F.concat(F.lit("/"), F.array_join(F.slice(parts, 1, i + 1), "/")))
 
 
-def _page_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        urls = batch["url"].to_pylist()
-        own = [_hash(f"{n} {u}") for n, u in zip(batch["page_id"].to_pylist(), urls, strict=True)]
-        yield pa.RecordBatch.from_arrays([pa.array([host_of(u) for u in urls], pa.string()), pa.array(own, pa.int64())], names=["host", "page"])
-
-
 def main_text(page: str, main: str | None, common: str | None, texts: frozenset[int]) -> str:
     """What a page's template leaves as slots inside the host's main element.
 

@@ -97,6 +97,18 @@ def test_template_text_goes_on_large_hosts(spark):
     assert {r["text"] for r in html.extract_main_text(df).collect()} == {f"T{i} Body {i}" for i in range(12)}
 
 
+def test_odd_pages_leave_the_template_on(spark):
+    notice = '<p class="note">Read our other stories</p>'
+    rows = [(i, f"https://a.example/{i}", _page(f"T{i}", f"Body {i}", extra=notice if i else "")) for i in range(30)]
+    rows += [(100, "https://a.example/100", None), (101, "https://a.example/101", ""), (102, "https://a.example/102", "<div>Not found</div>"), (103, "https://a.example/103", "<html><body><p>Error 103</p></body></html>")]
+    twice = '<html><body><article><p class="n">Share</p><p>Body {i}</p><p class="n">Share</p></article></body></html>'
+    rows += [(200 + i, f"https://b.example/{i}", twice.replace("{i}", str(i))) for i in range(12)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html.extract_main_text(df).collect()}
+    want = {i: f"T{i} Body {i}" for i in range(30)} | {100: "", 101: "", 102: "Not found", 103: "Error 103"} | {200 + i: f"Body {i}" for i in range(12)}
+    assert got == want
+
+
 def test_text_outside_the_largest_container_stays(spark):
     def page(h, i):
         body = f"long text {i} " * 30
