@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -78,20 +78,28 @@ def cue_pattern() -> str:
     return "(?i)" + "|".join(c.replace(" ", "[^A-Za-z0-9.]+") for c in CUES)
 
 
-def normalised_sentences(text: Column) -> Column:
-    """Sentences end at line ends, semicolons, and full stops, ``!`` or ``?`` before a blank or the end.
+def normalised_lines(text: Column) -> Column:
+    """A text's lines, each with all but ASCII letters, digits and inner full stops made one blank, in lower case.
 
-    Then all but ASCII letters, digits and inner full stops becomes one blank, in lower case.
+    An empty line is where a sentence surely ends: at full stops, ``!`` or ``?`` before a blank or the end, and at lines
+    that hold no letters, which may be comment marks. At other line ends, which are put at semicolons, and at
+    colons before a blank or the end, too, it may end or go on.
     """
-    ends = F.split(F.regexp_replace(text, "[.!?;:]+([ \\t\\n\\r]+|\\z)|;", "\n"), "\n")
-    plain = lambda x: F.trim(F.lower(F.regexp_replace(x, "[^A-Za-z0-9.]+", " ")))
-    return F.filter(F.transform(ends, plain), lambda x: x != "")
+    stopped = F.regexp_replace(text, "[;:]*+[.!?][.!?;:]*+([ \\t\\n\\r]+|\\z)", "\n\n")
+    ends = F.split(F.regexp_replace(stopped, "[;:]+([ \\t\\n\\r]+|\\z)|;", "\n"), "\n")
+    return F.array_join(F.transform(ends, lambda x: F.trim(F.lower(F.regexp_replace(x, "[^A-Za-z0-9.]+", " ")))), "\n")
+
+
+def sentence_pattern(sentences: Iterable[str]) -> str:
+    """Matches a known sentence on one or more whole lines; of two that start alike the longer one."""
+    return "(?m)^(?:" + "|".join(s.replace(".", "\\.").replace(" ", "[ \n]") for s in sorted(sentences, key=len, reverse=True)) + ")$"
 
 
 def scan_licenses(docs: DataFrame, sentences: Mapping[str, str] = SENTENCES, rules: Sequence[tuple[str, Sequence[str]]] = RULES) -> DataFrame:
     """``docs`` with ``sentence_ids``, ``licenses`` and ``unmatched_ids`` (arrays of strings).
 
-    ``sentence_ids`` are the known sentences of the whole text in their order, repeats kept.
+    ``sentence_ids`` are the known sentences of the whole text in their order, repeats kept, be they
+    on one line or wrapped over several, with or without comment marks.
     Rules are tried in their order, each wherever its identifiers follow one another; sentences
     that a rule took are gone for later ones. ``licenses`` are the licences found, each once, in
     the order of their places; ``unmatched_ids`` are the sentences that no rule took. Null and
@@ -99,7 +107,8 @@ def scan_licenses(docs: DataFrame, sentences: Mapping[str, str] = SENTENCES, rul
     their names.
     """
     known = F.create_map(*(F.lit(x) for kv in sentences.items() for x in kv))
-    ids = F.transform(F.filter(normalised_sentences(F.col("text")), lambda s: s.isin(*sentences)), lambda s: known[s])
+    said = F.regexp_extract_all(normalised_lines(F.col("text")), F.lit(sentence_pattern(sentences)), F.lit(0))
+    ids = F.transform(said, lambda s: known[F.translate(s, "\n", " ")])
     hit = F.coalesce(F.col("text").rlike(cue_pattern()), F.lit(False))
     out = docs.withColumn("sentence_ids", F.when(hit, ids).otherwise(F.array().cast("array<string>")))
     state = F.concat(F.lit("<"), F.array_join("sentence_ids", "><"), F.lit(">"))

@@ -62,6 +62,28 @@ def test_licences(spark, no_docs):
     assert licenses.scan_licenses(no_docs).count() == 0
 
 
+def test_wrapped_licences(spark):
+    import textwrap
+
+    mit = [
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+        'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.',
+    ]
+    gpl = [
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
+    ]
+    wrapped = lambda parts, mark, end: f"{mark.rstrip()}{end}".join(f"{end}".join(mark + x for x in [*textwrap.wrap(p, 74), ""]) for p in parts)
+    rows = [(k, f"MIT License\nCopyright (c) 2020 A\n{wrapped(mit, mark, end)}", "MIT") for k, (mark, end) in enumerate((("", "\n"), (" * ", "\n"), ("# ", "\r\n")))]
+    rows += [(10, "Permission is hereby granted, free\n\nof charge", None), (11, "Released under\nthe MIT License", "MIT"), (12, "a word\nAll rights reserved\nLicensed under CC BY 4.0\nmore", "CC-BY-4.0")]
+    rows += [(20, wrapped(gpl, "// ", "\n"), "GPL-3.0-or-later")]
+    got = {r["doc_id"]: (r["licenses"], r["sentence_ids"]) for r in licenses.scan_licenses(spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")).collect()}
+    assert {d: x for d, (x, _) in got.items()} == {d: [x] if x else [] for d, _, x in rows}
+    assert all(got[d][1] == ["mit_grant", "mit_notice", "mit_as_is", "mit_liability"] for d in range(3)) and got[12][1] == ["reserved", "cc_by4_ref"]
+    assert got[20][1] == ["gpl3_plus_grant", "gpl_no_warranty", "gpl_see"]
+
+
 def test_every_known_sentence_has_a_cue_and_every_rule_known_sentences(spark):
     assert all(any(c in s for c in licenses.CUES) for s in licenses.SENTENCES)
     assert {i for _, seq in licenses.RULES for i in seq} <= set(licenses.SENTENCES.values())
