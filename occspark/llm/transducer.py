@@ -134,8 +134,11 @@ class PieceTransducer:
         if found is None:
             found = self.old.get(word)
             if found is None:
-                if len(word) > 1 and word[-1] in ",.;:!?)|" and word[-2:] not in self.pairs:
-                    return self._word(word[:-1]) + self._word(word[-1])  # no piece spans these two
+                end = len(word)
+                while end > 1 and word[end - 1] in ",.;:!?)|" and word[end - 2 : end] not in self.pairs:
+                    end -= 1  # no piece spans these two
+                if end < len(word):
+                    return b"".join([self._word(w) for w in (word[:end], *word[end:])])
                 found = self._shortest(word)
             if len(self.young) >= REMEMBERED:
                 self.old, self.young = self.young, {}

@@ -394,6 +394,16 @@ def test_encoding_is_that_of_the_library(machine, spark, sf_dir):
         assert machine.decode(ids) == text.replace("▁", " ")
 
 
+def test_long_runs_of_marks(machine):
+    from sentencepiece import SentencePieceProcessor
+
+    lib = SentencePieceProcessor(model_file=bpe.default_path(transducer.MODEL))
+    for pair in (",;", "|,", "|."):
+        assert not {pair, pair[::-1]} & machine.pairs
+        text = "the " + "word" + pair * 2500 + " end"
+        assert machine.encode(text).tolist() == lib.encode(text)
+
+
 def test_pieces_of_tables(spark, odd_docs, no_docs, machine):
     ids = transducer.encode_pieces(odd_docs.select("doc_id", "text", "piece_ids"))
     back = {r["doc_id"]: r for r in transducer.decode_pieces(ids).collect()}
