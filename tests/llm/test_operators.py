@@ -306,39 +306,53 @@ def test_scores(spark, odd_docs, no_docs):
     assert lmscore.score_documents(no_docs).count() == 0
 
 
-def test_counts_and_sums_against_brute_force(odd_docs):
-    p = lmscore.LmParameters(common=5, hashed=3, steps=3, width=4)
-    texts = [r["text"] for r in odd_docs.collect()]
-    words = [brute.WORD.findall(t or "") for t in texts]
-    common = [w for w, _ in sorted(Counter(w for d in words for w in d).items(), key=lambda x: (-x[1], x[0].encode()))[:5]]
-    assert lmscore.common_words(odd_docs, "text", 5) == common
-    classes, want = lmscore.Classes(common, p), Counter()
-    for d in words:
-        ids = [0, *classes(d).tolist(), 0]
-        want.update((ids[i - 1] * 9 + ids[i]) * 9 + ids[i + 1] for i in range(1, len(ids) - 1))
-    counted = lmscore.triple_counts(odd_docs, "text", common, p).toPandas()
-    assert dict(zip(counted["triple"], counted["n"], strict=True)) == want
-    order = counted.sort_values("triple")
-    logs = lmscore.train(order["triple"].to_numpy(), order["n"].to_numpy(), p)
-    assert np.allclose(np.exp(logs).sum(axis=2), 1, atol=1e-4)
-
-
-def test_held_out_text_is_better_than_chance(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").filter("n_chars < 5000")
-    p = lmscore.LmParameters()
-    rows = docs.filter("doc_id % 5 <> 0")
-    common = lmscore.common_words(rows, "text", p.common)
-    held = lmscore.triple_counts(docs.filter("doc_id % 5 = 0"), "text", common, p).toPandas()
-    seen = lmscore.triple_counts(rows, "text", common, p).orderBy("triple").toPandas()
-    logs = lmscore.train(seen["triple"].to_numpy(), seen["n"].to_numpy(), p)
-    t, n, c = held["triple"].to_numpy(), held["n"].to_numpy(), p.classes
-    alone = np.bincount(seen["triple"].to_numpy() // c % c, weights=seen["n"], minlength=c) + 1
-    network = (logs[t // (c * c), t % c, t // c % c] * n).sum() / n.sum()
-    unigram = (np.log(alone / alone.sum())[t // c % c] * n).sum() / n.sum()
-    assert network > unigram
-
-
-def test_scores_are_of_words_and_counts_of_words_grow(spark):
+def _tokens(texts):
+    ids_of = bpe.encoder()
+    return [ids_of(t) if t and brute.WORD.search(t) else [] for t in texts]
+
+
+def test_held_out_text_is_better_than_its_unigrams(spark, sf_dir):
+    docs, p, v = spark.read.parquet(f"{sf_dir}/documents.parquet"), lmscore.LmParameters(), bpe.vocabulary_size()
+    held, seen = (lmscore.token_chunks(docs.filter(c).select("doc_id", "text"), p) for c in ("doc_id % 5 = 0", "doc_id % 5 <> 0"))
+    totals = lmscore.token_totals(seen, v)
+    want = Counter(i for r in _tokens(r["text"] for r in docs.filter("doc_id % 5 <> 0").collect()) for i in r)
+    assert {i: totals[i] for i in np.flatnonzero(totals)} == want
+    mean = {}
+    for name, model in (("network", lmscore.fit_network(seen, v, p)), ("unigram", lmscore.unigram_network(totals, p))):
+        logs = np.concatenate([model.log_probabilities(c.stream, c.at) for b in held.toArrow().to_batches() for c in lmscore._chunks(b, p.window, v)])
+        mean[name] = logs.mean()
+    shares = (totals + 1) / (totals + 1).sum()
+    ids = [i for r in _tokens(r["text"] for r in docs.filter("doc_id % 5 = 0").collect()) for i in r]
+    assert np.isclose(mean["unigram"], np.log(shares[ids]).mean(), rtol=1e-3)  # training starts from the counts
+    assert mean["network"] > mean["unigram"] + 0.1
+
+
+def test_the_network_predicts_the_whole_vocabulary():
+    rng, p = np.random.default_rng(1), lmscore.LmParameters(window=2, width=5, batch=64)
+    v = 300
+    stream = np.r_[[v] * 2, rng.integers(0, v, 400), [v + 1] * 2].astype(np.int32)
+    model = lmscore.unigram_network(np.bincount(stream[2:-2], minlength=v), p)
+    model.train(stream, np.arange(2, 402), p, 0.2, np.full_like(model.theta, 1e-8), np.zeros(len(model.theta)))
+    for at in (2, 3, 150, 401):
+        every = np.tile(stream[at - 2 : at + 3], (v, 1))
+        every[:, 2] = np.arange(v)
+        logs = model.log_probabilities(every.reshape(-1), np.arange(v) * 5 + 2)
+        assert np.isclose(np.exp(logs).sum(), 1, atol=1e-4)
+        assert np.isclose(logs[stream[at]], _log_probability(model, stream[at - 2 : at], stream[at + 1 : at + 3], stream[at]), rtol=1e-4)
+
+
+def _log_probability(model, left, right, token):
+    """One masked token by hand: the layer, then the way down the tree."""
+    embeddings, nodes, weights, bias = (x.astype(float) for x in model.parts())
+    h = np.tanh(np.concatenate([embeddings[t] for t in [*left, *right]]) @ weights + bias)
+    h[-1] = 1
+    tree, total = model.tree, 0.0
+    for k in range(tree.starts[token], tree.starts[token] + tree.depth[token]):
+        total -= np.log1p(np.exp(-tree.sides[k] * (h @ nodes[tree.nodes[k]])))
+    return total
+
+
+def test_scores_are_of_tokens_and_counts_of_runs_grow(spark):
     rng = random.Random(3)
     said = [f"w{k}" for k in range(600)]
     pairs = [(said[k], said[k + 1]) for k in range(200, 600, 2)]
@@ -347,29 +361,40 @@ def test_scores_are_of_words_and_counts_of_words_grow(spark):
     shuffled = rng.sample(order, len(order))
     rows += [(1000, " ".join(order)), (1001, " ".join(shuffled)), (1002, " ".join(f"q{k}" for k in range(120))), (1003, None), (1004, " ")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    p = lmscore.LmParameters(steps=5, bucket_bytes=9_000)
-    got = {r["doc_id"]: r for r in lmscore.score_documents(df, p=p).collect()}
-    # Brute force over the same network: counts of all words and pairs, whatever the bucket.
-    common = lmscore.common_words(df, "text", p.common)
-    counted = lmscore.triple_counts(df, "text", common, p).orderBy("triple").toPandas()
-    t, n, c = counted["triple"].to_numpy(), counted["n"].to_numpy(), p.classes
-    logs, in_class = lmscore.train(t, n, p), np.bincount(t // c % c, weights=n, minlength=c)
-    docs = {d: [None, *brute.WORD.findall(x or ""), None] for d, x in rows}
-    docs = {d: w for d, w in docs.items() if len(w) > 2}
-    of = Counter(x for w in docs.values() for x in w[1:])
-    both = Counter(x for w in docs.values() for x in zip(w[:-1], w[1:], strict=True))
+    p = lmscore.LmParameters(chunk_tokens=2_000, rounds=2)
+    chunks = lmscore.token_chunks(df, p)
+    assert chunks.count() > 8
+    model = lmscore.fit_network(chunks, bpe.vocabulary_size(), p)
+    got = {r["doc_id"]: r for r in lmscore.score_documents(df, p=p, network=model).collect()}
+    # Brute force over the same network: counts of all runs, whatever the chunk.
+    k, start = p.window, model.vocabulary
+    docs = {d: [start] * k + ids + [start + 1] * k for (d, _), ids in zip(rows, _tokens(t for _, t in rows), strict=True)}
+    spans = {d: w[k - 2 : 2 - k] if len(w) > 2 * k else [] for d, w in docs.items()}
+    two = Counter(x for w in spans.values() for x in zip(w, w[1:]))
+    three = Counter(x for w in spans.values() for x in zip(w, w[1:], w[2:]))
+    want = Counter()
     for d, w in docs.items():
-        ids, want = [0, *lmscore.Classes(common, p)(w[1:-1]).tolist(), 0], 0.0
-        for k in range(1, len(w) - 1):
-            prior = p.prior * np.exp(logs[ids[k - 1], ids[k + 1], ids[k]]) * of[w[k]] / in_class[ids[k]]
-            left = (both[w[k - 1], w[k]] - 1 + prior) / (of[w[k - 1]] - 1 + p.prior)
-            want += np.log((left + (both[w[k], w[k + 1]] - 1 + prior) / (of[w[k + 1]] - 1 + p.prior)) / 2)
-        assert np.isclose(got[d]["pseudo_log_likelihood"], want, rtol=1e-6)
+        for i in range(k, len(w) - k):
+            prior = p.prior * np.exp(_log_probability(model, w[i - k : i], w[i + 1 : i + 1 + k], w[i]))
+            left = (three[tuple(w[i - 2 : i + 1])] - 1 + prior) / (two[tuple(w[i - 2 : i])] - 1 + p.prior)
+            want[d] += np.log((left + (three[tuple(w[i : i + 3])] - 1 + prior) / (two[tuple(w[i + 1 : i + 3])] - 1 + p.prior)) / 2)
+    assert all(np.isclose(got[d]["pseudo_log_likelihood"], want[d], rtol=1e-4) and got[d]["n_tokens"] == len(docs[d]) - 2 * k for d in docs)
     assert got[1000]["mean_log_probability"] > got[1001]["mean_log_probability"] + 0.3  # the same words in another order
     assert got[1001]["mean_log_probability"] > got[1002]["mean_log_probability"] + 0.3  # words that stand nowhere else
     assert got[1003]["n_tokens"] == got[1004]["n_tokens"] == 0 and got[1003]["pseudo_log_likelihood"] == 0.0
 
 
+def test_a_text_that_stands_twice_scores_apart(spark):
+    rng = random.Random(8)
+    said = [f"{a}{b}{c}" for a in "bdfgk" for b in "aeiou" for c in ("lm", "rn", "st", "nt")]
+    texts = [" ".join(rng.choice(said) for _ in range(80)) for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts + texts[:10])), "doc_id long, text string")
+    got = {r["doc_id"]: r["mean_log_probability"] for r in lmscore.score_documents(df).collect()}
+    assert min(got[i] for i in (*range(10), *range(60, 70))) > max(got[i] for i in range(10, 60))
+    text_ids = spark.createDataFrame([("a", texts[0]), (None, texts[0]), ("a", None)], "doc_id string, text string").withColumn("n_tokens", F.lit("clash"))
+    assert Counter((r["doc_id"], r["n_tokens"] > 0) for r in lmscore.score_documents(text_ids).collect()) == {("a", True): 1, (None, True): 1, ("a", False): 1}
+
+
 # 8 ----------------------------------------------------------------------------------------------------
 
 
