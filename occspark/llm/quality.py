@@ -15,7 +15,11 @@ SYMBOLS = "#*$%&|<>"
 
 @dataclass(frozen=True)
 class QualityRules:
-    """Limits of the rules. A host is rejected when a shrunk failure rate exceeds ``host_rate``."""
+    """Limits of the rules.
+
+    A host is rejected when a rule's shrunk failure rate exceeds ``host_rate``, or when it is above ``host_factor`` times
+    the prior's mean by ``host_deviations`` of the posterior's standard deviations.
+    """
 
     min_words: int = 50
     repeat_percent: int = 50
@@ -24,6 +28,8 @@ class QualityRules:
     min_mean_chars: int = 3
     max_mean_chars: int = 10
     host_rate: float = 0.5
+    host_factor: float = 2.0
+    host_deviations: float = 2.0
     #: Strength of the prior, in documents, where the hosts' rates do not differ at all.
     flat_strength: float = 20.0
 
@@ -86,7 +92,9 @@ def quality_measures(docs: DataFrame, rules: QualityRules = QualityRules()) -> D
 
 
 def host_verdicts(measured: DataFrame, host: str, rules: QualityRules = QualityRules()) -> DataFrame:
-    """One row per host: documents, shrunk failure rate of each rule, ``host_rejected``.
+    """One row per host: documents, shrunk failure rate of each rule, ``host_rejected`` and ``host_excess``.
+
+    ``host_excess`` is the most that a rule's shrunk rate, the mean of the posterior, is above the mean of the prior.
 
     The prior of a rule is the beta distribution with the mean and variance of the hosts' rates
     (each host weighing alike). Where these have no such distribution the mean keeps
@@ -98,18 +106,21 @@ def host_verdicts(measured: DataFrame, host: str, rules: QualityRules = QualityR
     )
     counts = cut(counts)
     moments = counts.agg(*(f(F.col(f"n_{r}") / F.col("host_docs")).alias(f"{k}_{r}") for r in RULES for k, f in (("m", F.avg), ("v", F.var_pop)))).first()
-    rates, over = {}, F.lit(False)
+    rates, over, excess = {}, F.lit(False), []
     for r in RULES:
         mean, var = moments[f"m_{r}"] or 0.0, moments[f"v_{r}"] or 0.0
         strength = mean * (1 - mean) / var - 1 if var > 1e-12 else rules.flat_strength
         strength = strength if strength > 0 else rules.flat_strength
         rates[f"rate_{r}"] = (F.col(f"n_{r}") + F.lit(mean * strength)) / (F.col("host_docs") + F.lit(strength))
-        over = over | (F.col(f"rate_{r}") > F.lit(rules.host_rate))
-    return counts.withColumns(rates).select(host, "host_docs", *rates, over.alias("host_rejected"))
+        rate = F.col(f"rate_{r}")
+        deviation = F.sqrt(rate * (F.lit(1.0) - rate) / (F.col("host_docs") + F.lit(strength) + F.lit(1.0)))
+        over = over | (rate > F.lit(rules.host_rate)) | (rate - F.lit(rules.host_deviations) * deviation > F.lit(rules.host_factor * mean))
+        excess.append(rate - F.lit(mean))
+    return counts.withColumns(rates).select(host, "host_docs", *rates, over.alias("host_rejected"), F.greatest(*excess).alias("host_excess"))
 
 
-def apply_quality_rules(docs: DataFrame, host: str = "source", rules: QualityRules = QualityRules(), carry_text: bool = True) -> DataFrame:
-    """``docs`` with measures, rule flags, ``base_failed``, ``host_rejected`` and ``kept``.
+def apply_quality_rules(docs: DataFrame, host: str = "source", rules: QualityRules = QualityRules(), carry_text: bool = True, with_excess: bool = False) -> DataFrame:
+    """``docs`` with measures, rule flags, ``base_failed``, ``host_rejected`` and ``kept`` (``host_excess`` too if asked for).
 
     ``kept`` is false for a document that fails the base rules, and for one of a rejected host
     that itself fails some rule; a clean document stays, whatever its host. Documents without a
@@ -120,7 +131,8 @@ def apply_quality_rules(docs: DataFrame, host: str = "source", rules: QualityRul
     """
     measured = quality_measures(docs, rules)
     measured = cut(measured if carry_text else measured.drop("text"))
-    hosts = host_verdicts(measured, host, rules).filter("host_rejected").select(host, "host_rejected")
+    hosts = host_verdicts(measured, host, rules)
+    hosts = hosts.select(host, "host_rejected", "host_excess") if with_excess else hosts.filter("host_rejected").select(host, "host_rejected")
     spread = F.struct("n_words", "word_chars", "n_symbols", "n_repeat_words")
     out = lookup_join(measured, cut(hosts), host, spread)
     failed = F.lit(False)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..plans.shared import cut, scratch, spread
 from .ann import nearest_neighbours
 from .html import extract_main_text
-from .licenses import CUES, RULES, SENTENCES, cue_pattern, scan_licenses
+from .licenses import RULES, SENTENCES, scan_licenses, sentence_pattern
 from .linededup import MIN_PAGES, RATIO, drop_boilerplate_lines
 from .lmscore import score_documents
 from .packing import pack_documents
@@ -24,8 +24,8 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    out = apply_quality_rules(docs, carry_text=False)
-    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "host_rejected")
+    out = apply_quality_rules(docs, carry_text=False, with_excess=True)
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "host_rejected", F.round("host_excess", 9).alias("host_excess"))
 
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,10 +137,11 @@ WITH d AS (
 ), s AS (
   SELECT rule, mean, CASE WHEN var > 1e-12 AND mean * (1 - mean) / var > 1 THEN mean * (1 - mean) / var - 1 ELSE 20.0 END AS strength FROM p
 ), h AS (
-  SELECT source, bool_or((k + mean * strength) / (n + strength) > 0.5) AS host_rejected FROM c JOIN s USING (rule) GROUP BY source
+  SELECT source, bool_or(rate > 0.5 OR rate - 2e0 * sqrt(rate * (1e0 - rate) / (n + strength + 1e0)) > 2e0 * mean) AS host_rejected, round(max(rate - mean), 9) AS host_excess
+  FROM (SELECT *, (k + mean * strength) / (n + strength) AS rate FROM c JOIN s USING (rule)) GROUP BY source
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, f1 OR f2 AS base_failed,
-  NOT (f1 OR f2) AND NOT (host_rejected AND (f1 OR f2 OR f3 OR f4 OR f5)) AS kept, host_rejected
+  NOT (f1 OR f2) AND NOT (host_rejected AND (f1 OR f2 OR f3 OR f4 OR f5)) AS kept, host_rejected, host_excess
 FROM f JOIN h ON f.source IS NOT DISTINCT FROM h.source
 """
 
@@ -152,10 +153,11 @@ def _op2_sql() -> str:
         state = f"replace({state}, '<{'><'.join(sequence)}>', '<={name}>')"
     return rf"""
 WITH s AS (
-  SELECT doc_id, list_transform(string_split(regexp_replace(coalesce(text, ''), '[.!?;:]+([ \t\n\r]+|\z)|;', chr(10), 'g'), chr(10)),
-    lambda x: trim(lower(regexp_replace(x, '[^A-Za-z0-9.]+', ' ', 'g')))) AS sents FROM documents
+  SELECT doc_id, string_split(regexp_replace(regexp_replace(coalesce(text, ''), '[;:]*[.!?][.!?;:]*([ \t\n\r]+|\z)', chr(10) || chr(10), 'g'), '[;:]+([ \t\n\r]+|\z)|;', chr(10), 'g'), chr(10)) AS lines FROM documents
+), t AS (
+  SELECT doc_id, array_to_string(list_transform(lines, lambda x: trim(lower(regexp_replace(x, '[^A-Za-z0-9.]+', ' ', 'g')))), chr(10)) AS said FROM s
 ), i AS (
-  SELECT doc_id, list_filter(list_transform(sents, lambda x: MAP {{{known}}}[x]), lambda x: x IS NOT NULL) AS ids FROM s
+  SELECT doc_id, list_transform(regexp_extract_all(said, '{sentence_pattern(SENTENCES)}'), lambda x: MAP {{{known}}}[replace(x, chr(10), ' ')]) AS ids FROM t
 ), p AS (
   SELECT doc_id, ids, list_filter(regexp_split_to_array({state}, '[<>]+'), lambda x: x <> '') AS parts FROM i
 ), o AS (
