@@ -37,7 +37,10 @@ def quality(rows):
         mean, var = rates.mean(), rates.var()
         strength = mean * (1 - mean) / var - 1 if var > 1e-12 else 20.0
         strength = strength if strength > 0 else 20.0
-        rejected |= {h for h, x in hosts.items() if (sum(f[r] for f in x) + mean * strength) / (len(x) + strength) > 0.5}
+        for h, x in hosts.items():
+            rate = (sum(f[r] for f in x) + mean * strength) / (len(x) + strength)
+            if rate > 0.5 or rate - 2 * (rate * (1 - rate) / (len(x) + strength + 1)) ** 0.5 > 2 * mean:
+                rejected.add(h)
     return [(m, f[0] or f[1], not (f[0] or f[1]) and not (s in rejected and any(f))) for m, f, s in out]
 
 
@@ -91,3 +94,66 @@ def pieces(rows, ids_of, size=2048):
         edges = [0, *range(first, len(ids) + 1, size)]
         out.update((d, k, a, b - a, zlib.crc32(ids[a:b].tobytes())) for k, (a, b) in enumerate(zip(edges, edges[1:], strict=False)))
     return out
+
+
+def templates(rows, page_texts, containers, least=3):
+    """rows: distinct (page_id, url, html); {host: (main path, its template texts as (path, text))} of hosts that have slots in a main element."""
+    hosts = defaultdict(list)
+    for row in rows:
+        elements, texts, content = Counter(), Counter(), {}
+        for path, text, ok, _ in page_texts(row[2]):
+            said = None if text is None else " ".join(text.split())
+            if said != "":
+                (elements if said is None else texts)[path if said is None else (path, said)] += 1
+                content[path if said is None else (path, said)] = ok
+        hosts[row[1].split("/")[2]].append((elements, texts, content))
+    out = {}
+    for host, pages in hosts.items():
+        vector = lambda k, of: tuple(p[of][k] for p in pages)  # noqa: E731,B023
+        valid = lambda v: sum(map(bool, v)) >= least and 2 * sum(map(bool, v)) > len(pages)  # noqa: E731,B023
+        elements, texts = ({k for p in pages for k in p[of]} for of in (0, 1))
+        ok = {k: all(p[2].get(k, True) for p in pages) for k in elements | texts}
+        classes = defaultdict(set)
+        for e in elements:
+            if valid(vector(e, 0)):
+                classes[vector(e, 0)].add(e)
+        nested = {t for t in texts if ok[t] and any((t[0] + "/").startswith(e + "/") for e in classes.get(vector(t, 1), ()))}
+        chars = Counter()
+        for t in texts:
+            if ok[t] and t not in nested:
+                chars[t[0]] += len(t[1]) * sum(vector(t, 1))
+        tops = Counter()
+        for p, n in chars.items():
+            tops[p.split("/")[1]] += n
+        found = []
+        for e in elements:
+            v = vector(e, 0)
+            inside = sum(n for p, n in chars.items() if (p + "/").startswith(e + "/"))
+            name = e.split("/")[-1].split(".")[0]
+            if ok[e] and valid(v) and max(v) == 1 and name in containers and inside and inside == tops[e.split("/")[1]]:
+                named, depth = name in ("article", "main"), e.count("/") + 1
+                found.append(((inside, named, -depth if named else depth, inside, e), e))
+        if found:
+            own = {t for t in nested if "." in t[0] and not re.search("/h[1-6](?:[./]|$)", t[0]) and t[0] not in chars}
+            out[host] = (max(found)[1], own)
+    return out
+
+
+def licences(text, sentences, rules):
+    """(ids, licences, ids that no rule took) by words: sentences end at full stops, ! and ? before a blank or the end."""
+    ids = []
+    for part in re.split(r"[.!?]+(?:\s+|$)", text):
+        w = [x.strip(" ").lower() for x in re.findall("[A-Za-z0-9.]+", part)]
+        i = 0
+        while i < len(w):
+            n = max((len(s.split()) for s in sentences if w[i : i + len(s.split())] == s.split()), default=0)
+            ids += [sentences[" ".join(w[i : i + n])]] if n else []
+            i += n or 1
+    state = [(i, False) for i in ids]
+    for name, sequence in rules:
+        i = 0
+        while i <= len(state) - len(sequence):
+            if state[i : i + len(sequence)] == [(x, False) for x in sequence]:
+                state[i : i + len(sequence)] = [(name, True)]
+            i += 1
+    return ids, list(dict.fromkeys(x for x, took in state if took)), [x for x, took in state if not took]

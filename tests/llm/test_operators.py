@@ -50,6 +50,23 @@ def test_quality_edges(spark, odd_docs, no_docs):
     assert [r["doc_id"] for r in kept] == [1] and kept[0]["host_rejected"]  # a clean document of a rejected host stays
 
 
+def test_hosts_are_rejected_by_their_excess_over_the_prior(spark):
+    """One host of 30 fails a rule far oftener than the others, yet on less than half of its pages; a small one does so by chance."""
+    rng = random.Random(2)
+    clean = lambda: " ".join(f"word{rng.randint(0, 9999)}" for _ in range(60))
+    odd = lambda: " ".join(f"word{rng.randint(0, 9999)} ##" for _ in range(40))
+    rows = [(h, odd() if i % 20 == 0 or h == 7 and i % 3 == 0 else clean()) for h in range(30) for i in range(60)]
+    rows += [(99, odd()), (99, clean()), (99, clean())]
+    docs = spark.createDataFrame([(i, t, f"h{h}") for i, (h, t) in enumerate(rows)], "doc_id long, text string, source string")
+    got = quality.apply_quality_rules(docs, with_excess=True).collect()
+    assert {r["source"] for r in got if r["host_rejected"]} == {"h7"}
+    assert all(r["kept"] == (r["source"] != "h7" or not r["fails_symbols"]) for r in got)
+    excess = {r["source"]: r["host_excess"] for r in got}
+    assert excess["h7"] > 0.2 > excess["h99"] > 0 and quality.host_verdicts(quality.quality_measures(docs), "source").count() == 31
+    want = brute.quality([(r["doc_id"], r["text"], r["source"]) for r in docs.collect()])
+    assert sorted((r["doc_id"], r["kept"]) for r in got) == [(i, k) for i, (_, _, k) in enumerate(want)]
+
+
 # 2 ----------------------------------------------------------------------------------------------------
 
 
@@ -91,6 +108,37 @@ def test_every_known_sentence_has_a_cue_and_every_rule_known_sentences(spark):
     assert licenses.scan_licenses(df).filter("size(sentence_ids) <> 1").count() == 0
 
 
+def test_licence_sentences_within_sentences_and_of_ones_own(spark):
+    rows = [
+        (1, "This project is licensed under the MIT License."),
+        (2, "# SPDX-License-Identifier: Apache-2.0\nimport x"),
+        (3, "The code, unless noted, is released under the GNU Lesser General\n# Public License, version 2.1, and docs are available under CC BY-SA 4.0!"),
+        (4, "word " * 200_000 + "Distributed under the Boost Software License, Version 1.0."),
+        (5, "unlicensed under the mit licenses"),
+        (6, None),
+    ]
+    df = spark.createDataFrame(rows + rows[:1], "doc_id long, text string").withColumn("sentence_ids", F.lit("clash"))
+    got = sorted((r["doc_id"], tuple(r["licenses"])) for r in licenses.scan_licenses(df).collect())
+    assert got == [(1, ("MIT",)), (1, ("MIT",)), (2, ("Apache-2.0",)), (3, ("LGPL-2.1-only", "CC-BY-SA-4.0")), (4, ("BSL-1.0",)), (5, ()), (6, ())]
+    own = {licenses.normalised("Only for lunar use."): "moon", licenses.normalised("No warranty, none at all."): "none"}
+    name = "L-" + "x" * 300
+    said = spark.createDataFrame([(1, "Strictly only for lunar use. No warranty, none\n * at all."), (2, "nothing")], "doc_id long, text string")
+    got = {r["doc_id"]: (r["licenses"], r["unmatched_ids"]) for r in licenses.scan_licenses(said, own, [(name, ["moon"])]).collect()}
+    assert got == {1: ([name], ["none"]), 2: ([], [])}
+    assert licenses.scan_licenses(said, {}, []).filter("size(sentence_ids) > 0").count() == 0
+
+
+def test_licences_against_brute_force(spark, no_docs):
+    rng = random.Random(4)
+    known = sorted(licenses.SENTENCES)
+    texts = []
+    for _ in range(150):
+        parts = [rng.choice(known).capitalize() if rng.random() < 0.6 else "some other words" for _ in range(rng.randint(0, 6))]
+        texts.append("".join(p.replace(" ", rng.choice([" ", "\n", "\n// ", ", "]), rng.randint(0, 3)) + rng.choice([". ", "!\n", ".\n\n# "]) for p in parts))
+    got = [(r["sentence_ids"], r["licenses"], r["unmatched_ids"]) for r in licenses.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()]
+    assert got == [brute.licences(t, licenses.SENTENCES, licenses.RULES) for t in texts] and licenses.scan_licenses(no_docs).count() == 0
+
+
 # 3 ----------------------------------------------------------------------------------------------------
 
 
@@ -114,9 +162,59 @@ def test_extraction(spark):
     assert html.extract_main_text(df.limit(0)).count() == 0
 
 
-def test_template_text_goes_on_large_hosts(spark):
-    df = spark.createDataFrame([(i, f"https://a.example/{i}", _page(f"T{i}", f"Body {i}", "Read our other stories")) for i in range(12)], "page_id long, url string, html string")
-    assert {r["text"] for r in html.extract_main_text(df).collect()} == {f"T{i} Body {i}" for i in range(12)}
+@pytest.mark.parametrize("n", [3, 8, 10, 12, 40])
+def test_hosts_of_any_size_keep_paragraphs_and_lose_the_templates_own_places(spark, n):
+    extra = '<div class="also"><a href="/">Read our other stories</a></div>'
+    df = spark.createDataFrame([(i, f"https://a.example/{i}", _page(f"T{i}", f"Body {i}", "A paragraph that all share", extra=extra)) for i in range(n)], "page_id long, url string, html string")
+    assert {r["text"] for r in html.extract_main_text(df).collect()} == {f"T{i} Body {i} A paragraph that all share" for i in range(n)}
+    alike = df.withColumn("html", F.lit(_page("T", "One article", '<b class="x">copied</b>')))  # nothing tells a template from content
+    assert {r["text"] for r in html.extract_main_text(alike).collect()} == {"T One article copied"}
+
+
+def test_repeated_rows_and_pages_without_ids_count_once(spark):
+    shared = '<div class="s"><p>A shared paragraph</p></div>'
+    rows = [(i, f"https://a.example/{i}", _page(f"T{i}", f"Body {i}", extra=shared if i else "")) for i in range(12)]
+    nameless = [(None, None, _page(f"N{i}", f"Text {i}", extra=shared)) for i in range(4)]
+    schema = "page_id long, url string, html string"
+    once = spark.createDataFrame(rows + nameless, schema)
+    often = spark.createDataFrame(rows + rows[:1] * 7 + rows[3:5] * 2 + nameless + nameless[:1], schema)
+    templates = [sorted((tuple(r["texts"]), r["host"] or "", r["main"]) for r in html.deduce_templates(df).collect()) for df in (once, often)]
+    assert templates[0] == templates[1]
+    want = Counter(r["text"] for r in html.extract_main_text(once).collect())
+    got = Counter(r["text"] for r in html.extract_main_text(often).collect())
+    assert got.keys() == want.keys() and got["T0 Body 0"] == 8 and got["N0 Text 0"] == 2
+
+
+def test_words_do_not_outrank_an_article(spark):
+    cases = {
+        '<article><div class="share-price">Shares rose</div></article>': "Shares rose",
+        '<article><h1>T</h1><div class="banner"><p>All the text</p></div></article>': "T All the text",
+        '<article class="social-science"><p>Text</p></article>': "Text",
+        '<article><p>Text</p><div class="ad">Buy</div><div class="comments-list"><p>First!</p></div></article>': "Text",
+        "<article><p>ab<script>x</script>cd e<style>p{}</style>f<!-- c -->g</p><noscript>on</noscript></article>": "abcd efg",
+        '<article><h1>T</h1><div id="comments">Only comments</div></article>': "T",
+        "<p>no article</p><div class='sidebar'>side</div>": "no article",
+    }
+    df = spark.createDataFrame([(i, f"https://h{i}.example/", f"<html><body>{h}</body></html>") for i, h in enumerate(cases)], "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html.extract_main_text(df).collect()}
+    assert [got[i] for i in range(len(cases))] == list(cases.values())
+
+
+def test_deduction_against_brute_force(spark):
+    rng = random.Random(12)
+    rows = []
+    for h in range(12):
+        places = rng.sample(["p", 'p class="n"', 'div class="a"', 'section id="b"', "li", 'span class="c"'], 4)
+        said = [rng.choice("uvw") for _ in places]
+        for i in range(rng.randint(1, 9)):
+            parts = [f"<{x}>{t if rng.random() < 0.75 else rng.randint(0, 99)}</{x.split()[0]}>" for x, t in zip(places, said, strict=True) if rng.random() < 0.9]
+            tag = rng.choice(["article", "article", "div"]) if h % 2 else "article"
+            rows.append((len(rows), f"http://h{h}.example/{i}", f"<html><body><nav>{i % 2}</nav><{tag}><h1>t{i}</h1>{''.join(parts * rng.choice([1, 1, 2]))}</{tag}><div class='f'>foot</div></body></html>"))
+    rows += rng.choices(rows, k=10)
+    got = {r["host"]: (r["main"], set(r["texts"])) for r in html.deduce_templates(spark.createDataFrame(rows, "page_id long, url string, html string")).collect() if r["host"] is not None}
+    want = brute.templates(set(rows), html.page_texts, html.CONTAINERS)
+    hashed = {h: (m, {html._hash(f"{p}\n{t}") for p, t in texts}) for h, (m, texts) in want.items()}
+    assert got == hashed and any(texts for _, texts in want.values()) and len({m for m, _ in want.values()}) > 1
 
 
 def test_odd_pages_leave_the_template_on(spark):
@@ -223,6 +321,47 @@ def test_rollup(spark, tmp_path):
     assert {tuple(r) for r in rollup.totals().collect()} == want and rollup.batches() == ["0"]
 
 
+@pytest.mark.parametrize("step", ["_write", "_publish", "_clean"])
+@pytest.mark.parametrize("late", [False, True])
+def test_rollup_after_a_failure_at_any_step(spark, tmp_path, step, late):
+    """Each step fails, before or after its work is done, in a commit and in a compaction, and the call is repeated by a new writer."""
+    d = "source string, lang string, tokenizer_version string, sign int, n_tokens long"
+    batches = {str(k): spark.createDataFrame([("a", "en", "v", 1, 10 * k), ("b", "en", "v", 1, k)], d) for k in (1, 2, 3)}
+    path = f"file://{tmp_path}/rollup"
+    totals = lambda: {r["source"]: (r["n_docs"], r["n_tokens"]) for r in tokencounts.TokenRollup(spark, path).totals().collect()}
+
+    def failing():
+        rollup = tokencounts.TokenRollup(spark, path)
+        work = getattr(rollup, step)
+
+        def broken(*a):
+            if late:
+                work(*a)
+            raise OSError("lost")
+
+        setattr(rollup, step, broken)
+        return rollup
+
+    tokencounts.TokenRollup(spark, path).commit("1", batches["1"])
+    published = step == "_clean" or step == "_publish" and late
+    for call, before, after in (
+        (lambda r: r.commit("2", batches["2"]), {"a": (1, 10), "b": (1, 1)}, {"a": (2, 30), "b": (2, 3)}),
+        (lambda r: r.commit("3", batches["3"]), {"a": (2, 30), "b": (2, 3)}, {"a": (3, 60), "b": (3, 6)}),
+        (lambda r: r.compact("all"), {"a": (3, 60), "b": (3, 6)}, {"a": (3, 60), "b": (3, 6)}),
+    ):
+        with pytest.raises(OSError):
+            call(failing())
+        assert totals() == (after if published else before)
+        call(tokencounts.TokenRollup(spark, path))
+        call(tokencounts.TokenRollup(spark, path))
+        assert totals() == after
+    rollup = tokencounts.TokenRollup(spark, path)
+    rollup.commit("2", batches["2"])  # folded already
+    rollup.commit("4", batches["1"])
+    assert rollup.batches() == ["4", "all"] and totals() == {"a": (4, 70), "b": (4, 7)}
+    assert len(list((tmp_path / "rollup/data").iterdir())) == 2 and len(list((tmp_path / "rollup/manifests").glob("[0-9]*"))) == 1
+
+
 def test_token_counts_query_against_brute_force(spark, sf_dir):
     ids_of, first = bpe.encoder(), {}
     want = Counter()
