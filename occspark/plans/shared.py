@@ -2,25 +2,33 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DateType, NumericType, TimestampType
 
-#: Rows up to which a materialised side is broadcast; past it the join shuffles with salt.
+#: Rows and bytes up to which a materialised side is broadcast; past either the join shuffles with salt.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 << 20
+#: Bytes up to which a table read by few tasks is dealt over all cores.
+SPREAD_BYTES = 1 << 30
 #: Buckets that one key is dealt to in a salted join.
 SALT = 32
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as the session names it.
+    """The folder that driver and executors share, as the session names it in ``spark.checkpoint.dir``.
 
-    Only where ``spark.checkpoint.dir`` is unset (tests, a laptop) a temporary folder stands in.
+    Where that is unset a temporary folder stands in if all tasks run in the driver's own process; on a cluster
+    it must be set, since executors do not see the driver's folders.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="occspark-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -35,8 +43,17 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def is_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """Whether a (materialised) table has at most ``limit`` rows, reading no more than it takes to tell."""
-    return df.limit(limit + 1).count() <= limit
+    """Whether a (materialised) table has at most ``limit`` rows, reading no more than it takes to tell, and few bytes.
+
+    Strings and arrays of these rows are counted too; the rest of a row is some 8 bytes a column.
+    """
+    if df.limit(limit + 1).count() > limit:
+        return False
+    wide = [f.name for f in df.schema if not isinstance(f.dataType, (NumericType, BooleanType, DateType, TimestampType))]
+    if not wide:
+        return True
+    size = F.sum(F.octet_length(F.to_json(F.struct(*(F.col(f"`{c}`") for c in wide)))))
+    return (df.agg(size).first()[0] or 0) <= BROADCAST_BYTES
 
 
 def checked(df: DataFrame, small: bool | None = None) -> DataFrame:
@@ -59,12 +76,13 @@ def cut(df: DataFrame, *partition_by: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """A table of fewer files than cores, its rows dealt over all cores: a row group is read by one task.
+    """A small table of fewer scan partitions than cores, its rows dealt over all cores: a row group is read by one task.
 
-    Tables with files enough, which large ones have, are left as they are and not shuffled.
+    What Spark plans to read decides. Tables with partitions enough, and those of over ``SPREAD_BYTES``, are not shuffled.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return df.repartition(cores) if size <= SPREAD_BYTES and df.rdd.getNumPartitions() < cores else df
 
 
 def salted(key: Column, salts: int = SALT) -> Column:
