@@ -137,9 +137,22 @@ def ring_area(ring: Column) -> Column:
     return F.aggregate(edges(F.array(ring)), F.lit(0.0), lambda a, e: a + (e["x1"] * e["y2"] - e["x2"] * e["y1"])) / F.lit(2.0)
 
 
-def area(rings: Column) -> Column:
-    """Outer rings less holes: rings of the opposite direction to the first subtract."""
-    return F.abs(F.aggregate(F.transform(rings, ring_area), F.lit(0.0), lambda a, x: a + x))
+def area(rings: Column, parts: Column | None = None) -> Column:
+    """Area of what is inside by parity: outer rings less their holes, whatever way rings are wound.
+
+    ``parts`` has the number of each ring's part, whose first ring is the outer one. Without it a ring is a hole if it
+    lies within an odd number of the others, which is told by the middle of its first edge.
+    """
+    size = lambda ring: F.abs(ring_area(ring))
+    if parts is not None:
+        sign = lambda i: F.when((i > 0) & (F.get(parts, i) == F.get(parts, F.greatest(i - 1, F.lit(0)))), F.lit(-1.0)).otherwise(F.lit(1.0))
+        signed = F.transform(rings, lambda r, i: sign(i) * size(r))
+    else:
+        middle = lambda r, k: (F.get(r, F.lit(0))[k] + F.get(r, F.lit(1))[k]) / F.lit(2.0)
+        holds = lambda other, r: parity(middle(r, "x"), middle(r, "y"), edges(F.array(other)))
+        around = lambda r, i: F.size(F.filter(rings, lambda o, j: (j != i) & F.coalesce(holds(o, r), F.lit(False))))
+        signed = F.transform(rings, lambda r, i: F.when(around(r, i) % 2 == 1, -size(r)).otherwise(size(r)))
+    return F.aggregate(signed, F.lit(0.0), lambda a, x: a + x)
 
 
 def bbox(rings: Column) -> Column:
@@ -162,7 +175,7 @@ def edges_cross(e: Column, f: Column) -> Column:
 
 
 def polygons_intersect(es: Column, fs: Column) -> Column:
-    """Some vertex of one within the other, or some edges that meet."""
-    first = lambda xs: (F.get(xs, F.lit(0))["x1"], F.get(xs, F.lit(0))["y1"])
+    """Some edges that meet, or some vertex of one within the other: parts and holes may each lie wholly inside or outside."""
     meet = F.exists(es, lambda e: F.exists(fs, lambda f: edges_cross(e, f)))
-    return meet | intersects(*first(es), fs) | intersects(*first(fs), es)
+    inside = lambda xs, ys: F.exists(xs, lambda e: intersects(e["x1"], e["y1"], ys))
+    return inside(es, fs) | meet | inside(fs, es)

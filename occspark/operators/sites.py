@@ -2,22 +2,27 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geo import area, bbox, edges, project_rings, to_degrees
+from ..functions.geo import area, bbox, edges, parity, project_rings, to_degrees
+from .profile import describe
 from ..schemas import SITE_COLUMNS
 
 
 def prepare_sites(layer: DataFrame, srid: int | None = 4326) -> DataFrame:
-    """A polygon layer (``index_right``, ``rings``, attributes) in degrees with all that joins need.
+    """A polygon layer (``index_right``, ``rings``, ``ring_parts`` if it has them, attributes) in degrees with all that joins need.
 
     Attributes that the layer lacks are left out. Edges in degrees and in metres and the bounding
     box are worked out once, to be stored with the sites.
     """
     if srid is None:
         raise ValueError("the site layer has no reference system")
-    kept = [c for c in [*SITE_COLUMNS, "INSPIRE_ID"] if c in layer.columns]
+    kept = [c for c in [*SITE_COLUMNS, "INSPIRE_ID", "ring_parts"] if c in layer.columns]
     rings = F.col("rings") if srid == 4326 else F.transform("rings", lambda r: F.transform(r, lambda p: to_degrees(p["x"], p["y"], srid)))
     out = layer.select("index_right", *kept, rings.alias("rings"))
     return out.withColumns({"edges": edges(F.col("rings")), "metric_edges": edges(project_rings(F.col("rings"))), "bbox": bbox(F.col("rings"))})
@@ -37,8 +42,101 @@ def select_sites(sites: DataFrame, mode: str, value) -> DataFrame:
 
 
 def site_areas(sites: DataFrame) -> DataFrame:
-    """Area in square kilometres, in the equal-area plane."""
-    return sites.withColumn("area_km2", area(project_rings(F.col("rings"))) / F.lit(1e6))
+    """Area in square kilometres, in the equal-area plane: parts less their holes, however rings are wound."""
+    parts = F.col("ring_parts") if "ring_parts" in sites.columns else None
+    return sites.withColumn("area_km2", area(project_rings(F.col("rings")), parts) / F.lit(1e6))
+
+
+def area_statistics(sites: DataFrame) -> DataFrame:
+    """(count, mean, std, min, q25, q50, q75, max) of site areas in square kilometres."""
+    return describe(site_areas(sites), "area_km2").drop("field")
+
+
+def geometry_types(sites: DataFrame) -> DataFrame:
+    """(geometry_type, n): how many sites have each type, a null geometry's being null.
+
+    As read from a file (``geometry_type``), and else by their parts: several outer rings make a MULTIPOLYGON.
+    """
+    kind = F.col("geometry_type") if "geometry_type" in sites.columns else F.when(F.col("rings").isNotNull(), F.when(_outer_rings(sites) > 1, "MULTIPOLYGON").otherwise("POLYGON"))
+    return sites.groupBy(kind.alias("geometry_type")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _outer_rings(sites: DataFrame):
+    if "ring_parts" in sites.columns:
+        return F.size(F.array_distinct("ring_parts"))
+    middle = lambda r, k: (F.get(r, F.lit(0))[k] + F.get(r, F.lit(1))[k]) / F.lit(2.0)
+    holds = lambda o, r: F.coalesce(parity(middle(r, "x"), middle(r, "y"), edges(F.array(o))), F.lit(False))
+    around = lambda r, i: F.size(F.filter("rings", lambda o, j: (j != i) & holds(o, r)))
+    return F.size(F.filter("rings", lambda r, i: around(r, i) % 2 == 0))
+
+
+def _crosses(x1, y1, x2, y2, u1, v1, u2, v2) -> np.ndarray:
+    """Segments that have a point in common."""
+    a = (x2 - x1) * (v1 - y1) - (y2 - y1) * (u1 - x1)
+    b = (x2 - x1) * (v2 - y1) - (y2 - y1) * (u2 - x1)
+    c = (u2 - u1) * (y1 - v1) - (v2 - v1) * (x1 - u1)
+    d = (u2 - u1) * (y2 - v1) - (v2 - v1) * (x2 - u1)
+    on = lambda t, x, y, p1, q1, p2, q2: (t == 0) & (np.minimum(p1, p2) <= x) & (x <= np.maximum(p1, p2)) & (np.minimum(q1, q2) <= y) & (y <= np.maximum(q1, q2))
+    proper = ((a > 0) != (b > 0)) & ((c > 0) != (d > 0)) & (a != 0) & (b != 0) & (c != 0) & (d != 0)
+    return proper | on(a, u1, v1, x1, y1, x2, y2) | on(b, u2, v2, x1, y1, x2, y2) | on(c, x1, y1, u1, v1, u2, v2) | on(d, x2, y2, u1, v1, u2, v2)
+
+
+def _rings_are_valid(rings: list[np.ndarray]) -> bool:
+    """Closed rings of four points at least that neither cross or touch themselves nor cross or overlap one another.
+
+    Edges meet only those that begin, by x, before they end; neighbours in a ring may share their common point alone, and
+    edges of different rings a point that is a corner of one of them.
+    """
+    if any(len(r) < 4 or (r[0] != r[-1]).any() for r in rings):
+        return False
+    e = np.concatenate([np.hstack([r[:-1], r[1:]]) for r in rings])
+    ring = np.repeat(np.arange(len(rings)), [len(r) - 1 for r in rings])
+    nth, size = np.concatenate([np.arange(len(r) - 1) for r in rings]), np.array([len(r) - 1 for r in rings])[ring]
+    if (e[:, :2] == e[:, 2:]).all(axis=1).any():
+        keep = ~(e[:, :2] == e[:, 2:]).all(axis=1)  # repeated points are no edges
+        return _rings_are_valid([np.vstack([r[:1], r[1:][(r[1:] != r[:-1]).any(axis=1)]]) for r in rings]) if keep.any() else False
+    low, high = np.minimum(e[:, 0], e[:, 2]), np.maximum(e[:, 0], e[:, 2])
+    order = np.argsort(low, kind="stable")
+    ends = np.searchsorted(low[order], high[order], side="right")
+    for at in range(0, len(order), 2048):
+        n = ends[at : at + 2048] - np.arange(at + 1, min(at + 2048, len(order)) + 1)
+        i = np.repeat(np.arange(at, at + len(n)), n)
+        j = i + 1 + np.arange(len(i)) - np.repeat(np.r_[0, np.cumsum(n)[:-1]], n)
+        i, j = order[i], order[j]
+        near = (np.minimum(e[i, 1], e[i, 3]) <= np.maximum(e[j, 1], e[j, 3])) & (np.minimum(e[j, 1], e[j, 3]) <= np.maximum(e[i, 1], e[i, 3]))
+        i, j = i[near], j[near]
+        meet = _crosses(*e[i].T, *e[j].T)
+        i, j = i[meet], j[meet]
+        gap = np.abs(nth[i] - nth[j])
+        beside = (ring[i] == ring[j]) & ((gap == 1) | (gap == size[i] - 1))
+        first = np.where((nth[j] == (nth[i] + 1) % size[i])[:, None], e[i], e[j])  # the earlier edge of two neighbours
+        second = np.where((nth[j] == (nth[i] + 1) % size[i])[:, None], e[j], e[i])
+        turn = (first[:, 2] - first[:, 0]) * (second[:, 3] - second[:, 1]) - (first[:, 3] - first[:, 1]) * (second[:, 2] - second[:, 0])
+        back = (first[:, 2] - first[:, 0]) * (second[:, 2] - second[:, 0]) + (first[:, 3] - first[:, 1]) * (second[:, 3] - second[:, 1]) < 0
+        folded = beside & (turn == 0) & back
+        other = ring[i] != ring[j]
+        cross = (e[i, 2] - e[i, 0]) * (e[j, 3] - e[j, 1]) - (e[i, 3] - e[i, 1]) * (e[j, 2] - e[j, 0])
+        side = lambda k, m, c: (e[k, 2] - e[k, 0]) * (e[m, c + 1] - e[k, 1]) - (e[k, 3] - e[k, 1]) * (e[m, c] - e[k, 0])
+        through = ((side(i, j, 0) > 0) != (side(i, j, 2) > 0)) & ((side(j, i, 0) > 0) != (side(j, i, 2) > 0)) & (side(i, j, 0) != 0) & (side(i, j, 2) != 0) & (side(j, i, 0) != 0) & (side(j, i, 2) != 0)
+        along = (cross == 0) & (np.minimum(high[i], high[j]) - np.maximum(low[i], low[j]) + np.minimum(np.maximum(e[i, 1], e[i, 3]), np.maximum(e[j, 1], e[j, 3])) - np.maximum(np.minimum(e[i, 1], e[i, 3]), np.minimum(e[j, 1], e[j, 3])) > 0)
+        if (folded | (~other & ~beside) | (other & (through | along))).any():
+            return False
+    return True
+
+
+def geometry_validity(sites: DataFrame) -> DataFrame:
+    """``sites`` with ``is_valid``: null for a null geometry, true for an empty one."""
+    kept = [c for c in sites.columns if c != "is_valid"]
+    shape = sites.select(*kept).schema.add("is_valid", "boolean")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            said = []
+            for rings in batch["rings"].to_pylist():
+                said.append(None if rings is None else _rings_are_valid([np.array([(p["x"], p["y"]) for p in r], dtype=float).reshape(-1, 2) for r in rings]) if rings else True)
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in kept), pa.array(said, pa.bool_())], names=[*kept, "is_valid"])
+
+    return sites.select(*kept).mapInArrow(run, shape)
 
 
 def largest_sites(sites: DataFrame, k: int = 10) -> DataFrame:
@@ -46,7 +144,8 @@ def largest_sites(sites: DataFrame, k: int = 10) -> DataFrame:
 
 
 def site_health(sites: DataFrame) -> DataFrame:
-    """Counters of a layer: missing and empty geometries, short or open rings, repeated codes, extent."""
+    """Counters of a layer: missing, empty and invalid geometries, short or open rings, repeated codes, extent."""
+    sites = geometry_validity(sites.select("SITECODE", "rings"))
     r = F.col("rings")
     has = lambda test: F.coalesce(F.exists(r, test), F.lit(False))
     box = bbox(r)
@@ -59,6 +158,7 @@ def site_health(sites: DataFrame) -> DataFrame:
         n(has(lambda x: F.size(x) < 4)).alias("n_short_rings"),
         n(has(lambda x: (F.size(x) > 0) & (F.get(x, F.lit(0)) != F.get(x, F.size(x) - 1)))).alias("n_open_rings"),
         n(F.coalesce(F.size(r) > 1, F.lit(False))).alias("n_multi_ring"),
+        n(F.coalesce(~F.col("is_valid"), F.lit(False))).alias("n_invalid"),
         (F.count(F.lit(1)) - codes).cast("long").alias("n_duplicate_codes"),
         F.min(box["min_x"]).alias("min_lon"),
         F.min(box["min_y"]).alias("min_lat"),

@@ -85,6 +85,73 @@ def test_nearest_against_brute_force(spark, layer):
     assert spatial.nearest_distances(pts, layer.limit(0)).filter("dist_to_polygon_m is not null").count() == 0
 
 
+def test_rows_join_as_they_are(spark, layer):
+    """Repeated and null ids: three points in one site are three rows, each with its own distance and class."""
+    rows = [(1, 0.5, 0.5, 10.0), (1, 0.6, 0.5, 1e9), (None, 0.5, 0.5, None), (None, 3.5, 3.5, 5.0), (1, 50.0, 50.0, 5.0), (None, 50.0, 50.0, 1e9), (7, None, 1.0, 5.0), (1, 0.5, 0.5, 10.0)]
+    df = spark.createDataFrame(rows, "gbifID long, decimalLongitude double, decimalLatitude double, coordinateUncertaintyInMeters double").withColumn("MS", F.lit("clash"))
+    for limit in (1 << 20, 0):
+        joined = spatial.join_sites(df, layer, limit=limit)
+        got = sorted((r["gbifID"] or 0, r["decimalLongitude"] or 0, r["SITECODE"] or "", r["MS"] or "") for r in joined.collect())
+        assert got == sorted([(1, 0.5, "A", "X"), (1, 0.6, "A", "X"), (0, 0.5, "A", "X"), (0, 3.5, "A", "X"), (0, 3.5, "B", "X"), (1, 50.0, "", ""), (0, 50.0, "", ""), (7, 0, "", ""), (1, 0.5, "A", "X")])
+        assert spatial.points_in_area(df, layer, "area", limit=limit).count() == 5
+    classes = uncertainty.classify(joined, layer).collect()
+    assert len(classes) == 9
+    said = sorted((r["decimalLongitude"] or 0, r["coordinateUncertaintyInMeters"] or 0, r["uncertainty_class"]) for r in classes)
+    assert said == [(0, 5.0, "Unclassified"), (0.5, 0, "Unclassified"), (0.5, 10.0, "Certainly Inside"), (0.5, 10.0, "Certainly Inside"), (0.6, 1e9, "Inside – Positional Uncertainty"), (3.5, 5.0, "Certainly Inside"), (3.5, 5.0, "Certainly Inside"), (50.0, 5.0, "Certainly Outside"), (50.0, 1e9, "Outside – Positional Uncertainty")]
+    plan = spatial.join_sites(df, layer)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan  # the points are not shuffled
+
+
+def test_parts_and_holes_of_any_winding(spark):
+    ring = lambda *a, back=False: square(*map(float, a))[:: -1 if back else 1]
+    shapes = [
+        (0, [ring(0, 0, 1), ring(5, 0, 1, back=True)], [0, 1], 2.0),
+        (1, [ring(0, 0, 4), ring(1, 1, 1)], [0, 0], 15.0),
+        (2, [ring(0, 0, 4), ring(1, 1, 2, back=True), ring(1.5, 1.5, 0.5)], [0, 0, 1], 12.25),
+        (3, [ring(0, 0, 4, back=True), ring(1, 1, 1, back=True), ring(9, 9, 2), ring(9.5, 9.5, 1, back=True)], [0, 0, 1, 1], 18.0),
+    ]
+    df = spark.createDataFrame([s[:3] for s in shapes], "k int, rings array<array<struct<x double, y double>>>, ring_parts array<int>")
+    got = {r["k"]: (r["a"], r["b"]) for r in df.select("k", area(F.col("rings")).alias("a"), area(F.col("rings"), F.col("ring_parts")).alias("b")).collect()}
+    assert got == {s[0]: (s[3], s[3]) for s in shapes}
+    layer = df.withColumns({"index_right": F.col("k").cast("long"), "SITECODE": F.concat(F.lit("S"), "k"), "MS": F.lit("X")})
+    assert {r["geometry_type"]: r["n"] for r in sites.geometry_types(layer).collect()} == {"MULTIPOLYGON": 3, "POLYGON": 1}
+    assert {r["geometry_type"]: r["n"] for r in sites.geometry_types(layer.drop("ring_parts")).collect()} == {"MULTIPOLYGON": 3, "POLYGON": 1}
+    prepared = sites.prepare_sites(layer)
+    assert sites.area_statistics(prepared).first()["count"] == 4
+    # A small part that lies wholly in a cell has that cell, wherever the first part is.
+    two = prepared.filter("k = 0")
+    cells = {tuple(r) for r in hexgrid.hex_grid(two, 300_000.0).collect()}
+    apart = [sites.prepare_sites(spark.createDataFrame([(0, "A", "X", [r])], LAYER)) for r in shapes[0][1]]
+    assert cells == {tuple(r) for a in apart for r in hexgrid.hex_grid(a, 300_000.0).collect()} and len(cells) >= 2
+
+
+def test_validity(spark):
+    ring = lambda *a: square(*map(float, a))
+    bow = [(0.0, 0.0), (2.0, 2.0), (2.0, 0.0), (0.0, 2.0), (0.0, 0.0)]
+    spike = [(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (4.0, 6.0), (4.0, 4.0), (0.0, 4.0), (0.0, 0.0)]
+    touch = [(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (2.0, 0.0), (0.0, 4.0), (0.0, 0.0)]
+    doubled = [(0.0, 0.0), (0.0, 0.0), (0.0, 4.0), (4.0, 4.0), (4.0, 4.0), (4.0, 0.0), (0.0, 0.0)]
+    wheel = [(math.cos(t * math.pi / 500), math.sin(t * math.pi / 500)) for t in range(1000)]
+    cases = {"square": ([ring(0, 0, 4), ring(1, 1, 1)], True), "bow": ([bow], False), "spike": ([spike], False), "touch": ([touch], False), "doubled": ([doubled], True), "open": ([ring(0, 0, 4)[:-1]], False), "short": ([[(0.0, 0.0), (1.0, 1.0), (0.0, 0.0)]], False), "overlap": ([ring(0, 0, 4), ring(3, 3, 4)], False), "corner": ([ring(0, 0, 4), ring(4, 4, 4)], True), "shared": ([ring(0, 0, 4), ring(4, 0, 4)], False), "wheel": ([[*wheel, wheel[0]]], True), "empty": ([], True), "null": (None, None)}
+    df = spark.createDataFrame([(k, r) for k, (r, _) in cases.items()], "SITECODE string, rings array<array<struct<x double, y double>>>")
+    assert {r["SITECODE"]: r["is_valid"] for r in sites.geometry_validity(df).collect()} == {k: v for k, (_, v) in cases.items()}
+    assert sites.site_health(df).first()["n_invalid"] == sum(v is False for _, v in cases.values())
+
+
+@pytest.mark.parametrize("limit", [1 << 20, 0])
+def test_nearest_of_many_sites_against_brute_force(spark, limit):
+    rng = random.Random(6)
+    rows = [(i, f"S{i}", "X", [square(rng.uniform(-10, 30), rng.uniform(36, 65), rng.uniform(0.01, 0.6)) for _ in range(rng.choice([1, 1, 3]))]) for i in range(150)]
+    many = sites.prepare_sites(spark.createDataFrame(rows, LAYER))
+    pts = points(spark, *[(rng.uniform(-10, 30), rng.uniform(36, 65)) for _ in range(60)], (-100.0, -50.0), *[(r[3][0][0][0] + 0.004, r[3][0][0][1] + 0.004) for r in rows[:5]])
+    got = {r["gbifID"]: r["dist_to_polygon_m"] for r in spatial.nearest_distances(pts, many, limit=limit).collect()}
+    rings = [[(p["x"], p["y"]) for p in ring] for r in many.select(project_rings(F.col("rings")).alias("m")).collect() for ring in r["m"]]
+    inside = {r["gbifID"] for r in spatial.containing_pairs(pts, many).collect()}
+    for r in pts.select("gbifID", laea(F.col("decimalLongitude"), F.col("decimalLatitude")).alias("m")).collect():
+        want = 0.0 if r["gbifID"] in inside else min(_metric_distance((r["m"]["x"], r["m"]["y"]), g) for g in rings)
+        assert abs(got[r["gbifID"]] - want) < 1e-3
+
+
 def test_classes(spark, layer):
     pts = points(spark, (0.5, 0.5), (0.5, 0.5), (-0.001, 0.5), (-0.001, 0.5), (0.5, 0.5), (-9, -9))
     unc = F.when(F.col("gbifID").isin(0, 3), 1.0).when(F.col("gbifID").isin(1, 2), 1e6).when(F.col("gbifID") == 5, 10.0)
