@@ -94,6 +94,33 @@ def test_download(tmp_path):
         busy.submit("{}")
 
 
+def test_geopackage_types(spark, tmp_path):
+    sq = lambda x, y, w: [(x, y), (x, y + w), (x + w, y + w), (x + w, y), (x, y)]
+    rows = [("two", [sq(0.0, 0.0, 1.0), sq(5.0, 5.0, 1.0)[::-1]]), ("holes", [sq(0.0, 0.0, 9.0), sq(20.0, 0.0, 9.0), sq(1.0, 1.0, 5.0), sq(2.0, 2.0, 1.0), sq(21.0, 1.0, 1.0)[::-1]]), ("none", None), ("empty", [])]
+    df = spark.createDataFrame(rows, "SITECODE string, rings array<array<struct<x double, y double>>>")
+    path = str(tmp_path / "m.gpkg")
+    assert geopackage.write_layer(df, path, "areas") == 4
+    back = {r["SITECODE"]: r for r in geopackage.read_layer(spark, path).collect()}
+    assert [back[k]["geometry_type"] for k in ("two", "holes", "none", "empty")] == ["MULTIPOLYGON", "MULTIPOLYGON", None, "EMPTY"]
+    assert back["two"]["ring_parts"] == [0, 1] and [[tuple(p) for p in r] for r in back["two"]["rings"]] == rows[0][1]
+    said = dict(zip((tuple(map(tuple, r)) for r in back["holes"]["rings"]), back["holes"]["ring_parts"], strict=True))
+    part = [said[tuple(r)] for r in rows[1][1]]
+    assert part[0] == part[2] and part[1] == part[4] and len({part[0], part[1], part[3]}) == 3  # an island in a hole is a part
+    points = spark.createDataFrame([(i, None if i == 3 else i / 2, 1.0) for i in range(12)], "gbifID long, decimalLongitude double, decimalLatitude double")
+    assert geopackage.write_layer(points, path, "points", geometry=("decimalLongitude", "decimalLatitude")) == 12
+    spark.dataSource.register(geopackage.GeoPackage)
+    got = spark.read.format("geopackage").option("path", path).option("layer", "points").option("rows", "5").load()
+    assert got.rdd.getNumPartitions() == 3
+    got = {r["index_right"]: r for r in got.collect()}
+    assert sorted(got) == list(range(12)) and got[3]["rings"] is None and got[3]["decimalLongitude"] is None
+    assert all(got[i]["geometry_type"] == "POINT" and tuple(got[i]["rings"][0][0]) == (i / 2, 1.0) and got[i]["gbifID"] == i for i in range(12) if i != 3)
+    import sqlite3
+
+    with sqlite3.connect(path) as db:
+        assert dict(db.execute("SELECT table_name, geometry_type_name FROM gpkg_geometry_columns")) == {"areas": "GEOMETRY", "points": "POINT"}
+        assert db.execute("SELECT min_x, max_x FROM gpkg_contents WHERE table_name = 'points'").fetchone() == (0.0, 5.5)
+
+
 def test_credentials(monkeypatch):
     monkeypatch.delenv("OCC_USER", raising=False)
     with pytest.raises(ValueError):
