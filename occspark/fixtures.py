@@ -49,6 +49,19 @@ SELECT s_suppkey AS index_right, concat('S', CAST(s_suppkey AS STRING)) AS SITEC
   -10 + ((s_suppkey * 613) % 401) / 1e1 AS cx, 35 + ((s_suppkey * 389) % 301) / 1e1 AS cy, 0.5e0 + (s_suppkey % 7) * 0.25e0 AS r
 FROM supplier"""
 
+# Occurrences whose ids repeat or are missing: rows are told apart by ``k`` alone.
+ODD_OCC = """
+SELECT o_orderkey AS k, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderkey % 50 END AS gbifID, concat('Species ', CAST(o_orderkey % 89 AS STRING)) AS scientificName,
+  CASE WHEN o_orderkey % 211 = 0 THEN NULL ELSE -10 + ((o_orderkey * 7919) % 4001) / 1e2 END AS decimalLongitude, 35 + ((o_orderkey * 104729) % 3001) / 1e2 AS decimalLatitude,
+  CASE WHEN o_orderkey % 11 = 0 THEN CAST(NULL AS DOUBLE) ELSE (o_orderkey * 31 % 1200) * 1e2 END AS coordinateUncertaintyInMeters
+FROM orders"""
+
+# Rings of sites of three parts, the first with a hole wound like its outer ring, the second wound the other way, the third tiny.
+RINGS = """
+SELECT s.index_right, t.ring, t.part, t.back, s.cx + t.dx * s.r AS cx, s.cy + t.dy * s.r + t.up AS cy, s.r * t.f + t.g AS r
+FROM site AS s CROSS JOIN (VALUES (0, 0, false, 0e0, 0e0, 0e0, 1e0, 0e0), (1, 0, false, 0e0, 0e0, 0e0, 0.4e0, 0e0), (2, 1, true, 2.5e0, 0e0, 0e0, 0.5e0, 0e0), (3, 2, false, 0e0, 1e0, 0.3e0, 0e0, 0.05e0))
+  AS t(ring, part, back, dx, dy, up, f, g)"""
+
 SPECIES = """
 SELECT CASE WHEN p_partkey % 29 = 0 THEN 'none' ELSE CAST(p_partkey % 300 AS STRING) END AS usageKey,
   CASE WHEN p_partkey % 14 = 0 THEN CAST(p_partkey % 50 AS STRING) ELSE NULL END AS acceptedUsageKey
@@ -97,3 +110,24 @@ def _sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     r, zero = F.col("r"), F.lit(0.0)
     ring = F.array(p(r, zero), p(zero, r), p(-r, zero), p(zero, -r), p(r, zero))
     return prepare_sites(s.withColumn("rings", F.array(ring)).drop("cx", "cy", "r"))
+
+
+def odd_occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _staged(spark, sf_dir, "odd", lambda: _view(spark, sf_dir, ODD_OCC, "orders"))
+
+
+def part_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sites of several parts and a hole per supplier, prepared."""
+    return _staged(spark, sf_dir, "parts", lambda: _part_sites(spark, sf_dir))
+
+
+def _part_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    site = _view(spark, sf_dir, SITE, "supplier")
+    rings = spark.sql(RINGS.replace("FROM site AS s", "FROM {site} AS s"), site=site)
+    p = lambda dx, dy: F.struct((F.col("cx") + dx).alias("x"), (F.col("cy") + dy).alias("y"))
+    r, zero = F.col("r"), F.lit(0.0)
+    ring = F.array(p(r, zero), p(zero, r), p(-r, zero), p(zero, -r), p(r, zero))
+    rows = rings.select("index_right", F.struct("ring", "part", F.when(F.col("back"), F.reverse(ring)).otherwise(ring).alias("points")).alias("x"))
+    shapes = rows.groupBy("index_right").agg(F.array_sort(F.collect_list("x")).alias("xs"))
+    shapes = shapes.select("index_right", F.transform("xs", lambda x: x["points"]).alias("rings"), F.transform("xs", lambda x: x["part"]).alias("ring_parts"))
+    return prepare_sites(site.drop("cx", "cy", "r").join(shapes, "index_right"))

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.common import is_date_like, percent, warning_flags
+from ..plans.quantiles import column_quantiles, exact_quantiles
+from ..plans.shared import cut
 from ..schemas import COLUMN_ROLES, DATE_LIKE, LOGICAL_TYPES, MEASURED
 
 
@@ -36,6 +38,8 @@ def schema_profile(df: DataFrame) -> DataFrame:
     number = lambda c: F.col(c).cast("double") if c in MEASURED and kinds[c] != "string" else F.lit(None).cast("double")
     cells = F.array(*(F.struct(F.lit(i).alias("ord"), F.col(c).cast("string").alias("value"), number(c).alias("x")) for i, c in enumerate(df.columns)))
     counted = df.select(F.explode(cells).alias("c")).groupBy("c.ord", "c.value", "c.x").agg(F.count(F.lit(1)).alias("n"))
+    counted = cut(counted)
+    middle = exact_quantiles(counted, "ord", "x", "n", [0.5]).select("ord", F.bround(F.get("quantiles", F.lit(0)), 4).alias("numeric_median"))
     there = F.col("value").isNotNull()
     good = F.array(*(F.lit(i) for i, c in enumerate(df.columns) if c in DATE_LIKE)).cast("array<int>")
     is_date = F.array_contains(good, F.col("ord")) & is_date_like(F.col("value"))
@@ -46,12 +50,11 @@ def schema_profile(df: DataFrame) -> DataFrame:
         F.min("x").alias("numeric_min"),
         F.max("x").alias("numeric_max"),
         F.bround(F.sum(F.col("x") * F.col("n")) / F.sum(F.when(F.col("x").isNotNull(), F.col("n"))), 4).alias("numeric_mean"),
-        F.bround(F.percentile("x", F.lit(0.5), F.col("n")), 4).alias("numeric_median"),
         F.coalesce(F.sum(F.when(is_date, F.col("n"))), F.lit(0)).alias("valid"),
     )
     about = [(i, c, COLUMN_ROLES.get(c, "unspecified"), kinds[c], _logical(c, kinds[c]), c in DATE_LIKE) for i, c in enumerate(df.columns)]
     columns = df.sparkSession.createDataFrame(about, "ord int, column string, role string, dtype string, logical_type string, dates boolean")
-    out = columns.join(figures, "ord", "left").fillna(0, ["rows", "non_null", "unique_values", "valid"])
+    out = columns.join(figures, "ord", "left").join(F.broadcast(middle), "ord", "left").fillna(0, ["rows", "non_null", "unique_values", "valid"])
     missing_pct = percent(F.col("missing"), F.col("rows"), 4)
     out = out.withColumn("missing", F.col("rows") - F.col("non_null")).withColumn("missing_pct", missing_pct)
     out = out.withColumns(
@@ -85,6 +88,7 @@ def describe(df: DataFrame, *fields: str) -> DataFrame:
     """(field, count, mean, std, min, q25, q50, q75, max) with the sample deviation and exact quartiles."""
     pairs = F.array(*(F.struct(F.lit(f).alias("field"), F.col(f).cast("double").alias("x")) for f in fields))
     grouped = df.select(F.explode(pairs).alias("p")).select("p.*").groupBy("field")
-    q = F.percentile("x", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    out = grouped.agg(F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"), F.min("x").alias("min"), q.alias("q"), F.max("x").alias("max"))
-    return out.select("field", "count", "mean", "std", "min", F.get("q", 0).alias("q25"), F.get("q", 1).alias("q50"), F.get("q", 2).alias("q75"), "max")
+    out = grouped.agg(F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"), F.min("x").alias("min"), F.max("x").alias("max"))
+    quartiles = column_quantiles(df, fields, [0.25, 0.5, 0.75]).select(F.col("column").alias("field"), F.col("quantiles").alias("q"))
+    out = out.join(F.broadcast(quartiles), "field", "left")
+    return out.select("field", "count", "mean", "std", "min", *(F.get("q", F.lit(i)).alias(c) for i, c in enumerate(("q25", "q50", "q75"))), "max")

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.common import status, to_number
+from ..plans.quantiles import column_quantiles, quantile
+from ..plans.shared import cut
 from ..schemas import EUROPE
 
 LON, LAT, UNC, ID = "decimalLongitude", "decimalLatitude", "coordinateUncertaintyInMeters", "gbifID"
@@ -23,21 +25,42 @@ PASSED = "Dataset passed spatial readiness validation."
 
 def top_values(df: DataFrame, zero: str, other: str, k: int = 5) -> DataFrame:
     """(value, n): the ``k`` commonest values of ``other`` among records whose ``zero`` coordinate is 0; ties by value."""
+    return _zero_counts(df, zero, other).orderBy(F.desc("n"), "value").limit(k)
+
+
+def _zero_counts(df: DataFrame, zero: str, other: str) -> DataFrame:
     rows = df.select(to_number(F.col(zero)).alias("z"), to_number(F.col(other)).alias("value")).filter("z = 0 and value is not null")
-    return rows.groupBy("value").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "value").limit(k)
+    return rows.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _top_text(df: DataFrame, zero: str, other: str, name: str) -> DataFrame:
-    rows = top_values(df, zero, other)
+def _zero_values(df: DataFrame, zero: str, other: str, distinct: str, top: str, k: int = 5) -> DataFrame:
+    """One row: how many values ``other`` has where ``zero`` is 0, and the commonest of them as text. Values are counted before they are ranked."""
+    counted = _zero_counts(df, zero, other)
+    first = counted.orderBy(F.desc("n"), "value").limit(k)
     ordered = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("m"), "value", "n")))
-    return rows.agg(F.array_join(F.transform(ordered, lambda x: F.concat(F.bround(x["value"], 4).cast("string"), F.lit(":"), x["n"].cast("string"))), "; ").alias(name))
+    text = first.agg(F.array_join(F.transform(ordered, lambda x: F.concat(F.bround(x["value"], 4).cast("string"), F.lit(":"), x["n"].cast("string"))), "; ").alias(top))
+    return counted.agg(F.count(F.lit(1)).alias(distinct)).join(F.broadcast(text))
+
+
+def _repeats(df: DataFrame) -> DataFrame:
+    return df.groupBy(ID).agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.sum("n") - F.count(F.lit(1)), F.lit(0)).cast("long").alias("duplicate_id"))
+
+
+def _pair_repeats(df: DataFrame) -> DataFrame:
+    pairs = df.select(to_number(F.col(LON)).alias("x"), to_number(F.col(LAT)).alias("y")).filter("x is not null and y is not null")
+    return pairs.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.sum("n") - F.count(F.lit(1)), F.lit(0)).cast("long").alias("duplicate_pairs"))
+
+
+def _uncertainty_median(df: DataFrame) -> DataFrame:
+    found = column_quantiles(df.select(to_number(F.col(UNC)).alias("u")), ["u"], [0.5])
+    return found.agg(quantile(found, "u").alias("unc_median"))
 
 
 def readiness_report(df: DataFrame, dataset: str, source: str = "", member: str = "", at: str = "", bounds: dict[str, float] = EUROPE) -> DataFrame:
     """(ord, dataset_name, section, metric, value, status, notes), values as text.
 
-    All counters come from one aggregation (besides the top values where a coordinate is zero). Missing
-    required columns fail the report, which then ends with the verdict.
+    Counters come from one aggregation without a shuffle; repeats, the median and the values where a coordinate is zero come from
+    values counted in each task first. Missing required columns fail the report, which then ends with the verdict.
     """
     spark = df.sparkSession
     missing = [c for c in REQUIRED if c not in df.columns]
@@ -52,10 +75,12 @@ def readiness_report(df: DataFrame, dataset: str, source: str = "", member: str
     wide = [F.count(F.lit(1)).alias("n")]
     if not missing:
         wide += _counters(df, bounds)
-        rows += _checks(bounds)
+        rows += [(s, m, F.col(c), status(F.col(c), bad) if bad else "INFO", note) for s, m, c, bad, note in checks(bounds)]
     agg = df.agg(*wide)
     if not missing:
-        agg = agg.join(F.broadcast(_top_text(df, LON, LAT, "top_lat"))).join(F.broadcast(_top_text(df, LAT, LON, "top_lon")))
+        for other in (_repeats(df), _pair_repeats(df), _uncertainty_median(df), _zero_values(df, LON, LAT, "lon0_distinct", "top_lat"), _zero_values(df, LAT, LON, "lat0_distinct", "top_lon")):
+            agg = agg.join(F.broadcast(other))
+    agg = cut(agg)  # the report's rows and the verdict are both made of it
     as_row = lambda i, s, m, v, st, note: F.struct(F.lit(i).alias("ord"), F.lit(s).alias("section"), F.lit(m).alias("metric"), v.cast("string").alias("value"), (F.lit(st) if isinstance(st, str) else st).alias("status"), F.lit(note).alias("notes"))
     long = agg.select(F.inline(F.array(*(as_row(i, *r) for i, r in enumerate(rows)))))
     # What concerns the zero coordinates is told only where there are some.
@@ -87,10 +112,8 @@ def _counters(df: DataFrame, b: dict[str, float]) -> list[Column]:
     lon, lat, unc = (to_number(F.col(c)) for c in (LON, LAT, UNC))
     n = lambda cond: F.count(F.when(cond, 1))
     both = lon.isNotNull() & lat.isNotNull()
-    pairs = F.count_distinct(F.when(both, F.struct(lon.alias("a"), lat.alias("b"))))
     return [
         n(F.col(ID).isNull()).alias("missing_id"),
-        (F.count(F.lit(1)) - F.count_distinct(ID) - F.coalesce(F.max(F.when(F.col(ID).isNull(), 1)), F.lit(0))).alias("duplicate_id"),
         *(n(F.col(c).isNotNull() & x.isNull()).alias(f"invalid_{k}") for c, x, k in ((LON, lon, "lon"), (LAT, lat, "lat"), (UNC, unc, "unc"))),
         *(n(F.col(c).isNull()).alias(f"missing_{k}") for c, k in ((LON, "lon"), (LAT, "lat"), (UNC, "unc"))),
         n(lon.isNotNull() & ~lon.between(-180, 180)).alias("lon_range"),
@@ -98,9 +121,6 @@ def _counters(df: DataFrame, b: dict[str, float]) -> list[Column]:
         n((lon == 0) & (lat == 0)).alias("zero_both"),
         n(lon == 0).alias("zero_lon"),
         n(lat == 0).alias("zero_lat"),
-        F.count_distinct(F.when(lon == 0, lat)).alias("lon0_distinct"),
-        F.count_distinct(F.when(lat == 0, lon)).alias("lat0_distinct"),
-        (n(both) - pairs).alias("duplicate_pairs"),
         *(f(x).alias(f"{k}_{c}") for c, x in (("lon", lon), ("lat", lat)) for k, f in (("min", F.min), ("max", F.max))),
         n(both & _in_bounds(lon, lat, b)).alias("in_bounds"),
         n(both & ~_in_bounds(lon, lat, b)).alias("out_of_bounds"),
@@ -108,14 +128,13 @@ def _counters(df: DataFrame, b: dict[str, float]) -> list[Column]:
         n(unc < 0).alias("unc_negative"),
         n(unc == 0).alias("unc_zero"),
         F.min(unc).alias("unc_min"),
-        F.median(unc).alias("unc_median"),
         F.max(unc).alias("unc_max"),
     ]
 
 
-def _checks(b: dict[str, float]) -> list[tuple]:
-    c = F.col
-    count = lambda s, m, col, bad, note="": (s, m, c(col), status(c(col), bad) if bad else "INFO", note)
+def checks(b: dict[str, float]) -> list[tuple[str, str, str, str, str]]:
+    """(section, metric, counter, status if it is not zero or nothing, note)."""
+    count = lambda s, m, col, bad, note="": (s, m, col, bad, note)
     return [
         count("gbifID", "missing_gbifID", "missing_id", "FAIL"),
         count("gbifID", "duplicate_gbifID", "duplicate_id", "FAIL"),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.common import percent
+from ..plans.quantiles import column_quantiles, quantile
 
 
 def cell_counts(assigned: DataFrame) -> DataFrame:
@@ -22,9 +23,11 @@ def aggregate_to_grid(grid: DataFrame, assigned: DataFrame) -> DataFrame:
 
 def grid_summary(cells: DataFrame, points: DataFrame) -> DataFrame:
     n, covered = F.count(F.lit(1)), F.count(F.when(F.col("n_occurrences") > 0, 1))
-    figures = [f(c).alias(f"{s}_{k}") for c, s in (("n_occurrences", "occurrences"), ("n_species", "species")) for k, f in (("min", F.min), ("max", F.max), ("mean", F.avg), ("median", F.median))]
+    figures = [f(c).alias(f"{s}_{k}") for c, s in (("n_occurrences", "occurrences"), ("n_species", "species")) for k, f in (("min", F.min), ("max", F.max), ("mean", F.avg))]
+    middle = column_quantiles(cells, ["n_occurrences", "n_species"], [0.5])
+    middle = middle.agg(*(quantile(middle, c).alias(f"{s}_median") for c, s in (("n_occurrences", "occurrences"), ("n_species", "species"))))
     out = cells.agg(n.alias("total_cells"), covered.alias("cells_with_occurrence"), (n - covered).alias("empty_cells"), percent(covered, n).alias("coverage_pct"), *figures)
-    return out.join(F.broadcast(points.agg(F.count_distinct("scientificName").alias("total_species"))))
+    return out.join(F.broadcast(middle)).join(F.broadcast(points.agg(F.count_distinct("scientificName").alias("total_species"))))
 
 
 def coverage_flags(cells: DataFrame) -> DataFrame:
@@ -44,10 +47,10 @@ def coverage_counts(cells: DataFrame) -> DataFrame:
     return cells.agg(F.count(some).alias("cells_with_data"), (F.count(F.lit(1)) - F.count(some)).alias("cells_without_data"), F.min(some).alias("min_nonzero"), F.max(some).alias("max_nonzero"))
 
 
-def hotspot_cells(cells: DataFrame, quantile: float = 0.95) -> DataFrame:
+def hotspot_cells(cells: DataFrame, share: float = 0.95) -> DataFrame:
     """Cells with data whose count reaches the interpolated quantile of such cells; ties count."""
     some = cells.filter("n_occurrences > 0")
-    limit = some.agg(F.percentile("n_occurrences", F.lit(quantile)).alias("threshold"))
+    limit = column_quantiles(some, ["n_occurrences"], [share]).select(F.get("quantiles", F.lit(0)).alias("threshold"))
     return some.join(F.broadcast(limit)).filter("n_occurrences >= threshold")
 
 
@@ -72,4 +75,4 @@ def histogram(cells: DataFrame, column: str, bins: int, nonzero: bool = False) -
 
 def grid_sample(cells: DataFrame, n: int = 5000, seed: int = 42) -> DataFrame:
     """``n`` cells (all, if fewer) in the order of a seeded hash of their ids: the same for any partitioning."""
-    return cells.orderBy(F.xxhash64("cell_id", F.lit(seed)), "cell_id").limit(n)
+    return cells.orderBy(F.md5(F.concat_ws(":", F.lit(str(seed)), "cell_id")), "cell_id").limit(n)

@@ -287,15 +287,12 @@ def schema_profile(spark, sf_dir):
     return profile.schema_profile(_clean(spark, sf_dir))
 
 
-_SAMPLED = ["scientificName", "countryCode", "basisOfRecord", "eventDate", "taxonKey"]
-
-
 @query(
-    f"WITH {CLEAN_SQL}, d AS ({' UNION '.join(f'''SELECT '{c}' AS c, CAST({c} AS STRING) AS v FROM clean WHERE {c} IS NOT NULL''' for c in _SAMPLED)}), r AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY v) AS k FROM d) "
+    f"WITH {CLEAN_SQL}, d AS ({' UNION '.join(f'''SELECT '{c}' AS c, CAST({c} AS STRING) AS v FROM clean WHERE {c} IS NOT NULL''' for c in RAW_COLUMNS)}), r AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY v) AS k FROM d) "
     "SELECT c AS \"column\", string_agg(v, ' | ' ORDER BY k) AS sample_values FROM r WHERE k <= 3 GROUP BY c"
 )
 def sample_values(spark, sf_dir):
-    return profile.sample_values(_clean(spark, sf_dir).select(*_SAMPLED))
+    return profile.sample_values(_clean(spark, sf_dir))
 
 
 @query(f"WITH {RAW_SQL} SELECT count(eventDate) AS non_null, count(CASE WHEN {_is_date('eventDate')} THEN 1 END) AS valid, {_pct('count(CASE WHEN ' + _is_date('eventDate') + ' THEN 1 END)', 'count(eventDate)', 4)} AS valid_pct FROM raw")
@@ -367,7 +364,28 @@ def readiness_verdict(spark, sf_dir):
     return readiness.readiness_verdict(_report(spark, sf_dir).filter(F.col("section") != "final_assessment"))
 
 
-@query()
+def _full_readiness_sql() -> str:
+    """All rows of the report in their order, with the fixed notes."""
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    top = lambda zero, other: f"coalesce((SELECT string_agg(CAST(round_even(v, 4) AS STRING) || ':' || n, '; ' ORDER BY n DESC, v) FROM (SELECT {other} AS v, count(*) AS n FROM t WHERE {zero} = 0 AND {other} IS NOT NULL GROUP BY 1 ORDER BY n DESC, v LIMIT 5)), '')"
+    own = {
+        "lon0_unique_latitudes": "count(DISTINCT CASE WHEN lon = 0 THEN lat END)", "lon0_top_latitudes": top("lon", "lat"), "lat0_unique_longitudes": "count(DISTINCT CASE WHEN lat = 0 THEN lon END)", "lat0_top_longitudes": top("lat", "lon"),
+        "min_longitude": "min(lon)", "max_longitude": "max(lon)", "min_latitude": "min(lat)", "max_latitude": "max(lat)", "uncertainty_min": "min(unc)", "uncertainty_median": "median(unc)", "uncertainty_max": "max(unc)",
+    }
+    fixed = [("dataset", "rows", "(SELECT value FROM report WHERE metric = 'rows')", "'INFO'", ""), ("dataset", "columns", f"'{len(RAW_COLUMNS)}'", "'INFO'", ""), ("dataset", "input_zip", "''", "'INFO'", ""), ("dataset", "inner_csv", "''", "'INFO'", "")]
+    fixed += [("required_columns", "all_required_columns_present", "'True'", "'PASS'", "")] + [("optional_columns", f"{c}_present", "'True'", "'INFO'", "") for c in ("taxonKey", "scientificName", "countryCode", "year")]
+    for section, metric, _, _, note in readiness.checks(readiness.EUROPE):
+        of = lambda c, m=metric: f"(SELECT {c} FROM report WHERE metric = '{m}')"
+        fixed.append((section, metric, own[metric] if "top" in metric else f"(SELECT CAST({own[metric]} AS STRING) FROM t)" if metric in own else of("value"), "'INFO'" if metric in own else of("status"), note))
+    parts = [f"SELECT {i} AS ord, '{s}' AS section, '{m}' AS metric, {v} AS value, {st} AS status, {quoted(note)} AS notes" for i, (s, m, v, st, note) in enumerate(fixed)]
+    n = len(fixed)
+    return f"""{_readiness_sql()}, long AS (SELECT * FROM ({" UNION ALL ".join(parts)}) WHERE NOT (metric IN ('lon0_unique_latitudes', 'lon0_top_latitudes', 'lat0_unique_longitudes', 'lat0_top_longitudes') AND value IN ('0', ''))),
+n AS (SELECT count(CASE WHEN status = 'FAIL' THEN 1 END) AS n_fail, count(CASE WHEN status = 'WARNING' THEN 1 END) AS n_warning FROM long),
+verdict AS (SELECT CASE WHEN n_fail > 0 THEN 'FAIL' WHEN n_warning > 0 THEN 'PASS WITH WARNINGS' ELSE 'PASS' END AS s, CASE WHEN n_fail > 0 THEN '{readiness.FAILED}' WHEN n_warning > 0 THEN '{readiness.WARNED}' ELSE '{readiness.PASSED}' END AS notes FROM n)
+SELECT ord, 'TEST' AS dataset_name, section, metric, value, status, notes FROM long UNION ALL SELECT {n}, 'TEST', 'final_assessment', 'final_status', s, s, notes FROM verdict UNION ALL SELECT {n + 1}, 'TEST', 'final_assessment', 'validation_timestamp', '', 'INFO', ''"""
+
+
+@query(_full_readiness_sql())
 def readiness_full_report(spark, sf_dir):
     return _report(spark, sf_dir)
 
@@ -687,7 +705,7 @@ def species_histogram_nonzero(spark, sf_dir):
     return _rounded(surface.histogram(_cells(spark, sf_dir), "n_species", 10, nonzero=True), 6, "lower", "upper")
 
 
-@query()
+@query(f"WITH {GRID_SQL} SELECT * FROM grid ORDER BY md5('42:' || cell_id), cell_id LIMIT 50")
 def grid_sample(spark, sf_dir):
     return surface.grid_sample(hexgrid.hex_grid(_area(spark, sf_dir), HEX), 50)
 
@@ -779,7 +797,7 @@ def baseline_within_distribution(spark, sf_dir):
     return summaries.distribution(_classified(spark, sf_dir), "baseline_within", "baseline_within")
 
 
-@query(f"WITH {CLASS_SQL} SELECT (SELECT count(*) FROM joined) AS n_a, (SELECT count(*) FROM classified) AS n_b, true AS same")
+@query(f"WITH {CLASS_SQL} SELECT (SELECT count(*) FROM joined) AS n_a, (SELECT count(*) FROM classified) AS n_b, (SELECT count(*) FROM joined) = (SELECT count(*) FROM classified) AS same")
 def joined_row_parity(spark, sf_dir):
     joined = cut(_joined(spark, sf_dir))
     return validate.same_rows(joined, uncertainty.classify(joined, X.sites(spark, sf_dir)))
@@ -814,7 +832,7 @@ def pipeline_validation(spark, sf_dir):
     return _validation(spark, sf_dir).drop("ord")
 
 
-@query("SELECT CAST(22 AS BIGINT) AS n_pass, CAST(0 AS BIGINT) AS n_fail")
+@query(f"SELECT count(CASE WHEN passed THEN 1 END) AS n_pass, count(CASE WHEN NOT passed THEN 1 END) AS n_fail FROM ({_validation_sql()})")
 def validation_tally(spark, sf_dir):
     return validate.validation_tally(_validation(spark, sf_dir))
 
@@ -829,6 +847,92 @@ def site_area_top10(spark, sf_dir):
     return _rounded(sites.largest_sites(X.sites(spark, sf_dir)), 3, "area_km2")
 
 
-@query(f"WITH {SITE_SQL} SELECT count(*) AS n_sites, 0 AS n_missing, 0 AS n_empty, 0 AS n_short_rings, 0 AS n_open_rings, 0 AS n_multi_ring, count(*) - count(DISTINCT SITECODE) AS n_duplicate_codes, min(cx - r) AS min_lon, min(cy - r) AS min_lat, max(cx + r) AS max_lon, max(cy + r) AS max_lat FROM site")
+@query(f"WITH {SITE_SQL} SELECT count(*) AS n_sites, 0 AS n_missing, 0 AS n_empty, 0 AS n_short_rings, 0 AS n_open_rings, 0 AS n_multi_ring, 0 AS n_invalid, count(*) - count(DISTINCT SITECODE) AS n_duplicate_codes, min(cx - r) AS min_lon, min(cy - r) AS min_lat, max(cx + r) AS max_lon, max(cy + r) AS max_lat FROM site")
 def site_health(spark, sf_dir):
     return sites.site_health(X.sites(spark, sf_dir))
+
+
+# Rows without ids of their own, and sites of parts and holes ------------------------------------------
+
+PARTS_SQL = f"""occ AS ({X.ODD_OCC}), site AS ({X.SITE}), ring AS ({X.RINGS}), edge AS (
+  SELECT index_right, ring, cx + r AS x1, cy AS y1, cx AS x2, cy + r AS y2 FROM ring UNION ALL SELECT index_right, ring, cx, cy + r, cx - r, cy FROM ring
+  UNION ALL SELECT index_right, ring, cx - r, cy, cx, cy - r FROM ring UNION ALL SELECT index_right, ring, cx, cy - r, cx + r, cy FROM ring
+), box AS (SELECT index_right, min(x1) AS lx, max(x1) AS hx, min(y1) AS ly, max(y1) AS hy FROM edge GROUP BY index_right), hits AS (
+  SELECT o.k, b.index_right, sum(CASE WHEN {_CROSS.format(**_OF_POINT)} THEN 1 ELSE 0 END) % 2 = 1 AS odd, max(CASE WHEN {_ON.format(**_OF_POINT)} THEN 1 ELSE 0 END) = 1 AS on_edge
+  FROM occ AS o JOIN box AS b ON o.decimalLongitude BETWEEN lx AND hx AND o.decimalLatitude BETWEEN ly AND hy JOIN edge AS e ON e.index_right = b.index_right GROUP BY o.k, b.index_right
+), pair AS (SELECT k, index_right FROM hits WHERE odd AND NOT on_edge), joined AS (
+  SELECT o.*, p.index_right, s.SITECODE FROM occ AS o LEFT JOIN pair AS p ON o.k = p.k LEFT JOIN site AS s ON p.index_right = s.index_right
+), vertex AS (SELECT index_right, ring, k, vx, vy FROM (
+  SELECT index_right, ring, 0 AS k, cx + r AS vx, cy AS vy FROM ring UNION ALL SELECT index_right, ring, 1, cx, cy + r FROM ring UNION ALL SELECT index_right, ring, 2, cx - r, cy FROM ring UNION ALL SELECT index_right, ring, 3, cx, cy - r FROM ring)
+), mvertex AS ({_laea_sql("vx", "vy", "vertex", "index_right, ring, k")}), medge AS (
+  SELECT a.index_right, a.ring, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2 FROM mvertex AS a JOIN mvertex AS b ON a.index_right = b.index_right AND a.ring = b.ring AND b.k = (a.k + 1) % 4
+), mocc AS ({_laea_sql("decimalLongitude", "decimalLatitude", "(SELECT * FROM occ WHERE decimalLongitude IS NOT NULL)", "k")})"""
+PART_AREA_SQL = "part_area AS (SELECT index_right, sum(CASE WHEN ring = 1 THEN -a ELSE a END) / 1e6 AS area_km2 FROM (SELECT index_right, ring, abs(sum(x1 * y2 - x2 * y1)) / 2 AS a FROM medge GROUP BY index_right, ring) GROUP BY index_right)"
+
+
+def _odd_joined(spark, sf_dir) -> DataFrame:
+    return spatial.join_sites(X.odd_occurrences(spark, sf_dir), X.part_sites(spark, sf_dir))
+
+
+@query(f"WITH {PARTS_SQL} SELECT gbifID, scientificName, index_right, SITECODE FROM joined")
+def rowwise_pip_join(spark, sf_dir):
+    return _odd_joined(spark, sf_dir).select("gbifID", "scientificName", "index_right", "SITECODE")
+
+
+@query(
+    f"""WITH {PARTS_SQL}, din AS (SELECT p.k, p.index_right, min({_DIST}) AS d FROM pair AS p JOIN mocc AS m ON p.k = m.k JOIN medge AS e ON p.index_right = e.index_right GROUP BY p.k, p.index_right), mout AS (
+  SELECT * FROM mocc WHERE k NOT IN (SELECT k FROM pair)
+), crossed AS (
+  SELECT m.k, e.index_right, min({_DIST}) AS d, sum(CASE WHEN {_CROSS.format(x="x", y="y")} THEN 1 ELSE 0 END) % 2 = 1 AS odd FROM mout AS m CROSS JOIN medge AS e GROUP BY m.k, e.index_right
+), dout AS (SELECT k, min(CASE WHEN odd THEN 0e0 ELSE d END) AS d FROM crossed GROUP BY k), c AS (
+  SELECT j.*, i.d AS bd, CASE WHEN j.index_right IS NULL THEN o.d END AS pd, coordinateUncertaintyInMeters AS u FROM joined AS j LEFT JOIN din AS i ON j.k = i.k AND j.index_right = i.index_right LEFT JOIN dout AS o ON j.k = o.k
+) SELECT gbifID, index_right, round(bd, 3) AS dist_to_boundary_m, round(pd, 3) AS dist_to_polygon_m, CASE WHEN index_right IS NOT NULL AND bd > u THEN '{CERTAINLY_INSIDE}' WHEN index_right IS NOT NULL AND bd <= u THEN '{INSIDE_UNCERTAIN}'
+  WHEN index_right IS NULL AND pd <= u THEN '{OUTSIDE_UNCERTAIN}' WHEN index_right IS NULL AND pd > u THEN '{CERTAINLY_OUTSIDE}' ELSE '{UNCLASSIFIED}' END AS uncertainty_class FROM c"""
+)
+def rowwise_uncertainty_class(spark, sf_dir):
+    out = uncertainty.classify(cut(_odd_joined(spark, sf_dir)), X.part_sites(spark, sf_dir))
+    return _rounded(out.select("gbifID", "index_right", "dist_to_boundary_m", "dist_to_polygon_m", "uncertainty_class"), 3, "dist_to_boundary_m", "dist_to_polygon_m")
+
+
+@query(f"WITH {PARTS_SQL}, area AS (SELECT index_right FROM site WHERE MS IN ({', '.join(f'{chr(39)}{m}{chr(39)}' for m in AREA_MS)})), aedge AS (SELECT e.* FROM medge AS e JOIN area AS a ON e.index_right = a.index_right){GRID_SQL[GRID_SQL.index(', box AS (') :].replace('box AS (', 'around AS (').replace('FROM box)', 'FROM around)')} SELECT * FROM grid")
+def multipart_hex_grid(spark, sf_dir):
+    return hexgrid.hex_grid(X.part_sites(spark, sf_dir).filter(F.col("MS").isin(*AREA_MS)), HEX)
+
+
+@query(f"WITH {PARTS_SQL}, {PART_AREA_SQL} SELECT SITECODE, round(area_km2, 3) AS area_km2 FROM part_area AS a JOIN site AS s ON a.index_right = s.index_right")
+def multipart_site_area(spark, sf_dir):
+    return _rounded(sites.site_areas(X.part_sites(spark, sf_dir)).select("SITECODE", "area_km2"), 3, "area_km2")
+
+
+@query(
+    f"WITH {PARTS_SQL}, {PART_AREA_SQL} SELECT count(*) AS count, round(avg(area_km2), 3) AS mean, round(stddev_samp(area_km2), 3) AS std, round(min(area_km2), 3) AS min, "
+    "round(quantile_cont(area_km2, 0.25), 3) AS q25, round(quantile_cont(area_km2, 0.5), 3) AS q50, round(quantile_cont(area_km2, 0.75), 3) AS q75, round(max(area_km2), 3) AS max FROM part_area"
+)
+def site_area_statistics(spark, sf_dir):
+    return _rounded(sites.area_statistics(X.part_sites(spark, sf_dir)), 3, "mean", "std", "min", "q25", "q50", "q75", "max")
+
+
+def _all_shapes(spark, sf_dir) -> DataFrame:
+    """The sites of one part, those of several, and some whose rings cross themselves or are not closed."""
+    shapes = X.part_sites(spark, sf_dir).select("SITECODE", "rings").unionByName(X.sites(spark, sf_dir).select(F.concat(F.lit("T"), "SITECODE").alias("SITECODE"), "rings"))
+    ring = F.get("rings", F.lit(0))
+    crossed = F.array(F.concat(F.slice(ring, 1, 1), F.slice(ring, 3, 1), F.slice(ring, 2, 1), F.slice(ring, 4, 2)))
+    bad = F.when(F.col("SITECODE").endswith("3"), crossed).when(F.col("SITECODE").endswith("7"), F.array(F.slice(ring, 1, 4))).when(F.col("SITECODE").endswith("9"), F.lit(None)).otherwise(F.col("rings"))
+    return shapes.withColumn("rings", bad)
+
+
+_KINDS = "CASE WHEN code LIKE '%9' THEN NULL WHEN code LIKE '%3' THEN 'crossed' WHEN code LIKE '%7' THEN 'open' WHEN many THEN 'many' ELSE 'one' END AS kind FROM (SELECT SITECODE AS code, true AS many, * FROM site UNION ALL SELECT 'T' || SITECODE, false, * FROM site)"
+
+
+@query(f"WITH site AS ({X.SITE}), k AS (SELECT {_KINDS}) SELECT CASE WHEN kind = 'many' THEN 'MULTIPOLYGON' WHEN kind IS NOT NULL THEN 'POLYGON' END AS geometry_type, count(*) AS n FROM k GROUP BY 1")
+def geometry_types(spark, sf_dir):
+    return sites.geometry_types(_all_shapes(spark, sf_dir))
+
+
+@query(
+    f"WITH site AS ({X.SITE}), k AS (SELECT cx, cy, r, {_KINDS}) SELECT count(*) AS n_sites, count(*) - count(kind) AS n_missing, 0 AS n_empty, 0 AS n_short_rings, count(CASE WHEN kind = 'open' THEN 1 END) AS n_open_rings, count(CASE WHEN kind = 'many' THEN 1 END) AS n_multi_ring, "
+    "count(CASE WHEN kind IN ('open', 'crossed') THEN 1 END) AS n_invalid, 0 AS n_duplicate_codes, min(CASE WHEN kind IS NOT NULL THEN cx - r END) AS min_lon, min(CASE WHEN kind IS NOT NULL THEN cy - r END) AS min_lat, "
+    "max(CASE WHEN kind = 'many' THEN greatest(cx + r, cx + 2.5e0 * r + r * 0.5e0) WHEN kind IS NOT NULL THEN cx + r END) AS max_lon, max(CASE WHEN kind = 'many' THEN cy + 1e0 * r + 0.3e0 + (r * 0e0 + 0.05e0) WHEN kind IS NOT NULL THEN cy + r END) AS max_lat FROM k"
+)
+def site_health_of_bad_shapes(spark, sf_dir):
+    return sites.site_health(_all_shapes(spark, sf_dir))
