@@ -21,10 +21,16 @@ def to_number(x: Column) -> Column:
 
 
 def to_integer(x: Column) -> Column:
-    """A whole double as a long."""
+    """A double as a long, rounded down."""
     return F.floor(x).cast("long")
 
 
+def whole(x: Column, name: str) -> Column:
+    """A whole double as a long; a fraction is an error, as it would change ids and years unseen."""
+    bad = F.raise_error(F.concat(F.lit(f"{name} holds the fraction "), x.cast("string")))
+    return F.when(x == F.floor(x), F.floor(x)).when(x.isNotNull(), bad).cast("long")
+
+
 def percent(part: Column, total: Column, digits: int = 2) -> Column:
     """``part`` of ``total`` in percent, rounded half to even; 0 if the total is 0."""
     return F.when(total == 0, F.lit(0.0)).otherwise(F.bround(part / total * 100.0, digits))

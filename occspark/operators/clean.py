@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.common import blank_to_null, to_integer, to_number
+from ..functions.common import blank_to_null, to_integer, to_number, whole
 from ..schemas import INTEGER_COLUMNS, NA_VALUES, NUMERIC_COLUMNS, RAW_COLUMNS, REQUIRED_RAW, REQUIRED_TYPED
 from .predicates import FilterSpec, spec_filter
 
@@ -27,7 +27,8 @@ def coerce_numbers(df: DataFrame, columns: Sequence[str] = NUMERIC_COLUMNS) -> D
 
 
 def cast_integers(df: DataFrame, columns: Sequence[str] = INTEGER_COLUMNS) -> DataFrame:
-    return df.withColumns({c: to_integer(F.col(c)) for c in columns if c in df.columns})
+    """Listed columns as longs; fractions raise."""
+    return df.withColumns({c: whole(F.col(c), c) for c in columns if c in df.columns})
 
 
 def canonical(df: DataFrame) -> DataFrame:
@@ -38,7 +39,7 @@ def canonical(df: DataFrame) -> DataFrame:
 def filter_occurrences(raw: DataFrame, spec: FilterSpec = FilterSpec(), na_values: Sequence[str] | None = NA_VALUES) -> DataFrame:
     """Raw text records to canonical occurrences: drop incomplete ones, read numbers, drop again, filter.
 
-    One pass without a shuffle. ``na_values=None`` takes text as it stands.
+    One pass without a shuffle. ``na_values=None`` takes text as it stands. An integer column with a fraction raises.
     """
     df = raw.select(*(c for c in RAW_COLUMNS if c in raw.columns))
     if na_values is not None:
@@ -67,10 +68,10 @@ def _bad(condition: Column) -> Column:
 def integrity_counts(df: DataFrame) -> DataFrame:
     """One row with the violations of each check, of typed or still fractional columns."""
     lat, lon = F.col("decimalLatitude"), F.col("decimalLongitude")
-    whole = F.lit(False)
+    fraction = F.lit(False)
     for c in INTEGER_COLUMNS:
         if c in df.columns:
-            whole = whole | F.coalesce(F.col(c) != F.floor(c), F.lit(False))
+            fraction = fraction | F.coalesce(F.col(c) != F.floor(c), F.lit(False))
     # Nulls are equal to each other among duplicates: rows less distinct values, null being one.
     distinct = F.count_distinct("gbifID") + F.max(F.when(F.col("gbifID").isNull(), 1).otherwise(0))
     return df.agg(
@@ -79,7 +80,7 @@ def integrity_counts(df: DataFrame) -> DataFrame:
         _bad(lat.isNull() | lon.isNull()).alias("coordinates_null"),
         _bad(~lat.between(-90, 90)).alias("latitude_out_of_range"),
         _bad(~lon.between(-180, 180)).alias("longitude_out_of_range"),
-        _bad(whole).alias("not_whole"),
+        _bad(fraction).alias("not_whole"),
     )
 
 

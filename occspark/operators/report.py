@@ -62,11 +62,11 @@ def readiness_text(report: DataFrame, dataset: str) -> str:
     return "\n".join([*lines, *_section("Reading the report"), "PASS: no issue. WARNING: review before use. FAIL: joins to sites would be wrong or impossible."]) + "\n"
 
 
-def table_text(title: str, *tables: tuple[str, DataFrame], limit: int = 1000) -> str:
-    """Any small result tables under a title: study area, grid, autocorrelation and validation summaries."""
+def table_text(title: str, *tables: tuple[str, DataFrame]) -> str:
+    """Result tables under a title, all their rows: study area, grid, autocorrelation and validation summaries."""
     lines = _title(title)
     for name, df in tables:
-        rows = df.limit(limit).collect()
+        rows = list(df.toLocalIterator())
         lines += _section(name)
         lines += [f"{k}: {v}" for k, v in rows[0].asDict().items()] if len(rows) == 1 else [", ".join(f"{k}={v}" for k, v in r.asDict().items()) for r in rows]
     return "\n".join(lines) + "\n"

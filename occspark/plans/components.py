@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import cut
+from .shared import cut, discard
 
 
 def _oriented(pairs: DataFrame) -> DataFrame:
@@ -41,7 +41,9 @@ def connected_components(pairs: DataFrame, a: str, b: str, max_rounds: int = 100
         sign = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first())
         if sign == before or not sign[0]:
             break
-        before, edges = sign, cut(_small_star(_large_star(edges)))
+        last, edges = edges, cut(_small_star(_large_star(edges)))
+        before = sign
+        discard(last)
     else:
         raise RuntimeError(f"no fixed point within {max_rounds} rounds")
     return edges.select(F.col("hi").alias("node"), F.col("lo").alias("root")).union(edges.select(F.col("lo"), F.col("lo"))).distinct()

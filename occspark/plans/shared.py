@@ -34,6 +34,14 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def discard(df: DataFrame) -> None:
+    """Deletes the folders of a ``cut`` table that nothing will read again, not only when the driver's JVM ends."""
+    spark = df.sparkSession
+    for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder that goes when the driver's JVM ends."""
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
@@ -81,10 +89,17 @@ def spread(df: DataFrame) -> DataFrame:
     What Spark plans to read decides. Tables with partitions enough, and those of over ``SPREAD_BYTES``, are not shuffled.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return df.repartition(cores) if size <= SPREAD_BYTES and df.rdd.getNumPartitions() < cores else df
 
 
+def fresh(name: str, *tables: DataFrame) -> str:
+    """A column name that none of the tables has."""
+    while any(name in t.columns for t in tables):
+        name = f"_{name}"
+    return name
+
+
 def salted(key: Column, salts: int = SALT) -> Column:
     """A bucket from 0 to ``salts - 1`` that depends on ``key`` only, so retries agree."""
     return F.pmod(F.xxhash64(key), F.lit(salts)).cast("int")
@@ -98,11 +113,12 @@ def lookup_join(left: DataFrame, right: DataFrame, key: str, spread: Column, lim
     that holds a third of ``left`` goes to ``SALT`` tasks instead of one. Columns of ``right``
     replace those of ``left`` with their names.
     """
-    r = right.withColumnRenamed(key, "__key")
+    own, salt, other = (fresh(n, left, right) for n in ("__key", "__salt", "__rsalt"))
+    r = right.withColumnRenamed(key, own)
     left = left.drop(*(c for c in r.columns if c in left.columns))
     if is_small(r, limit):
-        return left.join(F.broadcast(r), left[key].eqNullSafe(r["__key"]), "left").drop("__key")
-    lhs = left.withColumn("__salt", salted(spread))
-    rhs = r.withColumn("__rsalt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
-    on = lhs[key].eqNullSafe(rhs["__key"]) & (lhs["__salt"] == rhs["__rsalt"])
-    return lhs.join(rhs.hint("merge"), on, "left").drop("__key", "__salt", "__rsalt")
+        return left.join(F.broadcast(r), left[key].eqNullSafe(r[own]), "left").drop(own)
+    lhs = left.withColumn(salt, salted(spread))
+    rhs = r.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    on = lhs[key].eqNullSafe(rhs[own]) & (lhs[salt] == rhs[other])
+    return lhs.join(rhs.hint("merge"), on, "left").drop(own, salt, other)
