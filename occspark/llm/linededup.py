@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.shared import cut, lookup_join
+from ..plans.shared import cut, fresh, lookup_join
 from .text import BLANKS, line_key
 
 RATIO = 0.1
@@ -48,17 +48,18 @@ def drop_boilerplate_lines(docs: DataFrame, host: str = "source", ratio: float =
     counts replace columns of their names.
     """
     found = cut(boilerplate_lines(docs, host, ratio, min_pages))
-    out = lookup_join(docs, found, host, F.xxhash64("text"))
-    keys = F.coalesce("__keys", F.array().cast("array<struct<a:bigint,b:bigint>>"))
+    lines, kept_, all_keys = (fresh(n, docs) for n in ("__l", "__kept", "__keys"))
+    out = lookup_join(docs, found.withColumnRenamed("__keys", all_keys), host, F.xxhash64("text"))
+    keys = F.coalesce(all_keys, F.array().cast("array<struct<a:bigint,b:bigint>>"))
     drop = lambda x: F.array_contains(keys, line_key(_trimmed(x)))
-    some = F.size("__keys") > 0
-    kept = F.when(some, F.filter("__l", lambda x: ~drop(x))).otherwise(F.col("__l"))
-    full = F.size(F.filter("__l", lambda x: _trimmed(x) != ""))
-    out = out.withColumn("__l", _lines(F.col("text"))).withColumn("__kept", kept)
+    some = F.size(all_keys) > 0
+    kept = F.when(some, F.filter(lines, lambda x: ~drop(x))).otherwise(F.col(lines))
+    full = F.size(F.filter(lines, lambda x: _trimmed(x) != ""))
+    out = out.withColumn(lines, _lines(F.col("text"))).withColumn(kept_, kept)
     return out.withColumns(
         {
             "n_lines": full.cast("long"),
-            "n_dropped_lines": (F.size("__l") - F.size("__kept")).cast("long"),
-            "text": F.when(F.col("text").isNotNull(), F.array_join("__kept", "\n")),
+            "n_dropped_lines": (F.size(lines) - F.size(kept_)).cast("long"),
+            "text": F.when(F.col("text").isNotNull(), F.array_join(kept_, "\n")),
         }
-    ).drop("__l", "__kept", "__keys")
+    ).drop(lines, kept_, all_keys)

@@ -19,8 +19,7 @@ END_ID = 0
 
 
 def _pieces(size: int, json_path: str | None, ranks_path: str | None):
-    fields = [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("part", pa.int32()), ("nth", pa.int64())]
-    schema = pa.schema(fields)
+    fields = [("doc_id", None), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("part", pa.int32()), ("nth", pa.int64())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = encoder(json_path, ranks_path)
@@ -37,7 +36,8 @@ def _pieces(size: int, json_path: str | None, ranks_path: str | None):
                     for column, x in zip(rows, (doc.as_py(), k, a, n, zlib.crc32(ids[a:b].tobytes()), part, so_far[n]), strict=True):
                         column.append(x)
                     so_far[n] += 1
-            yield pa.RecordBatch.from_arrays([pa.array(c, f[1]) for c, f in zip(rows, fields, strict=True)], schema=schema)
+            kinds = [batch["doc_id"].type, *(k for _, k in fields[1:])]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds, strict=True)], names=[f for f, _ in fields])
 
     return run
 
@@ -132,7 +132,7 @@ def pack_documents(docs: DataFrame, doc_id: str = "doc_id", size: int = SEQUENCE
 
     A document is its ids and an end id. Longer ones than ``size`` are cut into full pieces, what is
     over coming first. A null or empty text is the end id alone. Repeated rows and rows
-    without an id are packed like others; an empty table gives no rows.
+    without an id are packed like others, ids may be of any type; an empty table gives no rows.
 
     Tasks number the pieces of each length among their own; these numbers are written down with the
     pieces, so nothing depends on recomputing a task. Totals by (length, task) then turn
@@ -140,8 +140,9 @@ def pack_documents(docs: DataFrame, doc_id: str = "doc_id", size: int = SEQUENCE
     makes of them is as small as that, whatever the input, and is sent to all tasks, which look
     ranks up in it.
     """
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), "text")
-    made = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long"
+    rows = docs.select(F.col(doc_id).alias("doc_id"), "text")
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    made = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, part int, nth long"
     pieces = cut(rows.mapInArrow(_pieces(size, json_path, ranks_path), made))
     totals = cut(pieces.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n")))
     counts = {r["length"]: r["n"] for r in totals.groupBy("length").agg(F.sum("n").alias("n")).collect()}
@@ -149,4 +150,4 @@ def pack_documents(docs: DataFrame, doc_id: str = "doc_id", size: int = SEQUENCE
     before = totals.selectExpr("length as __length", "part as __part", "sum(n) over (partition by length order by part) - n as __before")
     ranked = pieces.join(checked(before, is_small(totals)), (F.col("length") == F.col("__length")) & (F.col("part") == F.col("__part")))
     ranked = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("__before") + F.col("nth")).alias("rank"))
-    return ranked.mapInArrow(_place(slots), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    return ranked.mapInArrow(_place(slots), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")

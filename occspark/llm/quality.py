@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.shared import cut, lookup_join
+from ..plans.shared import cut, fresh, lookup_join
 from .text import BLANKS, let, shingles, words
 
 SYMBOLS = "#*$%&|<>"
@@ -68,17 +68,18 @@ def quality_measures(docs: DataFrame, rules: QualityRules = QualityRules()) -> D
     text = F.coalesce(F.col("text"), F.lit(""))
     squeezed = F.translate(text, BLANKS, "")
     lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.translate(x, BLANKS, "")) > 0)
-    out = docs.withColumns({"__w": words(F.col("text")), "__l": lines})
+    w, found = fresh("__w", docs), fresh("__l", docs)
+    out = docs.withColumns({w: words(F.col("text")), found: lines})
     out = out.withColumns(
         {
-            "n_words": F.size("__w").cast("long"),
+            "n_words": F.size(w).cast("long"),
             "word_chars": F.length(squeezed).cast("long"),
             "n_symbols": (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long"),
-            "n_dup_lines": (F.size("__l") - F.size(F.array_distinct("__l"))).cast("long"),
-            "n_lines": F.size("__l").cast("long"),
-            "n_repeat_words": _repeated_words(F.col("__w")).cast("long"),
+            "n_dup_lines": (F.size(found) - F.size(F.array_distinct(found))).cast("long"),
+            "n_lines": F.size(found).cast("long"),
+            "n_repeat_words": _repeated_words(F.col(w)).cast("long"),
         }
-    ).drop("__w", "__l")
+    ).drop(w, found)
     n = F.col("n_words")
     flags = {
         "short": n < rules.min_words,

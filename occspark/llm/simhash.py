@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.components import connected_components
-from ..plans.shared import checked, cut
+from ..plans.shared import checked, cut, fresh
 from .text import let, shingles, words
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -56,8 +56,8 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
     Hashing stays in the JVM; only ids and arrays of hashes go to Python, as Arrow buffers.
     """
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), shingle_hashes(F.col(text)).alias("hashes"))
-    return rows.mapInArrow(_fingerprint, "doc_id long, fingerprint long")
+    rows = docs.select(F.col(doc_id).alias("doc_id"), shingle_hashes(F.col(text)).alias("hashes"))
+    return rows.mapInArrow(_fingerprint, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fingerprint long")
 
 
 def _variants(points: DataFrame) -> DataFrame:
@@ -186,7 +186,7 @@ def simhash_components(docs: DataFrame, doc_id: str = "doc_id", group: int = GRO
     """(doc_id, fingerprint, component_id) of every row of ``docs`` (columns ``doc_id``, ``text``).
 
     Fingerprints link at three or fewer differing bits; ``component_id`` is the least id that
-    links lead to. Null and blank texts have fingerprint zero and link like any other. Copies
+    links lead to; ids may be of any type that has an order. Null and blank texts have fingerprint zero and link like any other. Copies
     meet as one fingerprint before anything is emitted, so a group of them costs one row. A
     row without an id takes its group's least id, or null if none has one. Repeated rows come
     back as often; an empty table gives an empty result.
@@ -204,5 +204,6 @@ def simhash_components(docs: DataFrame, doc_id: str = "doc_id", group: int = GRO
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", group: int = GROUP) -> DataFrame:
     """``docs`` without the documents whose component has a smaller id; rows without an id stay."""
     found = simhash_components(docs, doc_id, group)
-    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(checked(cut(gone)), docs[doc_id] == F.col("__gone"), "left_anti")
+    own = fresh("__gone", docs)
+    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias(own)).distinct()
+    return docs.join(checked(cut(gone)), docs[doc_id] == F.col(own), "left_anti")

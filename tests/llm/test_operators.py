@@ -567,6 +567,73 @@ def test_long_runs_of_marks(machine):
         assert machine.encode(text).tolist() == lib.encode(text)
 
 
+def _all_paths(machine, text):
+    """The tropical shortest distance over the whole lattice of (place, last piece), and how many paths have finite weight."""
+    states = [{} for _ in range(len(text) + 1)]
+    states[0][""] = (0.0, 1)
+    for i in range(len(text)):
+        for piece in machine.leaving(text, i):
+            into = [x for before, x in states[i].items() if not before or machine.agrees(before, piece)]
+            if into:
+                states[i + len(piece)][piece] = (min(w for w, _ in into) + machine.weight(piece), sum(n for _, n in into))
+    return min(w for w, _ in states[-1].values()), sum(n for _, n in states[-1].values())
+
+
+def test_one_path_alone_has_finite_weight_and_it_is_found(machine, spark, sf_dir):
+    words = {w for r in spark.read.parquet(f"{sf_dir}/documents.parquet").limit(40).collect() for w in machine.words(r["text"].replace(" ", machine.blank))}
+    rng = random.Random(3)
+    words |= {"".join(rng.choice("aeinrst▁éß漢") for _ in range(rng.randint(1, 9))) for _ in range(2000)}
+    for w in words:
+        weight, n = _all_paths(machine, w)
+        found, path = machine.shortest_path(w)
+        assert n == 1 and np.isclose(found, weight) and "".join(path) == w
+
+
+def test_models_of_other_kinds_are_refused(tmp_path):
+    with open(bpe.default_path(transducer.MODEL), "rb") as f:
+        data = f.read()
+    kept, at = {n: v for n, v in transducer._fields(data) if n in (transducer._TRAINER, transducer._NORMALISER)}, str(tmp_path / "m.model")
+    varint = lambda n: bytes([n & 127 | 128, n >> 7]) if n > 127 else bytes([n])
+    message = lambda number, body: varint(number << 3 | 2) + varint(len(body)) + body
+    pieces = b"".join(message(1, v) for n, v in transducer._fields(data) if n == 1)
+    trainer, rules = ({k: v for k, v in transducer._fields(kept[n]) if isinstance(v, int)} for n in (transducer._TRAINER, transducer._NORMALISER))
+    body = lambda x: b"".join(varint(k << 3) + varint(v) for k, v in x.items() if 0 <= v < 1 << 14)
+
+    def compiled(trainer, rules):
+        with open(at, "wb") as f:
+            f.write(pieces + message(2, body(trainer)) + message(3, body(rules)))
+        return transducer.PieceTransducer(at)
+
+    assert compiled(trainer, rules).encode("a word").tolist() == transducer.transducer().encode("a word").tolist()
+    for bad in ({transducer._MODEL_TYPE: 1}, {transducer._BYTE_FALLBACK: 0}):
+        with pytest.raises(ValueError):
+            compiled(trainer | bad, rules)
+    with pytest.raises(ValueError):
+        compiled(trainer, rules | {transducer._ONE_BLANK: 1})
+    bare = compiled(trainer, rules | {transducer._MARK_FIRST: 0})
+    assert bare.decode(bare.encode("two words")) == "two words" and bare.encode("two").tolist() != transducer.transducer().encode("two").tolist()
+
+
+def test_memory_of_stretches_is_bounded_by_their_characters():
+    small, rng = transducer.PieceTransducer(bpe.default_path(transducer.MODEL), 5_000), random.Random(1)
+    for _ in range(300):
+        text = " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 200))) for _ in range(5))
+        assert small.encode(text).tolist() == transducer.transducer().encode(text).tolist()
+    assert max(sum(map(len, x)) for x in (small.stretches.young, small.stretches.old)) <= 5_000
+    assert max(sum(len(a) + len(b) for a, b in x) for x in (small.agree.young, small.agree.old)) <= 5_000
+
+
+def test_ids_of_any_type_and_columns_named_like_ours(spark, odd_docs):
+    named = odd_docs.withColumn("doc_id", F.concat(F.lit("d"), "doc_id")).withColumns({c: F.lit(f"own {c}") for c in ("__key", "__w", "__l", "__kept", "__keys", "__salt", "__gone", "_id")})
+    ours = [c for c in named.columns if c.startswith("_")]
+    for out in (quality.apply_quality_rules(named), linededup.drop_boilerplate_lines(named), simhash.drop_near_duplicates(named), licenses.scan_licenses(named)):
+        assert all(r[c] == f"own {c}" for r in out.select(*ours).limit(5).collect() for c in ours)
+    n = named.count()
+    assert packing.pack_documents(named).select("doc_id").distinct().count() == named.select("doc_id").distinct().count()
+    prints = {r["doc_id"]: r["component_id"] for r in simhash.simhash_components(named).collect()}
+    assert prints["d4"] == "d3" and transducer.piece_digest(named).count() == n and lmscore.score_documents(named).count() == n
+
+
 def test_pieces_of_tables(spark, odd_docs, no_docs, machine):
     ids = transducer.encode_pieces(odd_docs.select("doc_id", "text", "piece_ids"))
     back = {r["doc_id"]: r for r in transducer.decode_pieces(ids).collect()}
