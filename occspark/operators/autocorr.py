@@ -1,18 +1,20 @@
-"""Global and local Moran's I over grid cells."""
+"""Global and local Moran's I over grid cells, with inference by permutations.
 
-from __future__ import annotations
+Permutations are orders of the cells by a hash of (seed, number of the permutation, cell), so they are the same for
+any partitioning and in any engine. Everything is joins and sums over cells and links; nothing of the grid comes to the driver.
+"""
 
-from collections.abc import Iterator
+from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.quantiles import with_places
+from ..plans.shared import checked, cut, is_small
 from ..schemas import LISA_LABELS
 
-#: Cells up to which permutations can be drawn: each task then holds the grid's values and links.
-MAX_CELLS = 20_000_000
+#: Decimals to which drawn and observed statistics are compared, so that sums in another order are still ties.
+DECIMALS = 9
 
 
 def with_variables(cells: DataFrame) -> DataFrame:
@@ -61,58 +63,50 @@ def cluster_counts(labelled: DataFrame, column: str = "cluster") -> DataFrame:
     return labels.join(found, column, "left").select(column, F.coalesce("n", F.lit(0).cast("long")).alias("n"))
 
 
-def _graph(cells: DataFrame, links: DataFrame, variable: str):
-    """Values and links of a grid of checked size as arrays, in the order of cell ids."""
-    n = cells.count()
-    if n > MAX_CELLS:
-        raise ValueError(f"{n} cells; permutations take up to {MAX_CELLS}")
-    nodes = cells.select("cell_id", F.col(variable).cast("double").alias("y")).orderBy("cell_id").toArrow()
-    ids = nodes["cell_id"].to_pandas()
-    place = pd.Series(np.arange(len(ids)), index=ids)
-    pairs = links.select("cell_id", "nbr_id").orderBy("cell_id", "nbr_id").toArrow()
-    src, dst = (place.reindex(pairs[c].to_pandas()).to_numpy(dtype=np.int64) for c in ("cell_id", "nbr_id"))
-    starts = np.searchsorted(src, np.arange(len(ids) + 1))
-    y = nodes["y"].to_numpy()
-    return ids.to_numpy(), y - y.mean() if len(y) else y, starts, dst
+def _order(seed: int, cell: str = "cell_id") -> Column:
+    """The place of a cell in permutation ``k``, as text to sort by."""
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("k").cast("string"), F.col(cell)))
 
 
-def _global_i(z: np.ndarray, starts: np.ndarray, dst: np.ndarray) -> float:
-    degree = np.diff(starts)
-    sums = np.add.reduceat(np.r_[z[dst], 0.0], starts[:-1]) * (degree > 0) if len(z) else z
-    some = degree > 0
-    den = float((z * z).sum())
-    if not some.any() or den <= 0:
-        return float("nan")
-    return float(len(z) / some.sum() * (z[some] * sums[some] / degree[some]).sum() / den)
+def _permutations(cells: DataFrame, permutations: int) -> DataFrame:
+    return cells.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(permutations))))
 
 
-def morans_permutation(cells: DataFrame, links: DataFrame, variable: str, permutations: int = 999, seed: int = 42) -> DataFrame:
-    """(I, expected_I, p_sim, z_sim, interpretation) from random permutations of the values.
+def permuted_i(cells: DataFrame, links: DataFrame, variable: str, permutations: int = 999, seed: int = 42) -> DataFrame:
+    """(k, I) of ``permutations`` random relabellings: in each the n-th cell in hash order takes the value of the n-th by id."""
+    z = spatial_lag(cells, links, variable).select("cell_id", "z")
+    base = cut(with_places(z, "cell_id", "place"))
+    sums = base.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("z") * F.col("z")).alias("den"))
+    by = Window.partitionBy("k").orderBy("h", "cell_id")
+    drawn = _permutations(base.select("cell_id"), permutations).withColumn("h", _order(seed)).withColumn("place", F.row_number().over(by) - 1)
+    small = is_small(base)
+    drawn = cut(drawn.join(checked(base.select("place", "z"), small), "place").select("k", "cell_id", "z"))
+    side = checked(links.select("cell_id", "nbr_id", "w"), is_small(links))
+    pairs = drawn.join(side, "cell_id").select("k", "nbr_id", (F.col("w") * F.col("z")).alias("wz"))
+    pairs = pairs.join(drawn.select("k", F.col("cell_id").alias("nbr_id"), F.col("z").alias("nz")), ["k", "nbr_id"])
+    total = pairs.groupBy("k").agg(F.sum(F.col("wz") * F.col("nz")).alias("num"))
+    s0 = links.agg(F.count_distinct("cell_id").alias("s0"))
+    value = F.when((F.col("den") > 0) & (F.col("s0") > 0), F.col("n") / F.when(F.col("s0") > 0, F.col("s0")) * F.col("num") / F.when(F.col("den") > 0, F.col("den")))
+    return total.join(F.broadcast(sums)).join(F.broadcast(s0)).select("k", value.alias("I"))
 
-    Permutation k draws from (seed, k), so results do not depend on how they are spread over tasks.
-    """
-    spark = cells.sparkSession
-    _, z, starts, dst = _graph(cells, links, variable)
-    shared = spark.sparkContext.broadcast((z, starts, dst))
-    observed = _global_i(z, starts, dst)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        z, starts, dst = shared.value
-        for batch in batches:
-            drawn = [_global_i(np.random.default_rng([seed, int(k)]).permutation(z), starts, dst) for k in batch["id"]]
-            yield pd.DataFrame({"i": drawn})
-
-    simulated = spark.range(permutations).mapInPandas(run, "i double").agg(
-        F.count(F.when(F.col("i") >= F.lit(observed), 1)).alias("larger"), F.avg("i").alias("mean"), F.stddev_pop("i").alias("std")
+
+def morans_permutation(cells: DataFrame, links: DataFrame, variable: str, permutations: int = 999, seed: int = 42) -> DataFrame:
+    """(I, expected_I, p_sim, z_sim, interpretation) from random permutations of the values; nulls where I is undefined."""
+    observed = morans_i(cells, links, variable).select("I", "expected_I")
+    drawn = permuted_i(cells, links, variable, permutations, seed)
+    own = cut(observed)
+    rounded = lambda x: F.round(x, DECIMALS)
+    simulated = drawn.withColumnRenamed("I", "i_k").join(F.broadcast(own.select("I"))).agg(
+        F.count(F.when(rounded(F.col("i_k")) >= rounded(F.col("I")), 1)).alias("larger"), F.avg("i_k").alias("mean"), F.stddev_pop("i_k").alias("std")
     )
     extreme = F.least(F.col("larger"), F.lit(permutations) - F.col("larger"))
-    p = (extreme + 1) / F.lit(permutations + 1.0)
-    return simulated.select(
-        F.lit(observed).alias("I"),
-        F.lit(-1.0 / (len(z) - 1) if len(z) > 1 else None).cast("double").alias("expected_I"),
+    p = F.when(F.col("I").isNotNull(), (extreme + 1) / F.lit(permutations + 1.0))
+    return own.join(F.broadcast(simulated)).select(
+        "I",
+        "expected_I",
         p.alias("p_sim"),
-        F.when(F.col("std") > 0, (F.lit(observed) - F.col("mean")) / F.when(F.col("std") > 0, F.col("std"))).alias("z_sim"),
-        interpretation(F.lit(observed), p, variable).alias("interpretation"),
+        F.when(F.col("std") > 0, (F.col("I") - F.col("mean")) / F.when(F.col("std") > 0, F.col("std"))).alias("z_sim"),
+        interpretation(F.col("I"), p, variable).alias("interpretation"),
     )
 
 
@@ -124,36 +118,25 @@ def interpretation(i: Column, p: Column, label: str, alpha: float = 0.05) -> Col
 def lisa(cells: DataFrame, links: DataFrame, variable: str, permutations: int = 999, seed: int = 42, alpha: float = 0.05) -> DataFrame:
     """``local_morans_i`` with ``p_sim`` of conditional permutations and ``cluster``.
 
-    A cell keeps its value while its neighbours' are drawn from the others without repeats; cell i
-    draws from (seed, i) with i its place in the order of ids. Cells without neighbours have p 1.
+    A cell keeps its value while its neighbours' are drawn from the others without repeats: in permutation k they are the first cells
+    in hash order but itself. All cells share the draws, so only as many cells of each permutation are gathered as
+    a cell has neighbours, and one more, whatever the size of the grid. Cells without neighbours, and grids with too few cells to draw from, have p 1.
     """
-    spark = cells.sparkSession
-    ids, z, starts, dst = _graph(cells, links, variable)
-    shared = spark.sparkContext.broadcast((ids, z, starts, dst))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, z, starts, dst = shared.value
-        n = len(z)
-        for batch in batches:
-            out = []
-            for i in batch["id"].to_numpy():
-                k = starts[i + 1] - starts[i]
-                if not k or n <= k + 1:
-                    out.append(1.0)
-                    continue
-                rng = np.random.default_rng([seed, int(i)])
-                drawn = rng.integers(0, n - 1, size=(permutations, k))
-                while True:  # redraw rows with repeats
-                    again = (np.diff(np.sort(drawn, axis=1), axis=1) == 0).any(axis=1)
-                    if not again.any():
-                        break
-                    drawn[again] = rng.integers(0, n - 1, size=(int(again.sum()), k))
-                drawn += drawn >= i
-                lags, observed = z[drawn].mean(axis=1) * z[i], z[dst[starts[i] : starts[i + 1]]].mean() * z[i]
-                larger = int((lags >= observed).sum())
-                out.append((min(larger, permutations - larger) + 1) / (permutations + 1))
-            yield pd.DataFrame({"cell_id": ids[batch["id"].to_numpy()], "p_sim": out})
-
-    p = spark.range(len(ids)).mapInPandas(run, "cell_id string, p_sim double")
-    out = local_morans_i(cells, links, variable).join(p, "cell_id")
+    local = cut(local_morans_i(cells, links, variable))
+    degrees = links.groupBy("cell_id").agg(F.count(F.lit(1)).cast("int").alias("degree"))
+    most = F.lit((degrees.agg(F.max("degree")).first()[0] or 0) + 1)
+    by = Window.partitionBy("k").orderBy("h", "cell_id")
+    first = _permutations(local.select("cell_id", "z"), permutations).withColumn("h", _order(seed)).withColumn("nth", F.row_number().over(by)).filter(F.col("nth") <= most)
+    draw = first.groupBy("k").agg(F.array_sort(F.collect_list(F.struct("nth", "cell_id", "z"))).alias("draw"))
+    draws = cut(draw.agg(F.collect_list("draw").alias("draws"), F.max(F.size("draw")).alias("drawable")))
+    rows = local.join(degrees, "cell_id", "left").join(F.broadcast(draws))
+    rounded = lambda x: F.round(x, DECIMALS)
+
+    def mean(draw: Column) -> Column:
+        others = F.slice(F.filter(draw, lambda c: c["cell_id"] != F.col("cell_id")), F.lit(1), F.col("degree"))
+        return F.aggregate(others, F.lit(0.0), lambda a, c: a + c["z"]) / F.col("degree")
+
+    larger = F.size(F.filter("draws", lambda d: rounded(mean(d) * F.col("z")) >= rounded(F.col("lag") * F.col("z"))))
+    p = F.when(F.col("degree").isNull() | (F.col("drawable") <= F.col("degree")), F.lit(1.0)).otherwise((F.least(larger, F.lit(permutations) - larger) + 1) / F.lit(permutations + 1.0))
+    out = rows.withColumn("p_sim", p).drop("draws", "degree", "drawable")
     return out.withColumn("cluster", cluster_label(F.col("q"), F.col("p_sim"), alpha))

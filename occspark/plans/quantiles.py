@@ -10,6 +10,15 @@ from pyspark.sql import functions as F
 from .shared import cut
 
 
+def with_places(df: DataFrame, column: str, name: str) -> DataFrame:
+    """``df`` with the place of each row in the order of ``column`` (distinct values), from 0 on; no task orders all rows."""
+    ranges = cut(df.repartitionByRange(column).withColumn("__part", F.spark_partition_id()))
+    sums = ranges.groupBy("__part").agg(F.count(F.lit(1)).alias("__held"))
+    sums = cut(sums.select("__part", (F.sum("__held").over(Window.orderBy("__part")) - F.col("__held")).alias("__start")))
+    nth = F.row_number().over(Window.partitionBy("__part").orderBy(column)) - 1
+    return ranges.withColumn("__nth", nth).join(F.broadcast(sums), "__part").withColumn(name, F.col("__start") + F.col("__nth")).drop("__part", "__start", "__nth")
+
+
 def exact_quantiles(counted: DataFrame, key: str, value: str, n: str, qs: Sequence[float]) -> DataFrame:
     """(``key``, quantiles): per key an array of the quantiles ``qs``, interpolated between the two values around them.
 

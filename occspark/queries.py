@@ -750,14 +750,58 @@ def local_morans_i(spark, sf_dir):
     return _rounded(autocorr.local_morans_i(*_moran(spark, sf_dir), "log_n").select("cell_id", "local_i", "q"), 7, "local_i")
 
 
-@query()
+def _lisa_sql(variable: str) -> str:
+    return f"""WITH {_lag_sql(variable)}, deg AS (SELECT cell_id, count(*) AS d FROM links GROUP BY cell_id), ranked AS (
+  SELECT k, cell_id, z, row_number() OVER (PARTITION BY k ORDER BY md5('42:' || k || ':' || cell_id), cell_id) AS nth FROM z CROSS JOIN (SELECT unnest(range(1, 1000)) AS k)
+), few AS (SELECT * FROM ranked WHERE nth <= (SELECT max(d) + 1 FROM deg)), taken AS (
+  SELECT o.cell_id, o.z, o.lag, d, f.k, f.z AS fz, row_number() OVER (PARTITION BY o.cell_id, f.k ORDER BY f.nth) AS m FROM lz AS o JOIN deg USING (cell_id) JOIN few AS f ON f.cell_id <> o.cell_id
+), sim AS (SELECT cell_id, k, any_value(z) AS z, any_value(lag) AS lag, sum(fz) / any_value(d) AS drawn FROM taken WHERE m <= d GROUP BY cell_id, k),
+larger AS (SELECT cell_id, count(CASE WHEN round(drawn * z, 9) >= round(lag * z, 9) THEN 1 END) AS n FROM sim GROUP BY cell_id),
+tested AS (SELECT lz.cell_id, CASE WHEN n IS NULL THEN 1e0 ELSE (least(n, 999 - n) + 1) / 1000e0 END AS p_sim, CASE WHEN z > 0 AND coalesce(lag, 0) > 0 THEN 'HH' WHEN z <= 0 AND coalesce(lag, 0) > 0 THEN 'LH' WHEN z <= 0 THEN 'LL' ELSE 'HL' END AS q FROM lz LEFT JOIN larger ON lz.cell_id = larger.cell_id),
+labelled AS (SELECT cell_id, p_sim, CASE WHEN p_sim >= 0.05 THEN 'Not significant' ELSE q END AS cluster FROM tested)"""
+
+
+_COUNTS = "SELECT t.cluster, count(l.cell_id) AS n FROM (VALUES ('HH'), ('LH'), ('LL'), ('HL'), ('Not significant')) AS t(cluster) LEFT JOIN labelled AS l ON l.cluster = t.cluster GROUP BY t.cluster"
+
+
+@query(f"{_lisa_sql('log_n')} {_COUNTS}")
 def lisa_clusters(spark, sf_dir):
     return autocorr.cluster_counts(autocorr.lisa(*_moran(spark, sf_dir), "log_n"))
 
 
-@query()
+@query(f"{_lisa_sql('presence')} {_COUNTS}")
+def lisa_clusters_presence(spark, sf_dir):
+    return autocorr.cluster_counts(autocorr.lisa(*_moran(spark, sf_dir), "presence"))
+
+
+@query(f"{_lisa_sql('log_n')} SELECT cell_id, p_sim, cluster FROM labelled")
+def lisa_cells(spark, sf_dir):
+    return autocorr.lisa(*_moran(spark, sf_dir), "log_n").select("cell_id", "p_sim", "cluster")
+
+
+def _permutation_sql(variable: str) -> str:
+    return f"""WITH {_lag_sql(variable)}, base AS (SELECT z, row_number() OVER (ORDER BY cell_id) AS place FROM z), ranked AS (
+  SELECT k, cell_id, row_number() OVER (PARTITION BY k ORDER BY md5('42:' || k || ':' || cell_id), cell_id) AS place FROM z CROSS JOIN (SELECT unnest(range(1, 1000)) AS k)
+), drawn AS (SELECT k, cell_id, z FROM ranked JOIN base USING (place)), c AS (SELECT count(*) AS n, sum(z * z) AS den, (SELECT count(DISTINCT cell_id) FROM links) AS s0 FROM z),
+sim AS (SELECT a.k, sum(w * a.z * b.z) * any_value(n) / any_value(s0) / any_value(den) AS i FROM links AS l JOIN drawn AS a ON a.cell_id = l.cell_id JOIN drawn AS b ON b.cell_id = l.nbr_id AND b.k = a.k CROSS JOIN c GROUP BY a.k),
+o AS (SELECT count(*) / (count(lag) * 1e0) * sum(z * lag) / sum(z * z) AS i, -1e0 / (count(*) - 1) AS e FROM lz),
+r AS (SELECT o.i, o.e, count(CASE WHEN round(sim.i, 9) >= round(o.i, 9) THEN 1 END) AS larger, avg(sim.i) AS mean, stddev_pop(sim.i) AS std FROM sim CROSS JOIN o GROUP BY o.i, o.e), t AS (SELECT *, (least(larger, 999 - larger) + 1) / 1000e0 AS p_sim FROM r)
+SELECT round(i, 9) AS "I", round(e, 9) AS "expected_I", p_sim, round((i - mean) / std, 6) AS z_sim,
+  '{variable}: ' || CASE WHEN p_sim < 0.05 AND i > 0 THEN 'Positive spatial autocorrelation (clustering)' WHEN p_sim < 0.05 AND i < 0 THEN 'Negative spatial autocorrelation (dispersion)' ELSE 'No significant spatial autocorrelation' END AS interpretation FROM t"""
+
+
+def _permutation(spark, sf_dir, variable: str) -> DataFrame:
+    return _rounded(_rounded(autocorr.morans_permutation(*_moran(spark, sf_dir), variable), 9, "I", "expected_I"), 6, "z_sim")
+
+
+@query(_permutation_sql("presence"))
 def morans_permutation(spark, sf_dir):
-    return autocorr.morans_permutation(*_moran(spark, sf_dir), "presence")
+    return _permutation(spark, sf_dir, "presence")
+
+
+@query(_permutation_sql("log_n"))
+def morans_permutation_log(spark, sf_dir):
+    return _permutation(spark, sf_dir, "log_n")
 
 
 # Validation -------------------------------------------------------------------------------------------

@@ -107,3 +107,34 @@ def test_readiness(spark):
     assert rows["final_status"]["value"] == "PASS WITH WARNINGS"
     missing = {r["metric"]: r for r in readiness.readiness_report(raw(spark, {}).drop("gbifID"), "T").collect()}
     assert missing["final_status"]["value"] == "FAIL" and missing["missing_required_columns"]["value"] == "gbifID"
+
+
+def test_fractions_of_ids_raise(spark):
+    from pyspark.sql import functions as F
+
+    from occspark.functions.common import whole
+
+    df = spark.createDataFrame([(1.0,), (None,), (-3.0,)], "x double")
+    assert [r["x"] for r in df.select(whole(F.col("x"), "x").alias("x")).collect()] == [1, None, -3]
+    with pytest.raises(Exception, match="fraction 1.5"):
+        df.unionByName(spark.createDataFrame([(1.5,)], "x double")).select(whole(F.col("x"), "x").alias("x")).collect()
+
+
+def test_exact_quantiles_of_many_ranges(spark):
+    import random
+
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from occspark.plans.quantiles import column_quantiles, with_places
+
+    rng = random.Random(5)
+    rows = [(float(rng.randint(0, 40)), None if i % 7 == 0 else rng.random(), None) for i in range(3000)]
+    df = spark.createDataFrame(rows, "a double, b double, c double").repartition(6)
+    qs = [0.0, 0.1, 0.25, 0.5, 0.95, 1.0]
+    got = {r["column"]: r["quantiles"] for r in column_quantiles(df, ["a", "b", "c"], qs).collect()}
+    assert set(got) == {"a", "b"}
+    for k, c in ((0, "a"), (1, "b")):
+        assert np.allclose(got[c], np.quantile([r[k] for r in rows if r[k] is not None], qs), atol=1e-12)
+    placed = with_places(spark.range(500).select((F.col("id") * 37 % 500).alias("x")), "x", "at").collect()
+    assert all(r["x"] == r["at"] for r in placed) and len(placed) == 500

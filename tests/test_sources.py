@@ -152,6 +152,25 @@ def test_stream_counts_equal_batch_counts(spark, tmp_path):
     assert sorted(map(tuple, stored_counters(spark, store).collect())) == sorted(map(tuple, want.collect()))
 
 
+def test_daily_counts_close_when_late_rows_can_no_longer_come(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from occspark.streaming.counters import daily_counts
+
+    inbox, store = tmp_path / "in", str(tmp_path / "out")
+    rows = [("2024-01-01 05:00:00", "a"), ("2024-01-01 23:59:59", "a"), ("2024-01-01 00:00:00", "b"), ("2024-01-02 00:00:00", "a"), ("2024-01-09 00:00:00", "z")]
+    df = spark.createDataFrame(rows, "t string, kind string").select(F.to_timestamp("t").alias("t"), "kind")
+    df.write.parquet(str(inbox))
+    stream = spark.readStream.schema("t timestamp, kind string").parquet(str(inbox))
+    out = daily_counts(stream, "t", "kind").writeStream.format("parquet").option("path", store).option("checkpointLocation", str(tmp_path / "check")).outputMode("append").trigger(availableNow=True).start()
+    assert out.awaitTermination(120)
+    spark.createDataFrame([("2024-01-01 12:00:00", "a"), ("2024-01-12 00:00:00", "z")], "t string, kind string").select(F.to_timestamp("t").alias("t"), "kind").write.mode("append").parquet(str(inbox))
+    again = daily_counts(stream, "t", "kind").writeStream.format("parquet").option("path", store).option("checkpointLocation", str(tmp_path / "check")).outputMode("append").trigger(availableNow=True).start()
+    assert again.awaitTermination(120)
+    got = sorted((str(r["day"]["start"])[:10], r["kind"], r["n"]) for r in spark.read.parquet(store).collect())
+    assert got == [("2024-01-01", "a", 2), ("2024-01-01", "b", 1), ("2024-01-02", "a", 1), ("2024-01-09", "z", 1)]  # the late row is left out
+
+
 def test_guards(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         files.require_file(str(tmp_path / "none"))
