@@ -132,8 +132,11 @@ RULES += tuple((n, (f"spdx {n}",)) for n in dict(RULES))
 
 
 def cues(sentences: Iterable[str]) -> tuple[str, ...]:
-    """A few words such that each sentence has one: time and again the word in most of the rest, of several the longest."""
-    left, out = [set(s.split()) for s in sentences], []
+    """A few long words such that each sentence has one: time and again the word in most of the rest, of several the longest.
+
+    Words of seven letters, which few other texts have, come first; a sentence without any gives its longest ones.
+    """
+    left, out = [{w for w in s.split() if len(w) >= min(7, max(map(len, s.split())))} for s in sentences], []
     while left:
         n = Counter(w for s in left for w in s)
         out.append(max(n, key=lambda w: (n[w], len(w), w)))
