@@ -171,24 +171,26 @@ FROM o
 
 
 OP10_SQL = rf"""
-WITH l AS (
-  SELECT doc_id, source, i, line, trim(regexp_replace(line, '{_BLANK}', ' ', 'g')) AS key
-  FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i FROM documents)
+WITH d AS (
+  SELECT *, row_number() OVER () AS page FROM documents
+), l AS (
+  SELECT page, source, i, line, trim(regexp_replace(line, '{_BLANK}', ' ', 'g')) AS key
+  FROM (SELECT page, source, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i FROM d)
 ), n AS (
   SELECT source, count(*) AS pages FROM documents GROUP BY source
 ), b AS (
   SELECT l.source, key FROM l JOIN n ON l.source IS NOT DISTINCT FROM n.source WHERE key <> ''
-  GROUP BY l.source, key, pages HAVING count(DISTINCT doc_id) >= {MIN_PAGES} AND count(DISTINCT doc_id) > {RATIO}::DOUBLE * pages
+  GROUP BY l.source, key, pages HAVING count(DISTINCT page) >= {MIN_PAGES} AND count(DISTINCT page) > {RATIO}::DOUBLE * pages
 ), k AS (
   SELECT l.*, b.key IS NOT NULL AS gone FROM l LEFT JOIN b ON l.source IS NOT DISTINCT FROM b.source AND l.key = b.key
 ), o AS (
-  SELECT doc_id, count(*) FILTER (WHERE key <> '') AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped_lines,
+  SELECT page, count(*) FILTER (WHERE key <> '') AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped_lines,
     coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '') AS kept
-  FROM k GROUP BY doc_id
+  FROM k GROUP BY page
 )
 SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped_lines, 0) AS n_dropped_lines,
   CASE WHEN d.text IS NOT NULL THEN length(kept) END AS n_chars_kept, CASE WHEN d.text IS NOT NULL THEN md5(kept) END AS text_md5
-FROM documents d LEFT JOIN o USING (doc_id)
+FROM d LEFT JOIN o USING (page)
 """
 
 ORACLE_SQL = {"op1_quality_rules": OP1_SQL, "op2_license_scan": _op2_sql(), "op10_line_dedup": OP10_SQL}

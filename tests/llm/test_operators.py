@@ -679,6 +679,36 @@ def test_neighbours_edges(spark):
     assert ann.nearest_neighbours(spark.createDataFrame([], schema), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_neighbours_of_rows_that_repeat_and_of_a_crowd(spark):
+    """One row a thousand times, one vector under a thousand ids, and clusters: shards are split and queries stream past in blocks."""
+    rng = np.random.default_rng(2)
+    centres = rng.normal(0, 4, (6, 8))
+    rows = [(i, (centres[i % 6] + rng.normal(0, 0.3, 8)).tolist()) for i in range(900)]
+    rows += [(2000 + i, centres[0].tolist()) for i in range(1000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").unionByName(spark.createDataFrame(rows[40:41] * 1000, "vec_id long, embedding array<double>"))
+    p = ann.AnnParameters(shard_rows=50, query_rows=7, recall=0.99)
+    got = {}
+    for r in ann.nearest_neighbours(df, F.col("vec_id") % 20 == 0, p=p).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    want = _nearest(rows)
+    assert got.keys() == want.keys() and all(len(set(v)) == 20 for v in got.values())
+    hits = sum(len(set(got[q]) & {i for i, _ in v}) for q, v in want.items())
+    assert hits / sum(map(len, want.values())) >= 0.95
+
+
+def test_little_is_read_where_vectors_cluster(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(0, 4, (40, 16))[np.arange(4000) % 40] + rng.normal(0, 0.2, (4000, 16))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, v array<double>")
+    p = ann.AnnParameters()
+    model = ann.fit(x, len(x), p)
+    index = spark.createDataFrame([(i, v.tolist(), int(c)) for i, (v, c) in enumerate(zip(x, model.cells(x.astype(np.float32)), strict=True))], "rep_id long, v array<double>, cell long")
+    held = np.bincount(model.cells(x.astype(np.float32)), minlength=len(model.centroids))
+    queries = df.filter("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id")
+    needed = ann.shares_needed(index, queries, queries.count(), model, held, p)
+    assert len(needed) == 20 * 200 and np.quantile(needed, p.recall) < 0.15
+
+
 @pytest.mark.parametrize("p", [ann.AnnParameters(), ann.AnnParameters(least_rows=100, shard_rows=150, query_rows=10)])
 def test_recall(spark, p):
     e = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
