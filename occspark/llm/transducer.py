@@ -37,7 +37,7 @@ from .bpe import default_path
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 #: Characters of stretches remembered in each of two generations, and of pairs of pieces; they only save time.
-REMEMBERED = 8_000_000
+REMEMBERED = 18_000_000
 
 # Kinds of pieces and of models, and the numbers of fields, in the model file.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
