@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import cut, discard
+from .shared import checked, cut, discard
 
 
 def _oriented(pairs: DataFrame) -> DataFrame:
@@ -14,16 +14,21 @@ def _oriented(pairs: DataFrame) -> DataFrame:
     return pairs.filter(F.col("hi") != F.col("lo")).select(hi, lo).distinct()
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The edges after a step, and the table of least neighbours that they are made with.
+
+    That table is written down: the join then shuffles both sides for itself, or broadcasts a small one, so Spark splits a node
+    that holds a large share of all links; next to the sums that made the table it could not.
+    """
     both = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(edges.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), F.least("u", "m").alias("m"))
-    return _oriented(both.filter("v > u").join(least, F.col("u") == F.col("w")).select(F.col("v").alias("hi"), F.col("m").alias("lo")))
+    least = cut(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), F.least("u", "m").alias("m")))
+    return _oriented(both.filter("v > u").join(checked(least), F.col("u") == F.col("w")).select(F.col("v").alias("hi"), F.col("m").alias("lo"))), least
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("hi").agg(F.min("lo").alias("m"))
-    moved = edges.join(least.withColumnRenamed("hi", "w"), F.col("hi") == F.col("w")).select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
-    return _oriented(moved.union(least.select("hi", F.col("m").alias("lo"))))
+def _small_star(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    least = cut(edges.groupBy("hi").agg(F.min("lo").alias("m")))
+    moved = edges.join(checked(least.withColumnRenamed("hi", "w")), F.col("hi") == F.col("w")).select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
+    return _oriented(moved.union(least.select("hi", F.col("m").alias("lo")))), least
 
 
 def connected_components(pairs: DataFrame, a: str, b: str, max_rounds: int = 100) -> DataFrame:
@@ -41,9 +46,13 @@ def connected_components(pairs: DataFrame, a: str, b: str, max_rounds: int = 100
         sign = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first())
         if sign == before or not sign[0]:
             break
-        last, edges = edges, cut(_small_star(_large_star(edges)))
-        before = sign
-        discard(last)
+        before, last = sign, edges
+        wide, large = _large_star(edges)
+        wide = cut(wide)
+        narrow, small = _small_star(wide)
+        edges = cut(narrow)
+        for table in (last, wide, large, small):
+            discard(table)
     else:
         raise RuntimeError(f"no fixed point within {max_rounds} rounds")
     return edges.select(F.col("hi").alias("node"), F.col("lo").alias("root")).union(edges.select(F.col("lo"), F.col("lo"))).distinct()

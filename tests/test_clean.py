@@ -138,3 +138,18 @@ def test_exact_quantiles_of_many_ranges(spark):
         assert np.allclose(got[c], np.quantile([r[k] for r in rows if r[k] is not None], qs), atol=1e-12)
     placed = with_places(spark.range(500).select((F.col("id") * 37 % 500).alias("x")), "x", "at").collect()
     assert all(r["x"] == r["at"] for r in placed) and len(placed) == 500
+
+
+@pytest.mark.parametrize("limit", [100_000, 0])
+def test_components_with_a_hub(spark, monkeypatch, limit):
+    """A node with most of all links; joins broadcast, or merge so that Spark can split the hub."""
+    from occspark.plans import components
+
+    checked = components.checked
+    monkeypatch.setattr(components, "checked", lambda df: checked(df, small=limit > 0))
+    pairs = [(5000, i) for i in range(1, 3000)] + [(7000 + i, 7001 + i) for i in range(30)]
+    got = {r["node"]: r["root"] for r in components.connected_components(spark.createDataFrame(pairs, "a long, b long"), "a", "b").collect()}
+    assert got == {**{i: 1 for i in range(1, 3000)}, 5000: 1, **{7000 + i: 7000 for i in range(31)}}
+    edges = spark.range(1000).select((F.col("id") + 1).alias("hi"), F.lit(0).cast("long").alias("lo"))
+    plan = components._large_star(edges)[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert ("strategy=broadcast" in plan) == (limit > 0) and ("strategy=merge" in plan) == (limit == 0)
