@@ -31,30 +31,36 @@ def sample_values(df: DataFrame, n: int = 3) -> DataFrame:
 def schema_profile(df: DataFrame) -> DataFrame:
     """One row per column: counts, distinct values, numbers of measured columns, date quality and flags.
 
-    Values are counted by (column, value), summed up in each task before the one shuffle; all
-    figures of a column then come from its counted values, the median by their frequencies.
+    Each column's values are counted by themselves, from a scan of that column alone and summed up in each task before its
+    shuffle, which carries nothing else; all figures of the column then come from its counted values, the median by their frequencies.
     """
     kinds = dict(df.dtypes)
-    number = lambda c: F.col(c).cast("double") if c in MEASURED and kinds[c] != "string" else F.lit(None).cast("double")
-    cells = F.array(*(F.struct(F.lit(i).alias("ord"), F.col(c).cast("string").alias("value"), number(c).alias("x")) for i, c in enumerate(df.columns)))
-    counted = df.select(F.explode(cells).alias("c")).groupBy("c.ord", "c.value", "c.x").agg(F.count(F.lit(1)).alias("n"))
-    counted = cut(counted)
-    middle = exact_quantiles(counted, "ord", "x", "n", [0.5]).select("ord", F.bround(F.get("quantiles", F.lit(0)), 4).alias("numeric_median"))
-    there = F.col("value").isNotNull()
-    good = F.array(*(F.lit(i) for i, c in enumerate(df.columns) if c in DATE_LIKE)).cast("array<int>")
-    is_date = F.array_contains(good, F.col("ord")) & is_date_like(F.col("value"))
-    figures = counted.groupBy("ord").agg(
-        F.sum("n").alias("rows"),
-        F.coalesce(F.sum(F.when(there, F.col("n"))), F.lit(0)).alias("non_null"),
-        F.count("value").alias("unique_values"),
-        F.min("x").alias("numeric_min"),
-        F.max("x").alias("numeric_max"),
-        F.bround(F.sum(F.col("x") * F.col("n")) / F.sum(F.when(F.col("x").isNotNull(), F.col("n"))), 4).alias("numeric_mean"),
-        F.coalesce(F.sum(F.when(is_date, F.col("n"))), F.lit(0)).alias("valid"),
-    )
+    counted = [df.groupBy(F.col(c).alias("v")).agg(F.count(F.lit(1)).alias("n")) for c in df.columns]
+    measured = [i for i, c in enumerate(df.columns) if c in MEASURED and kinds[c] != "string"]
+    none = F.lit(None).cast("double")
+    rows = [F.sum("n").alias("rows"), F.coalesce(F.sum(F.when(F.col("v").isNotNull(), F.col("n"))), F.lit(0)).alias("non_null"), F.count("v").alias("unique_values")]
+    figures = []
+    for i, c in enumerate(df.columns):
+        if i not in measured:
+            good = is_date_like(F.col("v")) if c in DATE_LIKE else F.lit(False)
+            one = counted[i].agg(*rows, F.coalesce(F.sum(F.when(good, F.col("n"))), F.lit(0)).alias("valid"))
+            figures.append(one.select(F.lit(i).alias("ord"), "rows", "non_null", "unique_values", "valid", *(none.alias(f"numeric_{k}") for k in ("min", "max", "mean", "median"))))
+    if measured:
+        numbers = [counted[i].select(F.lit(i).alias("ord"), F.col("v").cast("double").alias("v"), "n") for i in measured]
+        table = numbers[0]
+        for other in numbers[1:]:
+            table = table.unionByName(other)
+        table = cut(table)
+        middle = exact_quantiles(table, "ord", "v", "n", [0.5]).select("ord", F.bround(F.get("quantiles", F.lit(0)), 4).alias("numeric_median"))
+        mean = F.bround(F.sum(F.col("v") * F.col("n")) / F.sum(F.when(F.col("v").isNotNull(), F.col("n"))), 4)
+        own = table.groupBy("ord").agg(*rows, F.lit(0).cast("long").alias("valid"), F.min("v").alias("numeric_min"), F.max("v").alias("numeric_max"), mean.alias("numeric_mean"))
+        figures.append(own.join(F.broadcast(middle), "ord", "left"))
+    found = figures[0]
+    for other in figures[1:]:
+        found = found.unionByName(other)
     about = [(i, c, COLUMN_ROLES.get(c, "unspecified"), kinds[c], _logical(c, kinds[c]), c in DATE_LIKE) for i, c in enumerate(df.columns)]
     columns = df.sparkSession.createDataFrame(about, "ord int, column string, role string, dtype string, logical_type string, dates boolean")
-    out = columns.join(figures, "ord", "left").join(F.broadcast(middle), "ord", "left").fillna(0, ["rows", "non_null", "unique_values", "valid"])
+    out = columns.join(F.broadcast(found), "ord", "left").fillna(0, ["rows", "non_null", "unique_values", "valid"])
     missing_pct = percent(F.col("missing"), F.col("rows"), 4)
     out = out.withColumn("missing", F.col("rows") - F.col("non_null")).withColumn("missing_pct", missing_pct)
     out = out.withColumns(
