@@ -17,8 +17,8 @@ SYMBOLS = "#*$%&|<>"
 class QualityRules:
     """Limits of the rules.
 
-    A host is rejected when a rule's shrunk failure rate exceeds ``host_rate``, or when it is above ``host_factor`` times
-    the prior's mean by ``host_deviations`` of the posterior's standard deviations.
+    A host is rejected when a rule's shrunk failure rate exceeds ``host_rate``, or when, less ``host_deviations`` of the
+    posterior's standard deviations, it is above ``host_factor`` times the prior's mean and above that mean by ``host_margin``.
     """
 
     min_words: int = 50
@@ -29,6 +29,7 @@ class QualityRules:
     max_mean_chars: int = 10
     host_rate: float = 0.5
     host_factor: float = 2.0
+    host_margin: float = 0.05
     host_deviations: float = 2.0
     #: Strength of the prior, in documents, where the hosts' rates do not differ at all.
     flat_strength: float = 20.0
@@ -115,7 +116,7 @@ def host_verdicts(measured: DataFrame, host: str, rules: QualityRules = QualityR
         rates[f"rate_{r}"] = (F.col(f"n_{r}") + F.lit(mean * strength)) / (F.col("host_docs") + F.lit(strength))
         rate = F.col(f"rate_{r}")
         deviation = F.sqrt(rate * (F.lit(1.0) - rate) / (F.col("host_docs") + F.lit(strength) + F.lit(1.0)))
-        over = over | (rate > F.lit(rules.host_rate)) | (rate - F.lit(rules.host_deviations) * deviation > F.lit(rules.host_factor * mean))
+        over = over | (rate > F.lit(rules.host_rate)) | (rate - F.lit(rules.host_deviations) * deviation > F.lit(max(rules.host_factor * mean, mean + rules.host_margin)))
         excess.append(rate - F.lit(mean))
     return counts.withColumns(rates).select(host, "host_docs", *rates, over.alias("host_rejected"), F.greatest(*excess).alias("host_excess"))
 

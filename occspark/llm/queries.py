@@ -137,7 +137,7 @@ WITH d AS (
 ), s AS (
   SELECT rule, mean, CASE WHEN var > 1e-12 AND mean * (1 - mean) / var > 1 THEN mean * (1 - mean) / var - 1 ELSE 20.0 END AS strength FROM p
 ), h AS (
-  SELECT source, bool_or(rate > 0.5 OR rate - 2e0 * sqrt(rate * (1e0 - rate) / (n + strength + 1e0)) > 2e0 * mean) AS host_rejected, round(max(rate - mean), 9) AS host_excess
+  SELECT source, bool_or(rate > 0.5 OR rate - 2e0 * sqrt(rate * (1e0 - rate) / (n + strength + 1e0)) > greatest(2e0 * mean, mean + 0.05e0)) AS host_rejected, round(max(rate - mean), 9) AS host_excess
   FROM (SELECT *, (k + mean * strength) / (n + strength) AS rate FROM c JOIN s USING (rule)) GROUP BY source
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, f1 OR f2 AS base_failed,

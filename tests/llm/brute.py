@@ -39,7 +39,7 @@ def quality(rows):
         strength = strength if strength > 0 else 20.0
         for h, x in hosts.items():
             rate = (sum(f[r] for f in x) + mean * strength) / (len(x) + strength)
-            if rate > 0.5 or rate - 2 * (rate * (1 - rate) / (len(x) + strength + 1)) ** 0.5 > 2 * mean:
+            if rate > 0.5 or rate - 2 * (rate * (1 - rate) / (len(x) + strength + 1)) ** 0.5 > max(2 * mean, mean + 0.05):
                 rejected.add(h)
     return [(m, f[0] or f[1], not (f[0] or f[1]) and not (s in rejected and any(f))) for m, f, s in out]
 
