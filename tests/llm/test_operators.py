@@ -523,6 +523,14 @@ def test_scores_are_of_tokens_and_counts_of_runs_grow(spark):
     assert got[1003]["n_tokens"] == got[1004]["n_tokens"] == 0 and got[1003]["pseudo_log_likelihood"] == 0.0
 
 
+def test_scores_of_tables_without_tokens(spark):
+    df = spark.createDataFrame([(1, None), (1, None), (2, ""), (3, "\n\t")], "doc_id long, text string")
+    got = sorted((r["doc_id"], r["n_tokens"], r["pseudo_log_likelihood"], r["mean_log_probability"]) for r in lmscore.score_documents(df).collect())
+    assert got == [(1, 0, 0.0, None), (1, 0, 0.0, None), (2, 0, 0.0, None), (3, 0, 0.0, None)]
+    one = lmscore.score_documents(spark.createDataFrame([(1, "x")], "doc_id long, text string")).first()
+    assert one["n_tokens"] == 1 and one["pseudo_log_likelihood"] < 0
+
+
 def test_a_text_that_stands_twice_scores_apart(spark):
     rng = random.Random(8)
     said = [f"{a}{b}{c}" for a in "bdfgk" for b in "aeiou" for c in ("lm", "rn", "st", "nt")]
