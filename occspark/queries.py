@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,8 +13,9 @@ from .functions.common import percent, warning_flags
 from .functions.geo import A, BETA0, COS_B0, D, E2, FE, FN, LON0, QP, RQ, SIN_B0, intersects, laea, mercator, within
 from .operators import autocorr, clean, hexgrid, metrics, profile, readiness, sites, spatial, summaries, surface, uncertainty, validate
 from .operators.predicates import FilterSpec, basis_filter, bbox_filter, predicate, uncertainty_filter, year_filter
-from .plans.shared import cut
+from .plans.shared import cut, scratch
 from .schemas import CERTAINLY_INSIDE, CERTAINLY_OUTSIDE, INSIDE_UNCERTAIN, OUTSIDE_LABEL, OUTSIDE_UNCERTAIN, RAW_COLUMNS, UNCLASSIFIED, WITHIN_LABEL
+from .sources import files, geopackage
 from .sources.download import request_predicate
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -980,3 +982,63 @@ def geometry_types(spark, sf_dir):
 )
 def site_health_of_bad_shapes(spark, sf_dir):
     return sites.site_health(_all_shapes(spark, sf_dir))
+
+
+# Sources and sinks: tables are written by a sink and read back by a source --------------------------------
+
+
+def _place(spark: SparkSession, name: str) -> str:
+    """A path for one file in the shared folder, which must be one of the driver's own file system."""
+    folder = scratch(spark, "files").removeprefix("file://")
+    os.makedirs(folder)
+    return f"{folder}/{name}"
+
+
+@query(f"WITH s AS ({X.SPECIES}), k AS (SELECT coalesce({_num('acceptedUsageKey')}, {_num('usageKey')}) AS v FROM s) SELECT DISTINCT CAST(v AS BIGINT) AS taxonKey FROM k WHERE v IS NOT NULL")
+def source_species_list(spark, sf_dir):
+    names = [c.split()[0].strip("`") for c in files.SPECIES_LIST.split(", ")]
+    species = X.species(spark, sf_dir)
+    whole = species.select(*(F.col(c) if c in species.columns else F.lit('a "b", c').alias(c) for c in names))
+    path = scratch(spark, "species")
+    whole.write.option("header", True).option("escape", '"').csv(path)
+    return clean.taxon_keys(files.read_species_list(spark, path))
+
+
+@query(f"WITH {RAW_SQL} SELECT {', '.join(RAW_COLUMNS)} FROM raw")
+def source_archive(spark, sf_dir):
+    path = _place(spark, "archive.zip")
+    files.export_zip_csv(X.raw(spark, sf_dir), path, "occurrence.txt", "\t")
+    return files.read_archive(spark, path)
+
+
+@query(f"WITH {CLEAN_SQL} SELECT * FROM clean")
+def source_zip_table(spark, sf_dir):
+    path = _place(spark, "clean.zip")
+    files.export_zip_csv(_clean(spark, sf_dir), path)
+    return clean.canonical(clean.coerce_numbers(files.read_zip(spark, path)))
+
+
+@query(f"WITH {PARTS_SQL}, {PART_AREA_SQL} SELECT a.index_right, SITECODE, MS, 'MULTIPOLYGON' AS geometry_type, 4326 AS srid, 4 AS n_rings, round(area_km2, 3) AS area_km2 FROM part_area AS a JOIN site AS s ON a.index_right = s.index_right")
+def source_named_layer(spark, sf_dir):
+    path = _place(spark, "sites.gpkg")
+    geopackage.write_layer(X.odd_occurrences(spark, sf_dir).limit(5), path, "points", geometry=("decimalLongitude", "decimalLatitude"))
+    geopackage.write_layer(X.part_sites(spark, sf_dir).select("SITECODE", "SITENAME", "MS", "SITETYPE", F.col("index_right").alias("site"), "rings", "ring_parts").orderBy("index_right"), path, "sites")
+    layer = geopackage.read_layer(spark, path, "sites")
+    areas = sites.site_areas(sites.prepare_sites(layer)).select("index_right", "area_km2")
+    out = layer.join(areas, "index_right").select(F.col("site").alias("index_right"), "SITECODE", "MS", "geometry_type", "srid", F.size("rings").alias("n_rings"), "area_km2")
+    return _rounded(out, 3, "area_km2")
+
+
+@query(f"WITH occ AS ({X.OCC}), o AS (SELECT *, row_number() OVER (ORDER BY gbifID) - 1 AS nth FROM occ) SELECT nth AS index_right, gbifID, scientificName, year, 'POINT' AS geometry_type, decimalLongitude AS x, decimalLatitude AS y FROM o")
+def source_default_layer(spark, sf_dir):
+    path = _place(spark, "points.gpkg")
+    geopackage.write_layer(X.occurrences(spark, sf_dir).orderBy("gbifID"), path, "occurrences", geometry=("decimalLongitude", "decimalLatitude"))
+    place = F.get(F.get("rings", F.lit(0)), F.lit(0))
+    return geopackage.read_layer(spark, path).select("index_right", "gbifID", "scientificName", "year", "geometry_type", place["x"].alias("x"), place["y"].alias("y"))
+
+
+@query(_summary_sql("countryCode"))
+def sink_csv_table(spark, sf_dir):
+    path = scratch(spark, "table")
+    files.write_csv(country_summary(spark, sf_dir), path)
+    return spark.read.csv(path, header=True, schema="countryCode string, occurrences long")

@@ -150,12 +150,12 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
-def export_zip_csv(df: DataFrame, path: str, member: str = "occurrences.csv") -> int:
-    """A table as a CSV inside a ZIP on the driver; rows come partition by partition. Returns their number."""
+def export_zip_csv(df: DataFrame, path: str, member: str = "occurrences.csv", sep: str = ",") -> int:
+    """A table as a delimited file inside a ZIP on the driver; rows come partition by partition. Returns their number."""
     n = 0
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z, z.open(member, "w", force_zip64=True) as raw:
         out = io.TextIOWrapper(raw, "utf-8", newline="")
-        writer = csv.writer(out, lineterminator="\n")
+        writer = csv.writer(out, delimiter=sep, lineterminator="\n")
         writer.writerow(df.columns)
         for row in df.toLocalIterator(prefetchPartitions=True):
             writer.writerow(["" if v is None else v for v in row])
