@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 
 from . import fixtures as X
 from .functions.common import percent, warning_flags
-from .functions.geo import A, BETA0, COS_B0, D, E2, FE, FN, LON0, QP, RQ, SIN_B0, intersects, laea, mercator, within
-from .operators import autocorr, clean, hexgrid, metrics, profile, readiness, sites, spatial, summaries, surface, uncertainty, validate
+from .functions.geo import A, BETA0, COS_B0, D, E2, FE, FN, LON0, QP, RQ, SIN_B0, intersects, laea, mercator, to_degrees, within
+from .operators import autocorr, clean, hexgrid, metrics, profile, readiness, report, sites, spatial, summaries, surface, uncertainty, validate
 from .operators.predicates import FilterSpec, basis_filter, bbox_filter, predicate, uncertainty_filter, year_filter
 from .plans.shared import cut, scratch
 from .schemas import CERTAINLY_INSIDE, CERTAINLY_OUTSIDE, INSIDE_UNCERTAIN, OUTSIDE_LABEL, OUTSIDE_UNCERTAIN, RAW_COLUMNS, UNCLASSIFIED, WITHIN_LABEL
 from .sources import files, geopackage
 from .sources.download import request_predicate
+from .streaming.counters import stored_counters, stream_counters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -1042,3 +1043,101 @@ def sink_csv_table(spark, sf_dir):
     path = scratch(spark, "table")
     files.write_csv(country_summary(spark, sf_dir), path)
     return spark.read.csv(path, header=True, schema="countryCode string, occurrences long")
+
+
+@query(f"WITH {CLEAN_SQL} " + " UNION ALL ".join(f"SELECT '{c}' AS counter, CAST({c} AS STRING) AS value, count(*) AS n FROM clean WHERE {c} IS NOT NULL GROUP BY {c}" for c in summaries.COUNTERS))
+def streamed_counts(spark, sf_dir):
+    """The counters of the filter report, from a stream over files of raw records."""
+    inbox, store = scratch(spark, "inbox"), scratch(spark, "store")
+    X.raw(spark, sf_dir).write.option("sep", "\t").option("header", True).option("quote", "").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("emptyValue", "").csv(inbox)
+    stream_counters(spark, inbox, store, scratch(spark, "progress")).awaitTermination()
+    return stored_counters(spark, store)
+
+
+@query(f"WITH occ AS ({X.OCC}) SELECT gbifID, 3035 AS srid, round(decimalLongitude, 6) AS lon, round(decimalLatitude, 6) AS lat FROM occ UNION ALL SELECT gbifID, 3857, round(decimalLongitude, 6), round(decimalLatitude, 6) FROM occ")
+def degrees_of_projected_places(spark, sf_dir):
+    """Places projected and brought back to degrees, as layers in other reference systems are."""
+    occ, out = X.occurrences(spark, sf_dir), None
+    for srid, there in ((3035, laea), (3857, mercator)):
+        m = occ.select("gbifID", F.lit(srid).alias("srid"), there(F.col(_LON), F.col(_LAT)).alias("m"))
+        d = m.select("gbifID", "srid", to_degrees(F.col("m.x"), F.col("m.y"), srid).alias("d"))
+        rows = d.select("gbifID", "srid", F.round("d.x", 6).alias("lon"), F.round("d.y", 6).alias("lat"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+# Reports as lines of text; blank lines and underlines, which repeat, are counted ---------------------------
+
+
+def _lines(spark, text: str) -> DataFrame:
+    rows = spark.createDataFrame([(x,) for x in text.rstrip("\n").split("\n")], "line string")
+    return rows.groupBy("line").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _lines_sql(source: str, title: str, parts: list[str]) -> str:
+    """``parts`` give (heading, line); a heading is underlined and has a blank line before it."""
+    every = " UNION ALL ".join(parts)
+    return f"""{source}, said AS ({every}), heads AS (SELECT DISTINCT heading FROM said WHERE heading <> ''), all_lines AS (
+  SELECT line FROM said WHERE line IS NOT NULL UNION ALL SELECT heading FROM heads UNION ALL SELECT repeat('-', length(heading)) FROM heads UNION ALL SELECT '' FROM heads UNION ALL SELECT '{title}' UNION ALL SELECT repeat('=', length('{title}'))
+) SELECT line, count(*) AS n FROM all_lines GROUP BY line"""
+
+
+def _filter_text_sql() -> str:
+    share = "printf('%.2f', 100e0 * count(*) / (SELECT count(*) FROM clean))"
+    by = lambda heading, key, tail="": f"SELECT '{heading}' AS heading, CAST({key} AS STRING) || ': ' || count(*) || ' (' || {share} || '%)' AS line FROM clean WHERE {key} IS NOT NULL GROUP BY {key}{tail}"
+    one = lambda text: f"SELECT 'Totals' AS heading, {text} AS line FROM clean"
+    parts = ["SELECT 'Settings' AS heading, 'max_uncertainty: 1000' AS line", "SELECT 'Totals' AS heading, 'Raw records: ' || count(*) AS line FROM raw"]
+    parts += [one(f"'Filtered records: ' || count(*) || ' (' || printf('%.2f', {_pct('count(*)', '(SELECT count(*) FROM raw)')}) || '%)'"), one("'Distinct names: ' || count(DISTINCT scientificName)"), one("'Distinct taxon keys: ' || count(DISTINCT taxonKey)"), one("'Years: ' || min(year) || '-' || max(year)")]
+    parts += [one("'Latitude: ' || printf('%.4f', min(decimalLatitude)) || ' to ' || printf('%.4f', max(decimalLatitude))"), one("'Longitude: ' || printf('%.4f', min(decimalLongitude)) || ' to ' || printf('%.4f', max(decimalLongitude))"), one("'Countries: ' || count(DISTINCT countryCode)")]
+    parts += [by("Basis of record", "basisOfRecord"), f"SELECT * FROM ({by('Top 10 names', 'scientificName', ' ORDER BY count(*) DESC, scientificName LIMIT 10')})", by("Records per country", "countryCode"), by("Records per year", "year"), by("All names", "scientificName")]
+    return _lines_sql(f"WITH {CLEAN_SQL}", "TEST: filtering summary", parts)
+
+
+@query(_filter_text_sql())
+def report_of_filter(spark, sf_dir):
+    raw = X.raw(spark, sf_dir)
+    return _lines(spark, report.filter_text(raw.count(), clean.filter_occurrences(raw), "TEST", {"max_uncertainty": 1000}))
+
+
+def _profile_text_sql() -> str:
+    parts = [
+        "SELECT logical_type AS heading, \"column\" || ' (' || role || ', ' || dtype || ')' AS line FROM p",
+        "SELECT logical_type, '  non-null ' || non_null || ', missing ' || missing || ' (' || printf('%.2f', missing_pct) || '%), distinct ' || unique_values || ', flags ' || warning_flags FROM p",
+        "SELECT logical_type, '  min ' || CAST(CAST(numeric_min AS DOUBLE) AS STRING) || ', max ' || CAST(CAST(numeric_max AS DOUBLE) AS STRING) || ', mean ' || CAST(CAST(numeric_mean AS DOUBLE) AS STRING) || ', median ' || CAST(CAST(numeric_median AS DOUBLE) AS STRING) FROM p WHERE numeric_min IS NOT NULL",
+        "SELECT logical_type, '  dates ' || date_like_valid_values || ' (' || printf('%.2f', date_like_valid_pct) || '%)' FROM p WHERE date_like_valid_values IS NOT NULL",
+    ]
+    return _lines_sql(_profile_sql().rpartition(" SELECT")[0], "TEST: schema summary", parts)
+
+
+@query(_profile_text_sql())
+def report_of_profile(spark, sf_dir):
+    return _lines(spark, report.profile_text(schema_profile(spark, sf_dir), "TEST"))
+
+
+def _readiness_text_sql() -> str:
+    title = "array_to_string(list_transform(string_split(section, '_'), lambda w: upper(w[1]) || lower(w[2:])), ' ')"
+    parts = [
+        f"SELECT {title} AS heading, replace(metric, '_', ' ') || ': ' || value || CASE WHEN status IN ('WARNING', 'FAIL') THEN ' [' || status || ']' ELSE '' END AS line FROM whole",
+        f"SELECT {title}, '  ' || notes FROM whole WHERE notes <> ''",
+        "SELECT 'Reading the report', 'PASS: no issue. WARNING: review before use. FAIL: joins to sites would be wrong or impossible.'",
+    ]
+    source, _, tail = _full_readiness_sql().rpartition("\nSELECT ord")
+    return _lines_sql(f"{source}, whole AS (SELECT ord{tail})", "TEST: spatial readiness", parts)
+
+
+@query(_readiness_text_sql())
+def report_of_readiness(spark, sf_dir):
+    return _lines(spark, report.readiness_text(_report(spark, sf_dir), "TEST"))
+
+
+@query(_lines_sql(f"WITH {CELLS_SQL}, cov AS (SELECT count(CASE WHEN n_occurrences > 0 THEN 1 END) AS a, count(CASE WHEN n_occurrences = 0 THEN 1 END) AS b FROM cells)", "TEST: surface", ["SELECT 'Coverage' AS heading, 'cells_with_data: ' || a AS line FROM cov", "SELECT 'Coverage', 'cells_without_data: ' || b FROM cov", "SELECT 'Cells', 'cell_id=' || cell_id || ', n_occurrences=' || n_occurrences FROM cells"]))
+def report_of_tables(spark, sf_dir):
+    cells = cut(_cells(spark, sf_dir))
+    coverage = surface.coverage_counts(cells).select("cells_with_data", "cells_without_data")
+    return _lines(spark, report.table_text("TEST: surface", ("Coverage", coverage), ("Cells", cells.select("cell_id", "n_occurrences"))))
+
+
+@query(f"WITH site AS ({X.SITE}) SELECT SITECODE, SITENAME, MS, SITETYPE FROM site WHERE SITENAME IS NOT NULL ORDER BY index_right LIMIT 10")
+def site_preview(spark, sf_dir):
+    """The first sites of a layer, as they stand in it."""
+    return X.sites(spark, sf_dir).filter("SITENAME is not null").orderBy("index_right").limit(10).select("SITECODE", "SITENAME", "MS", "SITETYPE")
