@@ -70,56 +70,50 @@ def _outer_rings(sites: DataFrame):
     return F.size(F.filter("rings", lambda r, i: around(r, i) % 2 == 0))
 
 
-def _crosses(x1, y1, x2, y2, u1, v1, u2, v2) -> np.ndarray:
-    """Segments that have a point in common."""
-    a = (x2 - x1) * (v1 - y1) - (y2 - y1) * (u1 - x1)
-    b = (x2 - x1) * (v2 - y1) - (y2 - y1) * (u2 - x1)
-    c = (u2 - u1) * (y1 - v1) - (v2 - v1) * (x1 - u1)
-    d = (u2 - u1) * (y2 - v1) - (v2 - v1) * (x2 - u1)
-    on = lambda t, x, y, p1, q1, p2, q2: (t == 0) & (np.minimum(p1, p2) <= x) & (x <= np.maximum(p1, p2)) & (np.minimum(q1, q2) <= y) & (y <= np.maximum(q1, q2))
-    proper = ((a > 0) != (b > 0)) & ((c > 0) != (d > 0)) & (a != 0) & (b != 0) & (c != 0) & (d != 0)
-    return proper | on(a, u1, v1, x1, y1, x2, y2) | on(b, u2, v2, x1, y1, x2, y2) | on(c, x1, y1, u1, v1, u2, v2) | on(d, x2, y2, u1, v1, u2, v2)
+def _turn(e: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """On which side of edges (x1, y1, x2, y2) places are: positive left, zero in line."""
+    return (e[:, 2] - e[:, 0]) * (y - e[:, 1]) - (e[:, 3] - e[:, 1]) * (x - e[:, 0])
+
+
+def _close_pairs(e: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of edges whose boxes meet, some at a time: in the order of their least x, those that begin before the first one ends."""
+    low, high = np.minimum(e[:, :2], e[:, 2:]), np.maximum(e[:, :2], e[:, 2:])
+    order = np.argsort(low[:, 0], kind="stable")
+    n = np.searchsorted(low[order, 0], high[order, 0], side="right") - np.arange(1, len(order) + 1)
+    cuts = np.unique(np.searchsorted(np.cumsum(n), np.arange(0, n.sum() + 1, most)))
+    for at, to in zip(cuts, np.r_[cuts[1:], len(order)], strict=True):
+        i = np.repeat(np.arange(at, to), n[at:to])
+        j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(n[at:to]) - n[at:to], n[at:to])
+        i, j = order[i], order[j]
+        near = (low[i, 1] <= high[j, 1]) & (low[j, 1] <= high[i, 1])
+        yield i[near], j[near]
 
 
 def _rings_are_valid(rings: list[np.ndarray]) -> bool:
     """Closed rings of four points at least that neither cross or touch themselves nor cross or overlap one another.
 
-    Edges meet only those that begin, by x, before they end; neighbours in a ring may share their common point alone, and
-    edges of different rings a point that is a corner of one of them.
+    Neighbours in a ring may share their common corner alone; edges of different rings may touch at a corner. Repeated
+    points are no edges.
     """
+    rings = [r[np.r_[True, (r[1:] != r[:-1]).any(axis=1)]] if len(r) else r for r in rings]
     if any(len(r) < 4 or (r[0] != r[-1]).any() for r in rings):
         return False
     e = np.concatenate([np.hstack([r[:-1], r[1:]]) for r in rings])
-    ring = np.repeat(np.arange(len(rings)), [len(r) - 1 for r in rings])
-    nth, size = np.concatenate([np.arange(len(r) - 1) for r in rings]), np.array([len(r) - 1 for r in rings])[ring]
-    if (e[:, :2] == e[:, 2:]).all(axis=1).any():
-        keep = ~(e[:, :2] == e[:, 2:]).all(axis=1)  # repeated points are no edges
-        return _rings_are_valid([np.vstack([r[:1], r[1:][(r[1:] != r[:-1]).any(axis=1)]]) for r in rings]) if keep.any() else False
-    low, high = np.minimum(e[:, 0], e[:, 2]), np.maximum(e[:, 0], e[:, 2])
-    order = np.argsort(low, kind="stable")
-    ends = np.searchsorted(low[order], high[order], side="right")
-    for at in range(0, len(order), 2048):
-        n = ends[at : at + 2048] - np.arange(at + 1, min(at + 2048, len(order)) + 1)
-        i = np.repeat(np.arange(at, at + len(n)), n)
-        j = i + 1 + np.arange(len(i)) - np.repeat(np.r_[0, np.cumsum(n)[:-1]], n)
-        i, j = order[i], order[j]
-        near = (np.minimum(e[i, 1], e[i, 3]) <= np.maximum(e[j, 1], e[j, 3])) & (np.minimum(e[j, 1], e[j, 3]) <= np.maximum(e[i, 1], e[i, 3]))
-        i, j = i[near], j[near]
-        meet = _crosses(*e[i].T, *e[j].T)
-        i, j = i[meet], j[meet]
-        gap = np.abs(nth[i] - nth[j])
-        beside = (ring[i] == ring[j]) & ((gap == 1) | (gap == size[i] - 1))
-        first = np.where((nth[j] == (nth[i] + 1) % size[i])[:, None], e[i], e[j])  # the earlier edge of two neighbours
-        second = np.where((nth[j] == (nth[i] + 1) % size[i])[:, None], e[j], e[i])
-        turn = (first[:, 2] - first[:, 0]) * (second[:, 3] - second[:, 1]) - (first[:, 3] - first[:, 1]) * (second[:, 2] - second[:, 0])
-        back = (first[:, 2] - first[:, 0]) * (second[:, 2] - second[:, 0]) + (first[:, 3] - first[:, 1]) * (second[:, 3] - second[:, 1]) < 0
-        folded = beside & (turn == 0) & back
-        other = ring[i] != ring[j]
-        cross = (e[i, 2] - e[i, 0]) * (e[j, 3] - e[j, 1]) - (e[i, 3] - e[i, 1]) * (e[j, 2] - e[j, 0])
-        side = lambda k, m, c: (e[k, 2] - e[k, 0]) * (e[m, c + 1] - e[k, 1]) - (e[k, 3] - e[k, 1]) * (e[m, c] - e[k, 0])
-        through = ((side(i, j, 0) > 0) != (side(i, j, 2) > 0)) & ((side(j, i, 0) > 0) != (side(j, i, 2) > 0)) & (side(i, j, 0) != 0) & (side(i, j, 2) != 0) & (side(j, i, 0) != 0) & (side(j, i, 2) != 0)
-        along = (cross == 0) & (np.minimum(high[i], high[j]) - np.maximum(low[i], low[j]) + np.minimum(np.maximum(e[i, 1], e[i, 3]), np.maximum(e[j, 1], e[j, 3])) - np.maximum(np.minimum(e[i, 1], e[i, 3]), np.minimum(e[j, 1], e[j, 3])) > 0)
-        if (folded | (~other & ~beside) | (other & (through | along))).any():
+    sizes = [len(r) - 1 for r in rings]
+    ring, size, nth = np.repeat(np.arange(len(rings)), sizes), np.repeat(sizes, sizes), np.concatenate([np.arange(n) for n in sizes])
+    for i, j in _close_pairs(e):
+        a, b = e[i], e[j]
+        at_a, at_b = (_turn(a, b[:, 0], b[:, 1]), _turn(a, b[:, 2], b[:, 3])), (_turn(b, a[:, 0], a[:, 1]), _turn(b, a[:, 2], a[:, 3]))
+        through = (at_a[0] * at_a[1] < 0) & (at_b[0] * at_b[1] < 0)
+        # Boxes that meet and an end in line with the other edge: the end lies on it, if it lies in its box.
+        inside = lambda x, y, f: (np.minimum(f[:, 0], f[:, 2]) <= x) & (x <= np.maximum(f[:, 0], f[:, 2])) & (np.minimum(f[:, 1], f[:, 3]) <= y) & (y <= np.maximum(f[:, 1], f[:, 3]))
+        ends = [(at_a[k] == 0) & inside(b[:, 2 * k], b[:, 2 * k + 1], a) for k in (0, 1)] + [(at_b[k] == 0) & inside(a[:, 2 * k], a[:, 2 * k + 1], b) for k in (0, 1)]
+        touch = np.logical_or.reduce(ends)
+        shared = np.minimum(np.maximum(a[:, :2], a[:, 2:]), np.maximum(b[:, :2], b[:, 2:])) - np.maximum(np.minimum(a[:, :2], a[:, 2:]), np.minimum(b[:, :2], b[:, 2:]))
+        along = touch & (at_a[0] == 0) & (at_a[1] == 0) & (shared.max(axis=1) > 0)  # in one line, with more than a point in common
+        same, gap = ring[i] == ring[j], np.abs(nth[i] - nth[j])
+        beside = same & ((gap == 1) | (gap == size[i] - 1))
+        if (through | along | (same & ~beside & touch)).any():
             return False
     return True
 

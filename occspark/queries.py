@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import fixtures as X
-from .functions.common import percent, warning_flags
-from .functions.geo import A, BETA0, COS_B0, D, E2, FE, FN, LON0, QP, RQ, SIN_B0, intersects, laea, mercator, to_degrees, within
+from .functions.common import warning_flags
+from .functions.geo import A, COS_B0, D, E2, FE, FN, LON0, QP, RQ, SIN_B0, intersects, laea, mercator, to_degrees, within
 from .operators import autocorr, clean, hexgrid, metrics, profile, readiness, report, sites, spatial, summaries, surface, uncertainty, validate
 from .operators.predicates import FilterSpec, basis_filter, bbox_filter, predicate, uncertainty_filter, year_filter
 from .plans.shared import cut, scratch
