@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +24,8 @@ from pyspark.sql import functions as F
 
 from ..plans.shared import checked, cut, lookup_join
 
+#: Depth of elements; deeper ones are children of the one at this depth, as in browsers, so that paths stay short.
+DEPTH = 512
 #: Pages that a class must be on. Hosts without a template of their own share one of all hosts.
 MIN_PAGES = 3
 
@@ -79,7 +82,19 @@ def _label(name: str, attributes: str, in_article: bool) -> tuple[str, str]:
 def _marked_texts(page: str) -> Iterator[tuple[str, str | None, str, int, int]]:
     """(path, text, why, block, article): as ``page_texts``, with why it may be no content, and the number of the article around it."""
     stack: list[tuple[str, str, str, int]] = []  # name, path, why it is not content, the article it is in
+    opened: Counter[str] = Counter()  # names on the stack, so that it is searched only for what is there
     block, at, path, off, articles, within = 0, 0, "", "", 0, 0
+
+    def innermost(names, stop=frozenset()) -> int | None:
+        if not any(opened[n] for n in names):
+            return None
+        k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] in names or stack[k][0] in stop), None)
+        return k if k is not None and stack[k][0] in names else None
+
+    def close(k: int) -> None:
+        opened.subtract(x[0] for x in stack[k:])
+        del stack[k:]
+
     for found in _TOKEN.finditer(page):
         if found.start() < at:
             continue
@@ -92,21 +107,16 @@ def _marked_texts(page: str) -> Iterator[tuple[str, str | None, str, int, int]]:
         if name not in INLINE and name not in SILENT:
             block += 1
         if found[1]:
-            k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
+            k = innermost((name,))
             if k is not None and name not in ("html", "body"):
-                del stack[k:]
+                close(k)
         else:
-            if name in CLOSES_P:
-                k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == "p" or stack[k][0] in SCOPES), None)
-                if k is not None and stack[k][0] == "p":
-                    del stack[k:]
-            elif name in SIBLINGS:
-                k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] in SIBLINGS[name] or stack[k][0] in SCOPES), None)
-                if k is not None and stack[k][0] in SIBLINGS[name]:
-                    del stack[k:]
-            elif name == "body":
-                del stack[1:]
-            _, above, why, inside = stack[-1] if stack else ("", "", "", 0)
+            ended = ("p",) if name in CLOSES_P else SIBLINGS.get(name, ())
+            k = innermost(ended, SCOPES) if ended else 1 if name == "body" else None
+            if k is not None:
+                close(k)
+            _, _, why, inside = stack[-1] if stack else ("", "", "", 0)
+            above = stack[min(len(stack), DEPTH) - 1][1] if stack else ""
             label, own = _label(name, found[3], bool(inside))
             if name == "header" and not inside:
                 own = "name"
@@ -128,6 +138,7 @@ def _marked_texts(page: str) -> Iterator[tuple[str, str | None, str, int, int]]:
                 at = end.end() if end else stop
             else:
                 stack.append((name, path, why, inside))
+                opened[name] += 1
         _, path, off, within = stack[-1] if stack else ("", "", "", 0)
     if at < len(page):
         yield path, page[at:], off, block, within

@@ -200,6 +200,14 @@ def test_words_do_not_outrank_an_article(spark):
     assert [got[i] for i in range(len(cases))] == list(cases.values())
 
 
+def test_deep_and_broken_pages(spark):
+    n = 30_000
+    pages = ["<div>" * n + "<p>deep</p>" + "</div>" * n, "<b>" * n + "<p>x</p>" * 50, "<article><p>kept" + "</section>" * n + " too</article>", "<ul>" + "<li>a<p>b" * n, "<" * n, "<div " + "class=" * n]
+    df = spark.createDataFrame([(i, "http://a.example/", h) for i, h in enumerate(pages)], "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html.extract_main_text(df).collect()}
+    assert got[0] == "deep" and got[1] == " ".join(["x"] * 50) and got[2] == "kept too" and got[3].split() == ["a", "b"] * n and got[5] == ""
+
+
 def test_deduction_against_brute_force(spark):
     rng = random.Random(12)
     rows = []
