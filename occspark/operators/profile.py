@@ -31,33 +31,37 @@ def sample_values(df: DataFrame, n: int = 3) -> DataFrame:
 def schema_profile(df: DataFrame) -> DataFrame:
     """One row per column: counts, distinct values, numbers of measured columns, date quality and flags.
 
-    Each column's values are counted by themselves, from a scan of that column alone and summed up in each task before its
-    shuffle, which carries nothing else; all figures of the column then come from its counted values, the median by their frequencies.
+    Values are counted by (column, value), summed up in each task before the one shuffle; all figures of a column then come from its
+    counted values, the median by their frequencies. Whole numbers that are not measured, ids above all, have as many
+    values as rows: each such column is counted by itself, by its own type and from a scan of it alone.
     """
     kinds = dict(df.dtypes)
-    counted = [df.groupBy(F.col(c).alias("v")).agg(F.count(F.lit(1)).alias("n")) for c in df.columns]
-    measured = [i for i, c in enumerate(df.columns) if c in MEASURED and kinds[c] != "string"]
-    none = F.lit(None).cast("double")
-    rows = [F.sum("n").alias("rows"), F.coalesce(F.sum(F.when(F.col("v").isNotNull(), F.col("n"))), F.lit(0)).alias("non_null"), F.count("v").alias("unique_values")]
-    figures = []
-    for i, c in enumerate(df.columns):
-        if i not in measured:
-            good = is_date_like(F.col("v")) if c in DATE_LIKE else F.lit(False)
-            one = counted[i].agg(*rows, F.coalesce(F.sum(F.when(good, F.col("n"))), F.lit(0)).alias("valid"))
-            figures.append(one.select(F.lit(i).alias("ord"), "rows", "non_null", "unique_values", "valid", *(none.alias(f"numeric_{k}") for k in ("min", "max", "mean", "median"))))
-    if measured:
-        numbers = [counted[i].select(F.lit(i).alias("ord"), F.col("v").cast("double").alias("v"), "n") for i in measured]
-        table = numbers[0]
-        for other in numbers[1:]:
-            table = table.unionByName(other)
-        table = cut(table)
-        middle = exact_quantiles(table, "ord", "v", "n", [0.5]).select("ord", F.bround(F.get("quantiles", F.lit(0)), 4).alias("numeric_median"))
-        mean = F.bround(F.sum(F.col("v") * F.col("n")) / F.sum(F.when(F.col("v").isNotNull(), F.col("n"))), 4)
-        own = table.groupBy("ord").agg(*rows, F.lit(0).cast("long").alias("valid"), F.min("v").alias("numeric_min"), F.max("v").alias("numeric_max"), mean.alias("numeric_mean"))
-        figures.append(own.join(F.broadcast(middle), "ord", "left"))
-    found = figures[0]
-    for other in figures[1:]:
-        found = found.unionByName(other)
+    measured = [c for c in df.columns if c in MEASURED and kinds[c] != "string"]
+    keys = [c for c in df.columns if kinds[c] == "bigint" and c not in MEASURED]
+    place = {c: F.lit(i) for i, c in enumerate(df.columns)}
+    none = F.lit(None)
+    cell = lambda c: F.struct(place[c].alias("ord"), (none if c in measured else F.col(c)).cast("string").alias("v"), (F.col(c) if c in measured else none).cast("double").alias("x"))
+    others = [c for c in df.columns if c not in keys]
+    counted = df.select(F.explode(F.array(*map(cell, others))).alias("c")).groupBy("c.ord", "c.v", "c.x").agg(F.count(F.lit(1)).alias("n"))
+    dates = F.array(*(place[c] for c in others if c in DATE_LIKE)).cast("array<int>")
+    valid = F.array_contains(dates, F.col("ord")) & F.coalesce(is_date_like(F.col("v")), F.lit(False))
+    counted = cut(counted.select("ord", (F.col("v").isNotNull() | F.col("x").isNotNull()).alias("there"), "x", valid.alias("valid"), "n"))
+    every = counted
+    for c in keys:
+        own = df.groupBy(F.col(c).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+        every = every.unionByName(own.select(place[c].alias("ord"), F.col("v").isNotNull().alias("there"), none.cast("double").alias("x"), F.lit(False).alias("valid"), "n"))
+    n = lambda of: F.coalesce(F.sum(F.when(of, F.col("n"))), F.lit(0))
+    found = every.groupBy("ord").agg(
+        F.sum("n").alias("rows"),
+        n(F.col("there")).alias("non_null"),
+        F.count(F.when(F.col("there"), 1)).alias("unique_values"),
+        n(F.col("valid")).alias("valid"),
+        F.min("x").alias("numeric_min"),
+        F.max("x").alias("numeric_max"),
+        F.bround(F.sum(F.col("x") * F.col("n")) / F.sum(F.when(F.col("x").isNotNull(), F.col("n"))), 4).alias("numeric_mean"),
+    )
+    middle = exact_quantiles(counted, "ord", "x", "n", [0.5]).select("ord", F.bround(F.get("quantiles", F.lit(0)), 4).alias("numeric_median"))
+    found = found.join(F.broadcast(middle), "ord", "left")
     about = [(i, c, COLUMN_ROLES.get(c, "unspecified"), kinds[c], _logical(c, kinds[c]), c in DATE_LIKE) for i, c in enumerate(df.columns)]
     columns = df.sparkSession.createDataFrame(about, "ord int, column string, role string, dtype string, logical_type string, dates boolean")
     out = columns.join(F.broadcast(found), "ord", "left").fillna(0, ["rows", "non_null", "unique_values", "valid"])
