@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,6 +42,7 @@ NOT_TEXT_WORDS = frozenset(
 )
 COMMENT_WORDS = frozenset("comment comments disqus replies reply".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_P = frozenset(["p"])
 #: Raw elements that say nothing and may stand within a word.
 SILENT = frozenset("script style template noscript".split())
 NOT_TEXT_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar toolbar".split())
@@ -82,18 +82,20 @@ def _label(name: str, attributes: str, in_article: bool) -> tuple[str, str]:
 def _marked_texts(page: str) -> Iterator[tuple[str, str | None, str, int, int]]:
     """(path, text, why, block, article): as ``page_texts``, with why it may be no content, and the number of the article around it."""
     stack: list[tuple[str, str, str, int]] = []  # name, path, why it is not content, the article it is in
-    opened: Counter[str] = Counter()  # names on the stack, so that it is searched only for what is there
+    opened: dict[str, int] = {}  # how often a name is on the stack, so that it is searched only for what is there
     block, at, path, off, articles, within = 0, 0, "", "", 0, 0
 
     def innermost(names, stop=frozenset()) -> int | None:
-        if not any(opened[n] for n in names):
+        if not any(map(opened.get, names)):
             return None
+        if stack[-1][0] in names:
+            return len(stack) - 1
         k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] in names or stack[k][0] in stop), None)
         return k if k is not None and stack[k][0] in names else None
 
     def close(k: int) -> None:
-        opened.subtract(x[0] for x in stack[k:])
-        del stack[k:]
+        while len(stack) > k:
+            opened[stack.pop()[0]] -= 1
 
     for found in _TOKEN.finditer(page):
         if found.start() < at:
@@ -107,11 +109,11 @@ def _marked_texts(page: str) -> Iterator[tuple[str, str | None, str, int, int]]:
         if name not in INLINE and name not in SILENT:
             block += 1
         if found[1]:
-            k = innermost((name,))
-            if k is not None and name not in ("html", "body"):
+            k = innermost((name,)) if opened.get(name) and name not in ("html", "body") else None
+            if k is not None:
                 close(k)
         else:
-            ended = ("p",) if name in CLOSES_P else SIBLINGS.get(name, ())
+            ended = _P if name in CLOSES_P else SIBLINGS.get(name)
             k = innermost(ended, SCOPES) if ended else 1 if name == "body" else None
             if k is not None:
                 close(k)
@@ -138,7 +140,7 @@ def _marked_texts(page: str) -> Iterator[tuple[str, str | None, str, int, int]]:
                 at = end.end() if end else stop
             else:
                 stack.append((name, path, why, inside))
-                opened[name] += 1
+                opened[name] = opened.get(name, 0) + 1
         _, path, off, within = stack[-1] if stack else ("", "", "", 0)
     if at < len(page):
         yield path, page[at:], off, block, within
@@ -157,9 +159,10 @@ def page_texts(page: str) -> Iterator[tuple[str, str | None, bool, int]]:
     where without them it would have no text but headings: then they name the article's own parts.
     """
     found = list(_marked_texts(page))
-    said = {n for path, text, why, _, n in found if n and text is not None and not why and text.strip() and not _in_heading(path)}
+    marks = any(x[2] == "mark" for x in found)
+    said = marks and {n for path, text, why, _, n in found if n and text is not None and not why and text.strip() and not _in_heading(path)}
     for path, text, why, block, n in found:
-        yield path, text, not why or why == "mark" and n not in said, block
+        yield path, text, not why or marks and why == "mark" and n not in said, block
 
 
 def _squeezed(text: str) -> str:
