@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from . import fixtures as X
 from .functions.common import warning_flags
 from .functions.geo import A, COS_B0, D, E2, FE, FN, LON0, QP, RQ, SIN_B0, intersects, laea, mercator, to_degrees, within
-from .operators import autocorr, clean, hexgrid, metrics, profile, readiness, report, sites, spatial, summaries, surface, uncertainty, validate
+from .operators import autocorr, clean, figures, hexgrid, metrics, profile, readiness, report, sites, spatial, summaries, surface, uncertainty, validate
 from .operators.predicates import FilterSpec, basis_filter, bbox_filter, predicate, uncertainty_filter, year_filter
 from .plans.shared import cut, scratch
 from .schemas import CERTAINLY_INSIDE, CERTAINLY_OUTSIDE, INSIDE_UNCERTAIN, OUTSIDE_LABEL, OUTSIDE_UNCERTAIN, RAW_COLUMNS, UNCLASSIFIED, WITHIN_LABEL
@@ -1141,3 +1141,13 @@ def report_of_tables(spark, sf_dir):
 def site_preview(spark, sf_dir):
     """The first sites of a layer, as they stand in it."""
     return X.sites(spark, sf_dir).filter("SITENAME is not null").orderBy("index_right").limit(10).select("SITECODE", "SITENAME", "MS", "SITETYPE")
+
+
+@query(
+    f"""WITH {CELLS_SQL}, placed AS (SELECT *, {HEX * _W3!r}e0 * (q + r / 2e0) AS cx, {HEX * 1.5!r}e0 * r AS cy FROM cells), ends AS (SELECT min(cx) - {HEX!r}e0 AS x0, max(cy) + {HEX!r}e0 AS y1, (max(cx) - min(cx) + 2 * {HEX!r}e0) / 90e0 AS step, max(cy) - min(cy) + 2 * {HEX!r}e0 AS tall FROM placed),
+pixel AS (SELECT px, py, x0 + (px + 0.5e0) * step AS x, y1 - (py + 0.5e0) * step AS y FROM (SELECT *, unnest(range(90)) AS px FROM (SELECT *, unnest(range(CAST(ceil(tall / step) AS BIGINT))) AS py FROM ends))), at AS ({_AXIAL.format(source='pixel')})
+SELECT px, py, c.q, c.r, n_occurrences AS value FROM at AS p JOIN cells AS c ON CAST(p.cq AS BIGINT) = c.q AND CAST(p.cr AS BIGINT) = c.r""".replace(", at AS (", ", found AS (").replace("FROM at AS p", "FROM found AS p")
+)
+def figure_raster(spark, sf_dir):
+    """The pixels of the density map."""
+    return figures.raster(cut(_cells(spark, sf_dir)), HEX, "n_occurrences", 90)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from occspark.functions.geo import area, intersects, inverse_laea, inverse_mercator, laea, mercator, project_rings, within
-from occspark.operators import autocorr, hexgrid, metrics, sites, spatial, surface, uncertainty
+from occspark.operators import autocorr, figures, hexgrid, metrics, sites, spatial, surface, uncertainty
 
 POINT = "gbifID long, decimalLongitude double, decimalLatitude double"
 LAYER = "index_right long, SITECODE string, MS string, rings array<array<struct<x double, y double>>>"
@@ -230,6 +230,48 @@ def test_histogram_and_hotspots(spark):
     assert a == b and len(a) == 4
 
 
+def _png(path):
+    import struct
+    import zlib
+
+    import numpy as np
+
+    data, at, parts = open(path, "rb").read(), 8, b""
+    assert data[:8] == b"\x89PNG\r\n\x1a\n"
+    while at < len(data):
+        size, kind = struct.unpack_from(">I4s", data, at)
+        body = data[at + 8 : at + 8 + size]
+        assert struct.unpack_from(">I", data, at + 8 + size)[0] == zlib.crc32(kind + body)
+        if kind == b"IHDR":
+            width, height = struct.unpack_from(">II", body)
+        parts, at = parts + (body if kind == b"IDAT" else b""), at + 12 + size
+    lines = np.frombuffer(zlib.decompress(parts), dtype=np.uint8).reshape(height, 1 + 3 * width)
+    assert not lines[:, 0].any()
+    return lines[:, 1:].reshape(height, width, 3)
+
+
+def test_figures(spark, tmp_path):
+    cells = spark.createDataFrame([(q, r, float(q), None if q == 0 else q % 2) for q in range(6) for r in range(4)], "q long, r long, v double, f int")
+    size = figures.map_image(cells, 100.0, str(tmp_path / "a" / "map.png"), "v", width=120)
+    image = _png(tmp_path / "a" / "map.png")
+    assert image.shape == (size[1], 120, 3)
+    colours = {tuple(c) for c in image.reshape(-1, 3)}
+    assert figures.WHITE in colours and figures.RAMP[0] in colours and figures.RAMP[-1] in colours and len(colours) == 7
+    white = {}
+    for kind, column, seen in (("flag", "f", {figures.COVERED, figures.EMPTY}), ("hotspot", "f", {figures.HOTSPOT, figures.EMPTY}), ("units", "f", {figures.UNIT, figures.BLACK})):
+        figures.map_image(cells, 100.0, str(tmp_path / "m.png"), column, kind, width=120)
+        image = _png(tmp_path / "m.png")
+        assert {tuple(c) for c in image.reshape(-1, 3)} == seen | {figures.WHITE}
+        white[kind] = (image == 255).all(axis=2).sum()
+    assert white["flag"] == white["hotspot"] > white["units"]  # cells without a value are left white
+    figures.map_image(cells.limit(0), 100.0, str(tmp_path / "none.png"), "v", width=10)
+    assert (_png(tmp_path / "none.png") == 255).all()
+    bars = spark.createDataFrame([(0, 10), (1, 0), (2, 5)], "bin long, n long")
+    figures.histogram_image(bars, str(tmp_path / "h.png"), 120, 100)
+    image = (_png(tmp_path / "h.png") == figures.BAR).all(axis=2)
+    assert image[:, 20].sum() == 80 and image[:, 60].sum() == 0 and image[:, 100].sum() == 40
+
+
 def test_sites(spark, layer):
     with pytest.raises(ValueError):
         sites.select_sites(layer, "site_code_list", [])
