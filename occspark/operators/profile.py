@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.common import is_date_like, percent, warning_flags
-from ..plans.quantiles import column_quantiles, exact_quantiles
+from ..plans.quantiles import exact_quantiles, moments, stretch_quantiles
 from ..plans.shared import cut
 from ..schemas import COLUMN_ROLES, DATE_LIKE, LOGICAL_TYPES, MEASURED
 
@@ -96,9 +96,7 @@ def duplicate_counts(df: DataFrame, *keys: str) -> DataFrame:
 
 def describe(df: DataFrame, *fields: str) -> DataFrame:
     """(field, count, mean, std, min, q25, q50, q75, max) with the sample deviation and exact quartiles."""
-    pairs = F.array(*(F.struct(F.lit(f).alias("field"), F.col(f).cast("double").alias("x")) for f in fields))
-    grouped = df.select(F.explode(pairs).alias("p")).select("p.*").groupBy("field")
-    out = grouped.agg(F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"), F.min("x").alias("min"), F.max("x").alias("max"))
-    quartiles = column_quantiles(df, fields, [0.25, 0.5, 0.75]).select(F.col("column").alias("field"), F.col("quantiles").alias("q"))
+    out = moments(df, fields, "count")
+    quartiles = stretch_quantiles(df, fields, [0.25, 0.5, 0.75]).select(F.col("column").alias("field"), F.col("quantiles").alias("q"))
     out = out.join(F.broadcast(quartiles), "field", "left")
     return out.select("field", "count", "mean", "std", "min", *(F.get("q", F.lit(i)).alias(c) for i, c in enumerate(("q25", "q50", "q75"))), "max")

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import math
+from bisect import bisect_right
 from collections.abc import Sequence
+from functools import reduce
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -50,6 +54,15 @@ def exact_quantiles(counted: DataFrame, key: str, value: str, n: str, qs: Sequen
     return out.select(F.col("k").alias(key), F.transform("qs", lambda s: s["q"]).alias("quantiles"))
 
 
+def moments(df: DataFrame, fields: Sequence[str], count: str) -> DataFrame:
+    """(field, ``count``, mean, std, min, max) of several numeric columns in one pass, none of whose rows is repeated by field."""
+    of = {count: F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    one = df.select(*(F.col(f).cast("double").alias(f"x{i}") for i, f in enumerate(fields)))
+    one = one.agg(*(how(f"x{i}").alias(f"{name}{i}") for i in range(len(fields)) for name, how in of.items()))
+    rows = F.array(*(F.struct(F.lit(f).alias("field"), *(F.col(f"{name}{i}").alias(name) for name in of)) for i, f in enumerate(fields)))
+    return one.select(F.inline(rows))
+
+
 def column_quantiles(df: DataFrame, columns: Sequence[str], qs: Sequence[float]) -> DataFrame:
     """(column, quantiles) of several numeric columns; those without values are left out."""
     cells = F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in columns))
@@ -57,6 +70,41 @@ def column_quantiles(df: DataFrame, columns: Sequence[str], qs: Sequence[float])
     return exact_quantiles(counted, "column", "x", "n", qs)
 
 
+def stretch_quantiles(df: DataFrame, columns: Sequence[str], qs: Sequence[float], buckets: int = 1 << 14) -> DataFrame:
+    """``column_quantiles`` of columns whose values are nearly all distinct and are cheap to read more than once.
+
+    Values are first counted by equal stretches of their column. Only those stretches that hold an asked rank are counted by
+    value; each other one goes on as one row, since none of its values is asked for. Columns with values that are not finite are one stretch.
+    """
+    xs = [F.col(c).cast("double") for c in columns]
+    ends = df.agg(*(f(x) for x in xs for f in (F.min, F.max))).first()
+    parts = []
+    for i, (c, x) in enumerate(zip(columns, xs, strict=True)):
+        low, high = ends[2 * i], ends[2 * i + 1]
+        if low is None:
+            continue
+        # Rounding keeps the order of what is subtracted, divided and multiplied, so stretches are in the order of values.
+        stretch = F.floor((x - F.lit(low)) / F.lit(high - low) * F.lit(float(buckets))).cast("long") if 0 < high - low < math.inf else F.lit(0).cast("long")
+        parts.append(df.select(F.lit(c).alias("column"), x.alias("x"), stretch.alias("stretch")).filter("x is not null"))
+    if not parts:
+        return df.sparkSession.createDataFrame([], "column string, quantiles array<double>")
+    held = cut(reduce(DataFrame.unionByName, (p.groupBy("column", "stretch").agg(F.min("x").alias("x"), F.count(F.lit(1)).alias("n")) for p in parts)))
+    wanted: dict[str, set[int]] = {}
+    by_column: dict[str, list] = {}
+    for row in held.select("column", "stretch", "n").orderBy("column", "stretch").collect():
+        by_column.setdefault(row["column"], []).append((row["stretch"], row["n"]))
+    for c, rows in by_column.items():
+        until = list(accumulate(n for _, n in rows))
+        ranks = {int(f(float(q) * (until[-1] - 1))) for q in qs for f in (math.floor, math.ceil)}
+        wanted[c] = {rows[bisect_right(until, rank)][0] for rank in ranks}
+    of = lambda c: F.col("stretch").isin(*wanted[c])
+    rest = reduce(Column.__or__, ((F.col("column") == c) & ~of(c) for c in wanted))
+    counted = held.filter(rest).select("column", "x", "n")
+    for p, c in zip(parts, (c for c in columns if c in wanted), strict=True):
+        counted = counted.unionByName(p.filter(of(c)).groupBy("column", "x").agg(F.count(F.lit(1)).alias("n")))
+    return exact_quantiles(counted, "column", "x", "n", qs)
+
+
 def quantile(found: DataFrame, column: str, i: int = 0) -> Column:
     """Of a table of one row per column, the ``i``-th quantile of ``column`` as an aggregate."""
     return F.max(F.when(F.col("column") == column, F.get("quantiles", F.lit(i))))

@@ -153,3 +153,14 @@ def test_components_with_a_hub(spark, monkeypatch, limit):
     edges = spark.range(1000).select((F.col("id") + 1).alias("hi"), F.lit(0).cast("long").alias("lo"))
     plan = components._large_star(edges)[0]._jdf.queryExecution().optimizedPlan().toString()
     assert ("strategy=broadcast" in plan) == (limit > 0) and ("strategy=merge" in plan) == (limit == 0)
+
+
+def test_quantiles_by_stretches(spark):
+    from occspark.plans.quantiles import column_quantiles, stretch_quantiles
+
+    values = [(float(i) ** 3 / 7, float("inf") if i == 5 else float(i % 3), None, -1e300 if i else 1e300) for i in range(997)]
+    df = spark.createDataFrame([*values, (None, None, None, None)], "a double, b double, c double, d double")
+    qs = [0.0, 0.25, 0.5, 0.9, 1.0]
+    got, all_values = ({r["column"]: r["quantiles"] for r in f(df, ["a", "b", "c", "d"], qs).collect()} for f in (stretch_quantiles, column_quantiles))
+    assert got == all_values and set(got) == {"a", "b", "d"}
+    assert stretch_quantiles(df, ["c"], qs).count() == 0
