@@ -164,6 +164,45 @@ def test_nearest_of_many_sites_against_brute_force(spark, limit):
         assert abs(got[r["gbifID"]] - want) < 1e-3
 
 
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_points_are_classified_in_one_pass(spark):
+    """The same rows as joining by tiles and measuring joined rows, without a shuffle and with one call of Python a point."""
+    rng = random.Random(3)
+    rings = [[(x + r, y), (x, y + r), (x - r, y), (x, y - r), (x + r, y)] for x, y, r in ((rng.randrange(400) / 10, 35 + rng.randrange(100) / 10, 0.25 + rng.randrange(7) / 4) for _ in range(60))]
+    shapes = [(i, f"S{i}", "X", [ring, [(x + 6, y) for x, y in reversed(ring)]]) for i, ring in enumerate(rings)]
+    many = sites.prepare_sites(spark.createDataFrame([*shapes, (60, "S60", "X", []), (61, "S61", "X", None)], LAYER))
+    xy = [(rng.randrange(5000) / 100, 34 + rng.randrange(1300) / 100) for _ in range(400)] + [p for ring in rings for p in ring[:2]] + [(None, 40.0), (40.0, None), (-170.0, -80.0)]
+    at = spark.createDataFrame([(i % 50, x, y, 1e3 * (i % 90)) for i, (x, y) in enumerate(xy)], f"{POINT}, coordinateUncertaintyInMeters double")
+    names = ["gbifID", "decimalLongitude", "decimalLatitude", "index_right", "SITECODE", "dist_to_boundary_m", "dist_to_polygon_m", "uncertainty_class"]
+    text = lambda df: sorted(str([round(v, 6) if isinstance(v, float) else v for v in r]) for r in df.select(*names).collect())
+    for farthest in (None, 50_000.0):
+        once = uncertainty.classify_points(at, many, farthest)
+        assert text(once) == text(uncertainty.classify(spatial.join_sites(at, many, limit=0), many, farthest))
+    assert "Exchange hashpartitioning" not in _plan(once) and _plan(once).count("ArrowEvalPython") == 1
+    apart = uncertainty.classify_points(at, many, limit=0)
+    assert text(apart) == text(uncertainty.classify_points(at, many))
+    inside = sorted(map(str, uncertainty.inside_distances(at, many).filter("dist_to_boundary_m >= 0").select("gbifID", "index_right").collect()))
+    assert inside == sorted(map(str, spatial.containing_pairs(at, many, limit=0).select("gbifID", "index_right").collect()))
+    for test in (within, intersects):
+        one, two = (sorted(map(tuple, spatial.containing_pairs(at, many, test, limit=limit).collect())) for limit in (1 << 20, 0))
+        assert one == two and len(one) > 100
+
+
+def test_sums_are_small(spark):
+    """Rows are summed up by what a metric asks for, not by site and species at once."""
+    rows = [("A", "s", "X", 2000, "in"), ("A", "t", "X", 2002, "in"), ("B", "s", "X", 2000, "in"), ("B", None, "X", None, "out"), (None, "u", "X", 2000, "out"), (None, "u", None, 2000, "out")]
+    df = spark.createDataFrame(rows, "SITECODE string, scientificName string, MS string, year long, uncertainty_class string")
+    gaps = metrics.site_temporal_gaps(df)
+    assert "scientificName" not in _plan(gaps)
+    assert {r["SITECODE"]: (r["n_occurrences"], r["missing_years"]) for r in gaps.collect()} == {"A": (2, 1), "B": (2, 0)}
+    found = metrics.class_metrics(df, "MS", "total", "share")
+    assert "Expand" in _plan(found)
+    assert {r["uncertainty_class"]: (r["n_occurrences"], r["n_sites"], r["n_species"], r["total"]) for r in found.collect()} == {"in": (3, 2, 2, 5), "out": (2, 1, 1, 5)}
+
+
 def test_classes(spark, layer):
     pts = points(spark, (0.5, 0.5), (0.5, 0.5), (-0.001, 0.5), (-0.001, 0.5), (0.5, 0.5), (-9, -9))
     unc = F.when(F.col("gbifID").isin(0, 3), 1.0).when(F.col("gbifID").isin(1, 2), 1e6).when(F.col("gbifID") == 5, 10.0)
