@@ -39,9 +39,8 @@ class LmParameters:
     window: int = 3
     #: Entries of an embedding and of the hidden layer.
     width: int = 16
-    #: Times that the copies are averaged, and how many places there are to one that is trained on over all rounds.
+    #: Times that the copies are averaged; over all of them every place is trained on once.
     rounds: int = 4
-    stride: int = 2
     rate: float = 0.2
     batch: int = 4096
     seed: int = 5
@@ -276,10 +275,15 @@ def unigram_network(counts: np.ndarray, p: LmParameters) -> Network:
     return Network(tree, p.window, p.width, theta)
 
 
+def _places(at: np.ndarray, nth: int, p: LmParameters) -> np.ndarray:
+    """Those of the places ``at`` that the ``nth`` round trains on."""
+    return at[nth :: p.rounds]
+
+
 def fit_network(chunks: DataFrame, vocabulary: int, p: LmParameters) -> Network:
     """The network trained over all documents of ``chunks``, ``rounds`` times averaged.
 
-    In each round every document gives other places to train on, one in ``stride`` over all rounds. What comes to the
+    In each round every document gives other places to train on, and over all rounds each of its places once. What comes to the
     driver is bounded by the parameters: changes are added up by row before and after the shuffle.
     """
     network = unigram_network(token_totals(chunks, vocabulary), p)
@@ -293,7 +297,7 @@ def fit_network(chunks: DataFrame, vocabulary: int, p: LmParameters) -> Network:
             squares, touched = np.full_like(own.theta, 1e-8), np.zeros(len(own.theta))
             for batch in batches:
                 for chunk in _chunks(batch, own.window, own.vocabulary):
-                    own.train(chunk.stream, chunk.at[nth * p.stride :: p.stride * p.rounds], p, p.rate / (1 + nth), squares, touched)
+                    own.train(chunk.stream, _places(chunk.at, nth, p), p, p.rate / (1 + nth), squares, touched)
             rows = np.flatnonzero(touched)
             for i in range(0, len(rows), 10_000):
                 some = rows[i : i + 10_000]

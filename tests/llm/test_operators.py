@@ -792,3 +792,11 @@ def test_nothing_else_imports_the_subpackage():
         if "llm" not in p.relative_to(package).parts:
             assert "llm" not in p.read_text(), p
     assert os.path.exists(ROOT / "__spark_entry__.py")
+
+
+def test_every_place_is_trained_on_once():
+    p = lmscore.LmParameters()
+    for n in (0, 1, 3, 1000):
+        at = np.arange(n) * 2 + 5
+        trained = np.concatenate([lmscore._places(at, nth, p) for nth in range(p.rounds)])
+        assert sorted(trained) == list(at)
