@@ -196,7 +196,7 @@ def test_sums_are_small(spark):
     rows = [("A", "s", "X", 2000, "in"), ("A", "t", "X", 2002, "in"), ("B", "s", "X", 2000, "in"), ("B", None, "X", None, "out"), (None, "u", "X", 2000, "out"), (None, "u", None, 2000, "out")]
     df = spark.createDataFrame(rows, "SITECODE string, scientificName string, MS string, year long, uncertainty_class string")
     gaps = metrics.site_temporal_gaps(df)
-    assert "scientificName" not in _plan(gaps)
+    assert not [line for line in _plan(gaps).splitlines() if "Aggregate" in line and "scientificName" in line]
     assert {r["SITECODE"]: (r["n_occurrences"], r["missing_years"]) for r in gaps.collect()} == {"A": (2, 1), "B": (2, 0)}
     found = metrics.class_metrics(df, "MS", "total", "share")
     assert "Expand" in _plan(found)
