@@ -213,16 +213,23 @@ class Network:
         return row, first, np.take(t.nodes, step), np.take(t.sides, step)
 
     def log_probabilities(self, stream: np.ndarray, at: np.ndarray, block: int = 4096) -> np.ndarray:
-        """The log-probability of the token at each place by those around it."""
-        out, (_, nodes, _, _) = np.empty(len(at)), self.parts()
-        one = np.ones(self.width, dtype=np.float32)
+        """The log-probability of the token at each place by those around it.
+
+        Products of matrices round a row by its place among the others; here each place is summed up by itself, so that
+        like places have the same value wherever they stand.
+        """
+        out, (embeddings, nodes, weights, bias) = np.empty(len(at)), self.parts()
+        # What each token adds to the layer from each of the places around.
+        adds = [embeddings @ weights[k : k + self.width] for k in range(0, len(weights), self.width)]
         for i in range(0, len(at), block):
             some = at[i : i + block]
-            h = self.hidden(self.around(stream, some))[1]
+            h = np.zeros((len(some), self.width), dtype=np.float32)
+            for add, tokens in zip(adds, self.around(stream, some).T, strict=True):
+                h += np.take(add, tokens, axis=0)
+            h = np.tanh(h + bias)
+            h[:, -1] = 1
             row, first, node, side = self.paths(np.take(stream, some))
-            over = np.take(nodes, node, axis=0)
-            over *= np.take(h, row, axis=0)
-            z = (over @ one) * side
+            z = np.einsum("nd,nd->n", np.take(h, row, axis=0), np.take(nodes, node, axis=0)) * side
             out[i : i + block] = np.add.reduceat(np.minimum(z, 0) - np.log1p(np.exp(-np.abs(z))), first)
         return out
 
@@ -238,7 +245,7 @@ class Network:
             over, hs = np.take(nodes, node, axis=0), np.take(h, row, axis=0)
             z = np.einsum("nd,nd->n", hs, over) * side
             g = (side / (1 + np.exp(np.minimum(z, 30))))[:, None]
-            back = np.add.reduceat(g * over, first, axis=0)
+            back = np.add.reduceat(_paired(g * over), first, axis=0).view(np.float32)
             back[:, -1] = 0
             back *= 1 - h * h
             own, up, n = _by_row(node, g * hs)
@@ -256,12 +263,20 @@ class Network:
             touched[rows] += np.concatenate([n, n_x, np.full(len(layer), len(some))])
 
 
+def _paired(x: np.ndarray) -> np.ndarray:
+    """Pairs of columns as complex numbers, which take half as many additions, where columns come in pairs."""
+    return x.view(np.complex64) if x.shape[1] % 2 == 0 else x
+
+
 def _by_row(at: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, sum, n) of the rows of ``x`` that share an entry of ``at``."""
-    order = np.argsort(at.astype(np.uint16) if at.max(initial=0) < 1 << 16 else at, kind="stable")
-    there = at[order]
-    first = np.r_[0, np.flatnonzero(np.diff(there)) + 1]
-    return there[first], np.add.reduceat(np.take(x, order, axis=0), first, axis=0), np.diff(np.r_[first, len(there)])
+    times, x = np.bincount(at), _paired(x)
+    rows, width = np.flatnonzero(times), x.shape[1]
+    place = np.empty(len(times), dtype=np.int64)
+    place[rows] = np.arange(len(rows)) * width
+    out = np.zeros(len(rows) * width, dtype=x.dtype)
+    np.add.at(out, (np.take(place, at)[:, None] + np.arange(width)).reshape(-1), x.reshape(-1))
+    return rows, out.reshape(-1, width).view(np.float32), times[rows]
 
 
 def unigram_network(counts: np.ndarray, p: LmParameters) -> Network:

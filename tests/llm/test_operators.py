@@ -488,6 +488,18 @@ def test_the_network_predicts_the_whole_vocabulary():
         assert np.isclose(logs[stream[at]], _log_probability(model, stream[at - 2 : at], stream[at + 1 : at + 3], stream[at]), rtol=1e-4)
 
 
+def test_like_places_score_alike_wherever_they_stand():
+    rng, p, v = np.random.default_rng(2), lmscore.LmParameters(), 3000
+    stream = np.r_[[v] * 3, rng.integers(0, v, 9000), [v + 1] * 3].astype(np.int32)
+    model, at = lmscore.unigram_network(np.bincount(stream[3:-3], minlength=v), p), np.arange(3, 9003)
+    model.train(stream, at, p, 0.2, np.full_like(model.theta, 1e-8), np.zeros(len(model.theta)))
+    whole = model.log_probabilities(stream, at)
+    for _ in range(400):
+        i = int(rng.integers(0, 8900))
+        j = i + int(rng.integers(1, 100))
+        assert (model.log_probabilities(stream, at[i:j]) == whole[i:j]).all()
+
+
 def _log_probability(model, left, right, token):
     """One masked token by hand: the layer, then the way down the tree."""
     embeddings, nodes, weights, bias = (x.astype(float) for x in model.parts())
