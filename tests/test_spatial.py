@@ -232,6 +232,21 @@ def test_fanout(spark, layer):
     assert joined.count() == 2 and uncertainty.attach_by_id(joined, mapped).count() == 4
 
 
+def test_fanout_by_id(spark, layer):
+    """The same rows as joining by ids, which may repeat or be null, and no join of rows that are already one for each site."""
+    rows = [(1, 3.5, 3.5, 1.0), (1, 0.5, 0.5, 1e9), (1, 50.0, 50.0, 5.0), (2, 3.5, 3.5, None), (None, 3.5, 3.5, 1.0), (None, 50.0, 50.0, 1.0), (3, None, 1.0, 1.0)]
+    at = spark.createDataFrame(rows, f"{POINT}, coordinateUncertaintyInMeters double")
+    joined = spatial.join_sites(at, layer)
+    want = uncertainty.attach_by_id(joined, uncertainty.mapping(uncertainty.classify(joined, layer))).select("gbifID", "index_right", "uncertainty_class")
+    want = sorted(map(str, want.collect()))
+    assert len(want) == 16 + 4 + 3 + 1
+    for run in (1, 2, 1000):
+        got = uncertainty.fanout_by_id(at, layer, run=run)
+        assert sorted(map(str, got.collect())) == want
+    lines = _plan(got).splitlines()
+    assert min(i for i, line in enumerate(lines) if "Generate" in line) < min(i for i, line in enumerate(lines) if "Join" in line)
+
+
 def test_metrics_edges(spark):
     rows = [(1, "s", "A", "X", "t", 2000), (1, "s2", "A", "X", "t", None), (2, "u", "B", None, "t", None), (3, "v", None, None, None, 1990)]
     df = spark.createDataFrame([(k, n, c, "n", m, t, y) for k, n, c, m, t, y in rows], "taxonKey long, scientificName string, SITECODE string, SITENAME string, MS string, SITETYPE string, year long")
