@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import heapq
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -85,7 +86,7 @@ def token_chunks(rows: DataFrame, p: LmParameters, json_path: str | None = None,
             id_type = batch["doc_id"].type
             for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
                 t = text.as_py()
-                said.append(np.array(ids_of(t) if t and _WORD.search(t) else [], dtype=np.uint32))
+                said.append(np.frombuffer(array("I", ids_of(t) if t and _WORD.search(t) else []), dtype=np.uint32))
                 docs.append(doc.as_py())
                 held += len(said[-1])
                 if held >= p.chunk_tokens:
@@ -143,15 +144,31 @@ def token_totals(chunks: DataFrame, vocabulary: int) -> np.ndarray:
 # The network ------------------------------------------------------------------------------------------
 
 
+#: Steps from the root down to where a branch begins.
+_TOP = 5
+
+
 @dataclass(frozen=True)
 class Tree:
-    """The Huffman tree of a vocabulary: of each token, the inner nodes above it and the side that it is on."""
+    """The Huffman tree of a vocabulary: of each token, the inner nodes above it, the root last, and the side that it is on.
+
+    A branch is what lies below a node ``_TOP`` steps from the root, or a leaf no farther from it. Inner nodes are numbered
+    from the root on, those above all branches first, then branch by branch. Leaves are ranked from left to right, so
+    that those below a node are neighbours.
+    """
 
     starts: np.ndarray
     depth: np.ndarray
     nodes: np.ndarray
     sides: np.ndarray  # 1 or -1
     odds: np.ndarray  # of each inner node, the log odds of side 1 by the counts
+    ranks: np.ndarray  # of each token
+    spans: np.ndarray  # of each inner node, the ranks where side -1 begins, where side 1 does and where it ends
+    levels: np.ndarray  # of each inner node, the steps from the root
+    branches: np.ndarray  # of each token, its branch
+    branch_starts: np.ndarray  # the first inner node of each branch, and the number of inner nodes
+    above: np.ndarray  # of each branch, the nodes above it, the root first
+    above_sides: np.ndarray  # the side that it is on, or 0 where there are no more nodes
 
 
 def huffman(counts: np.ndarray) -> Tree:
@@ -159,21 +176,52 @@ def huffman(counts: np.ndarray) -> Tree:
     n = len(counts)
     heap = [(int(c) + 1, i) for i, c in enumerate(counts)]
     heapq.heapify(heap)
-    up, side, odds = np.full(2 * n - 1, -1), np.zeros(2 * n - 1, dtype=np.int8), np.zeros(max(n - 1, 1))
+    odds, kids = np.zeros(n - 1), []
     for k in range(n - 1):
         (a, i), (b, j) = heapq.heappop(heap), heapq.heappop(heap)
-        up[i] = up[j] = n + k
-        side[i], side[j] = -1, 1
+        kids.append((i, j))
         odds[k] = np.log(b / a)
         heapq.heappush(heap, (a + b, n + k))
+    leaves, first, level, branch = [1] * n + [0] * (n - 1), [0] * (2 * n - 1), [0] * (2 * n - 1), [-1] * (2 * n - 1)
+    for k, (i, j) in enumerate(kids):
+        leaves[n + k] = leaves[i] + leaves[j]
+    branches = int(n == 1)
+    for k in range(n - 2, -1, -1):  # from the root on
+        i, j = kids[k]
+        first[i], first[j] = first[n + k], first[n + k] + leaves[i]
+        for x in (i, j):
+            level[x], branch[x] = level[n + k] + 1, branch[n + k]
+            if branch[x] < 0 and (x < n or level[x] == _TOP):
+                branch[x], branches = branches, branches + 1
+    number = np.empty(n - 1, dtype=np.int64)
+    number[np.lexsort((level[n:], branch[n:]))] = np.arange(n - 1)
+    up, side = np.full(2 * n - 1, -1), np.zeros(2 * n - 1, dtype=np.int8)
+    for k, (i, j) in enumerate(kids):
+        up[i] = up[j] = n + k
+        side[i], side[j] = -1, 1
     at, steps = np.arange(n), []
     while (up[at] >= 0).any():
-        steps.append((up[at] - n, side[at]))
+        steps.append((np.where(up[at] >= 0, np.take(number, up[at] - n, mode="clip"), -1), side[at]))
         at = np.where(up[at] >= 0, up[at], at)
-    over = np.array([s for s, _ in steps]).T.reshape(n, -1)
+    over, sides = (np.array([s[k] for s in steps]).T.reshape(n, -1) for k in (0, 1))
     there = over >= 0
     depth = there.sum(axis=1)
-    return Tree((np.cumsum(depth) - depth).astype(np.int32), depth.astype(np.int32), over[there].astype(np.int32), np.array([s for _, s in steps]).T.reshape(n, -1)[there].astype(np.float32), odds.astype(np.float32))
+    starts, nodes, sides = np.cumsum(depth) - depth, over[there], sides[there]
+    of = np.maximum(branch[:n], 0)
+    has = np.arange(_TOP) < np.minimum(depth, _TOP)[:, None]
+    token, kth = np.nonzero(has)
+    above, above_sides = np.zeros((branches, _TOP), dtype=np.int64), np.zeros((branches, _TOP), dtype=np.float32)
+    above[of[token], kth] = nodes[(starts + depth - 1)[token] - kth]
+    above_sides[of[token], kth] = sides[(starts + depth - 1)[token] - kth]
+    spans, levels, by_number = np.zeros((n - 1, 3), dtype=np.int64), np.zeros(n - 1, dtype=np.int64), np.zeros(n - 1)
+    for k, (i, j) in enumerate(kids):
+        spans[number[k]] = first[i], first[j], first[j] + leaves[j]
+        levels[number[k]], by_number[number[k]] = level[n + k], odds[k]
+    branch_starts = np.searchsorted(np.sort(branch[n:]), np.arange(branches + 1))
+    return Tree(
+        starts.astype(np.int32), depth.astype(np.int32), nodes.astype(np.int32), sides.astype(np.float32), by_number.astype(np.float32),
+        np.array(first[:n], dtype=np.int32), spans, levels, of.astype(np.uint16), branch_starts, above, above_sides,
+    )
 
 
 @dataclass
@@ -193,66 +241,83 @@ class Network:
         v = self.vocabulary
         return self.theta[: v + 2], self.theta[v + 2 : 2 * v + 1], self.theta[2 * v + 1 : -1], self.theta[-1]
 
-    def around(self, stream: np.ndarray, at: np.ndarray) -> np.ndarray:
-        return np.take(stream, at[:, None] + np.array([*range(-self.window, 0), *range(1, self.window + 1)]))
-
-    def hidden(self, around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        embeddings, _, weights, bias = self.parts()
-        x = np.take(embeddings, around, axis=0).reshape(len(around), -1)
-        h = np.tanh(x @ weights + bias)
-        h[:, -1] = 1  # stands by the nodes' own odds
-        return x, h
-
-    def paths(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(row, first, node, side): for each token of ``tokens`` the nodes above it, one after another, from ``first`` on."""
-        t = self.tree
-        depth = np.take(t.depth, tokens)
-        first = np.cumsum(depth, dtype=np.int32) - depth
-        row = np.repeat(np.arange(len(tokens), dtype=np.int32), depth)
-        step = np.arange(len(row), dtype=np.int32) + np.repeat(np.take(t.starts, tokens) - first, depth)
-        return row, first, np.take(t.nodes, step), np.take(t.sides, step)
-
     def log_probabilities(self, stream: np.ndarray, at: np.ndarray, block: int = 4096) -> np.ndarray:
         """The log-probability of the token at each place by those around it.
 
         Products of matrices round a row by its place among the others; here each place is summed up by itself, so that
-        like places have the same value wherever they stand.
+        like places have the same value wherever they stand. Places go by the ranks of their tokens' leaves, so that
+        those below a node are neighbours.
         """
-        out, (embeddings, nodes, weights, bias) = np.empty(len(at)), self.parts()
+        out, tree, (embeddings, nodes, weights, bias) = np.empty(len(at)), self.tree, self.parts()
         # What each token adds to the layer from each of the places around.
-        adds = [embeddings @ weights[k : k + self.width] for k in range(0, len(weights), self.width)]
+        offsets = [*range(-self.window, 0), *range(1, self.window + 1)]
+        adds = [embeddings @ weights[k * self.width : (k + 1) * self.width] for k in range(len(offsets))]
+        ranks = np.take(tree.ranks, np.take(stream, at))
+        order = np.argsort(ranks.astype(np.uint16) if self.vocabulary <= 1 << 16 else ranks, kind="stable")
+        at, spans = np.take(at, order), np.take(np.r_[0, np.cumsum(np.bincount(ranks, minlength=self.vocabulary))], tree.spans)
+        below = np.flatnonzero(spans[:, 2] > spans[:, 0])
+        nodes, levels, spans = nodes[below], tree.levels[below], spans[below]
         for i in range(0, len(at), block):
             some = at[i : i + block]
-            h = np.zeros((len(some), self.width), dtype=np.float32)
-            for add, tokens in zip(adds, self.around(stream, some).T, strict=True):
-                h += np.take(add, tokens, axis=0)
-            h = np.tanh(h + bias)
-            h[:, -1] = 1
-            row, first, node, side = self.paths(np.take(stream, some))
-            z = np.einsum("nd,nd->n", np.take(h, row, axis=0), np.take(nodes, node, axis=0)) * side
-            out[i : i + block] = np.add.reduceat(np.minimum(z, 0) - np.log1p(np.exp(-np.abs(z))), first)
+            n = len(some)
+            x = np.take(adds[0], np.take(stream, some + offsets[0]), axis=0)
+            for add, offset in zip(adds[1:], offsets[1:], strict=True):
+                x += np.take(add, np.take(stream, some + offset), axis=0)
+            x += bias
+            # Two columns at least: numpy would add up a single one in another order.
+            h = np.zeros((self.width, max(n, 2)), dtype=np.float32)
+            h[:, :n] = np.tanh(x, out=x).T
+            h[-1] = 1
+            passed = np.flatnonzero((spans[:, 0] < i + n) & (spans[:, 2] > i))
+            level = levels[passed]
+            z = np.full((level.max(initial=0) + 1, h.shape[1]), np.inf, dtype=np.float32)  # for leaves above a level
+            for node, k, (begin, middle, end) in zip(nodes[passed], level.tolist(), np.clip(spans[passed] - i, 0, n).tolist(), strict=True):
+                if end - begin > 1:
+                    np.einsum("d,dn->n", node, h[:, begin:end], out=z[k, begin:end])
+                else:
+                    first = min(begin, h.shape[1] - 2)
+                    z[k, begin] = np.einsum("d,dn->n", node, h[:, first : first + 2])[begin - first]
+                np.negative(z[k, begin:middle], out=z[k, begin:middle])
+            chances = np.multiply.reduce(1 + np.exp(-np.abs(z)), axis=0)
+            out[order[i : i + block]] = (np.add.reduce(np.minimum(z, 0), axis=0) - np.log(chances))[:n]
         return out
 
     def train(self, stream: np.ndarray, at: np.ndarray, p: LmParameters, rate: float, squares: np.ndarray, touched: np.ndarray) -> None:
         """Steps of Adagrad up the log-probability of the tokens at ``at``; ``squares`` and ``touched`` go on from call to call."""
-        v = self.vocabulary
-        _, nodes, weights, _ = self.parts()
+        v, width = self.vocabulary, self.width
+        embeddings, nodes, weights, bias = self.parts()
+        half = self.window * width
+        layer = np.arange(2 * v + 1, len(self.theta))
         for i in range(0, len(at), p.batch):
             some = at[i : i + p.batch]
-            around = self.around(stream, some)
-            x, h = self.hidden(around)
-            row, first, node, side = self.paths(np.take(stream, some))
-            over, hs = np.take(nodes, node, axis=0), np.take(h, row, axis=0)
-            z = np.einsum("nd,nd->n", hs, over) * side
-            g = (side / (1 + np.exp(np.minimum(z, 30))))[:, None]
-            back = np.add.reduceat(_paired(g * over), first, axis=0).view(np.float32)
-            back[:, -1] = 0
-            back *= 1 - h * h
-            own, up, n = _by_row(node, g * hs)
-            seen, up_x, n_x = _by_row(around.reshape(-1), (back @ weights.T).reshape(-1, self.width))
-            layer = np.arange(2 * v + 1, len(self.theta))
+            # The tokens between two places are read once, as those right of the one and left of the other.
+            left = np.arange(len(some))
+            left[1:] += np.cumsum(np.diff(some) != self.window + 1)
+            gaps = np.empty(left[-1] + 2, dtype=some.dtype)
+            gaps[left + 1], gaps[left] = some + 1, some - self.window
+            around = np.take(stream, gaps[:, None] + np.arange(self.window)).reshape(-1)
+            x = np.take(embeddings, around, axis=0).reshape(len(gaps), half)
+            both = np.concatenate([weights[:half], weights[half:]], axis=1)
+            # Of each gap, what it adds to the place behind it and to that before it.
+            sums, behind, before = (x @ both).reshape(-1, width), 2 * left, 2 * left + 3
+            beside = np.full(len(sums), len(some))
+            beside[behind] = beside[before] = np.arange(len(some))
+            h = np.take(sums, behind, axis=0)
+            h += np.take(sums, before, axis=0)
+            h += bias
+            np.tanh(h, out=h)
+            h[:, -1] = 1  # stands by the nodes' own odds
+            back, own, up = self._up(h, np.take(stream, some))
+            back[:-1, -1] = 0
+            back[:-1] *= 1 - h * h
+            sides = np.take(back, beside, axis=0).reshape(len(gaps), -1)
+            seen, up_x, n_x = _by_row(around, (sides @ both.T).reshape(-1, width))
+            touched[seen] += 2 * n_x
+            alone = (beside[::2] == len(some)) | (beside[1::2] == len(some))  # gaps with a place on one side only
+            np.subtract.at(touched, around.reshape(-1, self.window)[alone], 1)
+            up_weights = (x.T @ sides).reshape(half, 2, width).transpose(1, 0, 2).reshape(-1, width)
             rows = np.concatenate([v + 2 + own, seen, layer])
-            grad = np.concatenate([up, up_x, x.T @ back, back.sum(axis=0, keepdims=True)])
+            grad = np.concatenate([up, up_x, up_weights, np.ones((1, len(back)), dtype=np.float32) @ back])
             so_far = np.take(squares, rows, axis=0)
             so_far += grad * grad
             squares[rows] = so_far
@@ -260,7 +325,66 @@ class Network:
             grad /= np.sqrt(so_far) + np.float32(1e-6)
             grad += np.take(self.theta, rows, axis=0)
             self.theta[rows] = grad
-            touched[rows] += np.concatenate([n, n_x, np.full(len(layer), len(some))])
+        spans = np.take(np.r_[0, np.cumsum(np.bincount(np.take(self.tree.ranks, np.take(stream, at)), minlength=v))], self.tree.spans)
+        touched[v + 2 : 2 * v + 1] += spans[:, 2] - spans[:, 0]
+        touched[layer] += len(at)
+
+    def _up(self, h: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(up the layers ``h`` of the places of ``tokens`` and a row of zeros, nodes, up these) of the sum of log-probabilities.
+
+        The places on a branch meet the nodes above it and those nodes of it that any of them passes, as products of matrices.
+        """
+        tree, nodes = self.tree, self.parts()[1]
+        branch = np.take(tree.branches, tokens)
+        order = np.argsort(branch, kind="stable")
+        branch, tokens, h = np.take(branch, order), np.take(tokens, order), np.take(h, order, axis=0)
+        own, path = np.arange(len(tokens)), np.arange(_TOP)
+        # The nodes of paths that are on a branch, the last one first.
+        low = np.maximum(np.take(tree.depth, tokens) - _TOP, 0)
+        last = np.cumsum(low)
+        step = np.arange(last[-1]) + np.repeat(np.take(tree.starts, tokens) - (last - low), low)
+        node = np.take(tree.nodes, step)
+        passed = np.zeros(len(nodes), dtype=bool)
+        passed[node] = True
+        seen = np.flatnonzero(passed)
+        # Of each branch with places: its places, its nodes among those seen, and the slopes of the ones by the nodes above and the others.
+        rows, columns = np.searchsorted(branch, np.arange(len(tree.above) + 1, dtype=np.uint16)), np.searchsorted(seen, tree.branch_starts)
+        some = np.flatnonzero(rows[1:] > rows[:-1])
+        i, j, k, m = rows[some], rows[some + 1], columns[some], columns[some + 1]
+        wide = m - k + _TOP
+        first, begin = np.cumsum(wide) - wide, np.cumsum((j - i) * wide) - (j - i) * wide
+        above = first[:, None] + path
+        below = np.arange(len(seen)) + np.repeat(first + _TOP - k, m - k)
+        place = np.empty(len(nodes), dtype=np.int64)
+        place[seen] = below - np.repeat(first, m - k)
+        ids = np.empty(len(seen) + above.size, dtype=np.int64)
+        ids[above], ids[below] = tree.above[some], seen
+        over = np.take(nodes, ids, axis=0)
+        start = np.repeat(begin - i * wide, j - i) + own * np.repeat(wide, j - i)
+        at_above, at_below = start[:, None] + path, np.repeat(start, low) + np.take(place, node)
+        z, up, back = np.empty(int(((j - i) * wide).sum()), dtype=np.float32), np.empty_like(over), np.zeros((len(h) + 1, self.width), dtype=np.float32)
+        met = []
+        for i_, j_, a, w, b in zip(i.tolist(), j.tolist(), first.tolist(), wide.tolist(), begin.tolist(), strict=True):
+            met.append((h[i_:j_], over[a : a + w], z[b : b + (j_ - i_) * w].reshape(-1, w), up[a : a + w], back[i_:j_]))
+            np.matmul(met[-1][0], met[-1][1].T, out=met[-1][2])
+        g_above = _slopes(np.take(z, at_above), np.take(tree.above_sides, branch, axis=0))
+        g_below = _slopes(np.take(z, at_below), np.take(tree.sides, step))
+        z.fill(0)
+        z[at_above], z[at_below] = g_above, g_below
+        for layers, others, slopes, up_others, up_layers in met:
+            np.matmul(slopes.T, layers, out=up_others)
+            np.matmul(slopes, others, out=up_layers)
+        tops = tree.branch_starts[0]
+        up_tops = np.zeros((tops, self.width), dtype=np.float32)
+        np.add.at(up_tops, ids[above], up[above])
+        places = np.full(len(back), len(own))
+        places[order] = own
+        return np.take(back, places, axis=0), np.concatenate([np.arange(tops), seen]), np.concatenate([up_tops, np.take(up, below, axis=0)])
+
+
+def _slopes(z: np.ndarray, side: np.ndarray) -> np.ndarray:
+    """Of the log-probability of ``side`` by its log odds ``z``, or 0 for no side."""
+    return side / (1 + np.exp(np.minimum(z * side, 30)))
 
 
 def _paired(x: np.ndarray) -> np.ndarray:
@@ -270,13 +394,12 @@ def _paired(x: np.ndarray) -> np.ndarray:
 
 def _by_row(at: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, sum, n) of the rows of ``x`` that share an entry of ``at``."""
-    times, x = np.bincount(at), _paired(x)
-    rows, width = np.flatnonzero(times), x.shape[1]
-    place = np.empty(len(times), dtype=np.int64)
-    place[rows] = np.arange(len(rows)) * width
-    out = np.zeros(len(rows) * width, dtype=x.dtype)
-    np.add.at(out, (np.take(place, at)[:, None] + np.arange(width)).reshape(-1), x.reshape(-1))
-    return rows, out.reshape(-1, width).view(np.float32), times[rows]
+    order = np.argsort(at.astype(np.uint16) if at.max(initial=0) < 1 << 16 else at, kind="stable")
+    at, new = np.take(at, order), np.ones(len(at) + 1, dtype=bool)
+    np.not_equal(at[1:], at[:-1], out=new[1:-1])
+    first = np.flatnonzero(new)
+    sums = np.add.reduceat(_paired(np.take(x, order, axis=0)), first[:-1], axis=0).view(np.float32)
+    return np.take(at, first[:-1]), sums, first[1:] - first[:-1]
 
 
 def unigram_network(counts: np.ndarray, p: LmParameters) -> Network:
@@ -285,7 +408,7 @@ def unigram_network(counts: np.ndarray, p: LmParameters) -> Network:
     tree = huffman(counts)
     theta = np.zeros((2 * v + 2 + 2 * p.window * p.width, p.width), dtype=np.float32)
     theta[: v + 2] = rng.normal(0, 0.3, (v + 2, p.width))
-    theta[v + 2 : 2 * v + 1, -1] = tree.odds[: v - 1]
+    theta[v + 2 : 2 * v + 1, -1] = tree.odds
     theta[2 * v + 1 : -1] = rng.normal(0, 1 / np.sqrt(2 * p.window * p.width), (2 * p.window * p.width, p.width))
     return Network(tree, p.window, p.width, theta)
 

@@ -1,6 +1,7 @@
 import os
 import random
 import sys
+import tracemalloc
 from collections import Counter
 from pathlib import Path
 
@@ -812,3 +813,64 @@ def test_every_place_is_trained_on_once():
         at = np.arange(n) * 2 + 5
         trained = np.concatenate([lmscore._places(at, nth, p) for nth in range(p.rounds)])
         assert sorted(trained) == list(at)
+
+
+def _plain_steps(model, stream, at, p, rate, squares, touched):
+    """Steps of training by rows, node by node of every place."""
+    v, tree = model.vocabulary, model.tree
+    embeddings, nodes, weights, bias = model.parts()
+    layer = np.arange(2 * v + 1, len(model.theta))
+    for i in range(0, len(at), p.batch):
+        some = at[i : i + p.batch]
+        around = stream[some[:, None] + np.array([*range(-p.window, 0), *range(1, p.window + 1)])]
+        x = embeddings[around].reshape(len(some), -1)
+        h = np.tanh(x @ weights + bias)
+        h[:, -1] = 1
+        depth = tree.depth[stream[some]]
+        first, row = np.cumsum(depth) - depth, np.repeat(np.arange(len(some)), depth)
+        step = np.arange(len(row)) + np.repeat(tree.starts[stream[some]] - first, depth)
+        node, side = tree.nodes[step], tree.sides[step]
+        g = (side / (1 + np.exp(np.minimum(np.einsum("nd,nd->n", h[row], nodes[node]) * side, 30))))[:, None]
+        back = np.add.reduceat(g * nodes[node], first, axis=0)
+        back[:, -1] = 0
+        back *= 1 - h * h
+        grad, times = np.zeros_like(model.theta), np.zeros(len(model.theta))
+        for at_, up in ((v + 2 + node, g * h[row]), (around.reshape(-1), (back @ weights.T).reshape(-1, p.width))):
+            at_flat = (at_[:, None] * p.width + np.arange(p.width)).reshape(-1)
+            np.add.at(grad.reshape(-1), at_flat, up.reshape(-1))
+            times += np.bincount(at_, minlength=len(times))
+        grad[layer] = np.concatenate([x.T @ back, back.sum(axis=0, keepdims=True)])
+        times[layer] += len(some)
+        squares += grad * grad
+        model.theta += np.float32(rate) * grad / (np.sqrt(squares) + np.float32(1e-6))
+        touched += times
+
+
+@pytest.mark.parametrize("window, width, batch, stride, v", [(3, 16, 512, 4, 3000), (3, 16, 512, 1, 40), (2, 5, 300, 2, 700), (1, 4, 64, 7, 2), (2, 6, 100, 3, 70_000)])
+def test_steps_of_training_are_those_by_rows(window, width, batch, stride, v):
+    rng, p = np.random.default_rng(4), lmscore.LmParameters(window=window, width=width, batch=batch)
+    docs = np.array_split(np.minimum(rng.zipf(1.3, 3000) - 1, v - 1), 7)
+    stream = np.concatenate([np.r_[[v] * window, d, [v + 1] * window] for d in docs]).astype(np.int32)
+    at, done = np.flatnonzero(stream < v)[::stride], []
+    for steps in (_plain_steps, lmscore.Network.train):
+        model = lmscore.unigram_network(np.bincount(stream[stream < v], minlength=v), p)
+        touched = np.zeros(len(model.theta))
+        steps(model, stream, at, p, 0.2, np.full_like(model.theta, 1e-8), touched)
+        done.append((model.theta, touched))
+    assert (done[0][1] == done[1][1]).all()
+    assert np.abs(done[0][0] - done[1][0]).max() < 5e-3
+
+
+def test_a_step_of_training_makes_no_rows_for_all_nodes_of_all_places():
+    """Such rows took most of a step's time; without them it fits in the memory that four such tables would take."""
+    rng, p, v = np.random.default_rng(6), lmscore.LmParameters(), 3000
+    stream = np.r_[[v] * 3, np.minimum(rng.zipf(1.3, 4 * p.batch) - 1, v - 1), [v + 1] * 3].astype(np.int32)
+    at = np.arange(3, 3 + 4 * p.batch, 4)
+    model = lmscore.unigram_network(np.bincount(stream[3:-3], minlength=v), p)
+    squares, touched = np.full_like(model.theta, 1e-8), np.zeros(len(model.theta))
+    tracemalloc.start()
+    model.train(stream, at, p, 0.2, squares, touched)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    rows = int(model.tree.depth[stream[at]].sum()) * p.width * 4
+    assert peak < 4 * rows
