@@ -110,12 +110,12 @@ class Chunk:
 def _chunk(lengths: np.ndarray, ids: bytes, window: int, start: int) -> Chunk:
     """``start`` is the mark before a document, the next number the one behind it; both stand ``window`` times, twice at least."""
     found, pad = _loosened(ids, np.uint32), max(window, 2)
-    at = np.arange(len(found)) + pad * (1 + 2 * np.repeat(np.arange(len(lengths)), lengths))
-    marks = np.tile(np.repeat([start, start + 1], pad), len(lengths))
-    stream = np.empty(len(found) + len(marks), dtype=np.int32)
-    off = np.ones(len(stream), dtype=bool)
-    off[at] = False
-    stream[off], stream[at] = marks, found
+    nth = np.arange(len(lengths))
+    at = np.repeat(pad * (1 + 2 * nth), lengths)
+    at += np.arange(len(found))
+    stream = np.full(len(found) + 2 * pad * len(lengths), start, dtype=np.int32)
+    stream[at] = found
+    stream[(np.cumsum(lengths) + pad * (1 + 2 * nth))[:, None] + np.arange(pad)] = start + 1
     return Chunk(stream, at, lengths)
 
 
@@ -384,7 +384,10 @@ class Network:
 
 def _slopes(z: np.ndarray, side: np.ndarray) -> np.ndarray:
     """Of the log-probability of ``side`` by its log odds ``z``, or 0 for no side."""
-    return side / (1 + np.exp(np.minimum(z * side, 30)))
+    z = z * side
+    np.exp(np.minimum(z, 30, out=z), out=z)
+    z += 1
+    return np.divide(side, z, out=z)
 
 
 def _paired(x: np.ndarray) -> np.ndarray:
