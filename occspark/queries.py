@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import fixtures as X
-from .functions.common import warning_flags
+from .functions.common import rounded, warning_flags
 from .functions.geo import A, COS_B0, D, E2, FE, FN, LON0, QP, RQ, SIN_B0, intersects, laea, mercator, to_degrees, within
 from .operators import autocorr, clean, figures, hexgrid, metrics, profile, readiness, report, sites, spatial, summaries, surface, uncertainty, validate
 from .operators.predicates import FilterSpec, basis_filter, bbox_filter, predicate, uncertainty_filter, year_filter
@@ -938,7 +938,8 @@ def rowwise_pip_join(spark, sf_dir):
 )
 def rowwise_uncertainty_class(spark, sf_dir):
     out = uncertainty.classify_points(X.odd_occurrences(spark, sf_dir), X.part_sites(spark, sf_dir))
-    return _rounded(out.select("gbifID", "index_right", "dist_to_boundary_m", "dist_to_polygon_m", "uncertainty_class"), 3, "dist_to_boundary_m", "dist_to_polygon_m")
+    out = out.select("gbifID", "index_right", "dist_to_boundary_m", "dist_to_polygon_m", "uncertainty_class")
+    return out.withColumns({c: rounded(F.col(c), 3) for c in ("dist_to_boundary_m", "dist_to_polygon_m")})
 
 
 @query(f"WITH {PARTS_SQL}, area AS (SELECT index_right FROM site WHERE MS IN ({', '.join(f'{chr(39)}{m}{chr(39)}' for m in AREA_MS)})), aedge AS (SELECT e.* FROM medge AS e JOIN area AS a ON e.index_right = a.index_right){GRID_SQL[GRID_SQL.index(', box AS (') :].replace('box AS (', 'around AS (').replace('FROM box)', 'FROM around)')} SELECT * FROM grid")

@@ -1,10 +1,13 @@
 import math
 import random
 
+import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from occspark.functions.geo import area, intersects, inverse_laea, inverse_mercator, laea, mercator, project_rings, within
+from occspark.functions.common import rounded
+from occspark.functions.geo import area, intersects, inverse_laea, inverse_mercator, laea, mercator, project, project_rings, within
 from occspark.operators import autocorr, figures, hexgrid, metrics, siteindex, sites, spatial, surface, uncertainty
 
 POINT = "gbifID long, decimalLongitude double, decimalLatitude double"
@@ -150,6 +153,41 @@ def test_distances_round_as_those_of_the_sql(spark):
         assert len(got) == 2
 
 
+def test_distances_to_edges_against_all_of_them(spark):
+    """Edges are compared in single precision first: the distance is that to the last bit, however near others are, and for edges without length."""
+    rng = random.Random(11)
+    ring = lambda n, x, y, r: [(x + r * math.cos(2 * math.pi * i / n), y + r * math.sin(2 * math.pi * i / n)) for i in [*range(n), 0]]
+    shapes = [(i, f"S{i}", "X", [ring(4 + i % 5, 10.0, 50.0, 0.3 * i + 0.1), [(11.0, 51.0)] * 3, ring(4, 10.0, 50.0, 1e-6)]) for i in range(20)]
+    table = sites.prepare_sites(spark.createDataFrame(shapes, LAYER)).select("index_right", "bbox", "edges", "metric_edges").toArrow()
+    index = siteindex.SiteIndex.of(table, spatial.TILE)
+    x, y = project(*(np.array([c + (rng.random() - 0.5) * s for s in (1e-5, 1.0, 30.0) for _ in range(300)] + [10.0, 11.0]) for c in (10.0, 50.0)))
+    site = np.arange(len(x)) % 20
+    at = table["metric_edges"].to_pylist()
+    want = []
+    for px, py, s in zip(x.tolist(), y.tolist(), site.tolist(), strict=True):
+        away = []
+        for e in at[s]:
+            dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
+            norm = dx * dx + dy * dy
+            t = max(0.0, min(1.0, ((px - e["x1"]) * dx + (py - e["y1"]) * dy) / norm)) if norm > 0 else 0.0
+            ex, ey = px - (e["x1"] + t * dx), py - (e["y1"] + t * dy)
+            away.append(math.sqrt(ex * ex + ey * ey))
+        want.append(min(away))
+    assert index.to_boundary(x, y, site).tolist() == want
+    assert index.rough.dtype == np.float32 and len(index.rough) == 5 * len(index.metric)
+
+
+def test_rounding_is_that_of_the_sql(spark):
+    rng = random.Random(2)
+    values = [0.0, 0.0005, 0.0015, 0.0025, 1.0005, 2.6745, 0.49999999999999994, 1e12 + 0.0005, *(rng.random() * 10 ** rng.randrange(7) for _ in range(2000)), *(rng.randrange(10**7) / 2000 for _ in range(2000))]
+    df = spark.createDataFrame([(v,) for v in [*values, None]], "v double")
+    shown = df.select("v", rounded(F.col("v"), 3).alias("r"))
+    rows = [(r["v"], r["r"]) for r in shown.collect()]
+    assert "round(" not in _plan(shown)
+    found = [duckdb.execute("SELECT round(CAST(? AS DOUBLE), 3)", [v]).fetchall()[0][0] for v, _ in rows]
+    assert found == [r for _, r in rows]
+
+
 def test_validity(spark):
     ring = lambda *a: square(*map(float, a))
     bow = [(0.0, 0.0), (2.0, 2.0), (2.0, 0.0), (0.0, 2.0), (0.0, 0.0)]
